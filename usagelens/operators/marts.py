@@ -105,7 +105,7 @@ def session_event_crosstab(events: DataFrame, names: list[str] | None = None) ->
     """Events per session and kind. The five known kinds by default; pass ``names`` to
     count others too. A kind that never occurs is a column of zeros."""
     names = EVENT_NAMES if names is None else names
-    counted = events.groupBy("session_id").pivot("event_name", names).agg(F.count("*"))
+    counted = events.groupBy("session_id").pivot("event_name", names).agg(F.count(F.lit(1)))
     labels = [F.coalesce(F.col(f"`{n}`"), F.lit(0)).alias(
         f"count_{n}" if n in EVENT_NAMES else n) for n in names]
     return counted.select("session_id", *labels)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from usagelens.operators import marts
 from usagelens.operators.enrich import enrich
@@ -47,4 +46,6 @@ def save_curated(raw: DataFrame, employees: DataFrame | None, folder: str,
                  table_path(folder, "data_quality_report"))
     event_distribution(events).write.mode("overwrite").json(
         table_path(folder, "event_name_distribution"))
-    return Curated(events, api, tools, sessions, users)
+    return Curated(events=lambda: events, api_requests=lambda: api,
+                   tool_results=lambda: tools, sessions=lambda: sessions,
+                   users=lambda: users)

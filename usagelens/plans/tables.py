@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, fields
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,35 +13,67 @@ from usagelens.operators.enrich import SENT_PRACTICE, enrich
 from usagelens.operators.standardize import standardize
 
 
-@dataclass(frozen=True)
+TABLE_NAMES = ["events", "api_requests", "tool_results", "sessions", "users"]
+
+
 class Curated:
-    events: DataFrame
-    api_requests: DataFrame
-    tool_results: DataFrame
-    sessions: DataFrame
-    users: DataFrame
+    """The five tables. Each is given as a function and only planned when asked for:
+    a query over one of them does not pay for describing the other four."""
+
+    def __init__(self, **makers: Callable[[], DataFrame]):
+        self._makers = {name: makers[name] for name in TABLE_NAMES}
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return self._makers["events"]()
+
+    @cached_property
+    def api_requests(self) -> DataFrame:
+        return self._makers["api_requests"]()
+
+    @cached_property
+    def tool_results(self) -> DataFrame:
+        return self._makers["tool_results"]()
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return self._makers["sessions"]()
 
-    def items(self):
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+    @cached_property
+    def users(self) -> DataFrame:
+        return self._makers["users"]()
 
-    def map(self, change: Callable[[DataFrame], DataFrame]) -> "Curated":
-        return Curated(**{name: change(df) for name, df in self.items()})
+    def items(self) -> list[tuple[str, DataFrame]]:
+        return [(name, getattr(self, name)) for name in TABLE_NAMES]
+
+    def change(self, **rules: Callable[[DataFrame], DataFrame]) -> "Curated":
+        """The same tables with a rule applied to each named one."""
+        def changed(name: str) -> Callable[[], DataFrame]:
+            if name not in rules:
+                return lambda: getattr(self, name)
+            return lambda: rules[name](getattr(self, name))
+
+        return Curated(**{name: changed(name) for name in TABLE_NAMES})
+
+    def map(self, rule: Callable[[DataFrame], DataFrame]) -> "Curated":
+        return self.change(**{name: rule for name in TABLE_NAMES})
 
     def persist(self) -> "Curated":
         """Keep the tables for interactive use; Spark spills what does not fit."""
         return self.map(lambda df: df.persist())
 
 
-TABLE_NAMES = [f.name for f in fields(Curated)]
-
-
 def curate(events: DataFrame) -> Curated:
     """Curated tables from enriched events."""
-    session_table = marts.sessions(events)
-    user_table = marts.users(events, session_table)
     plain = events.drop(SENT_PRACTICE)
-    return Curated(plain, marts.api_requests(plain), marts.tool_results(plain),
-                   session_table, user_table)
+    tables = Curated(
+        events=lambda: plain,
+        api_requests=lambda: marts.api_requests(plain),
+        tool_results=lambda: marts.tool_results(plain),
+        sessions=lambda: marts.sessions(events),
+        users=lambda: marts.users(events, tables.sessions),
+    )
+    return tables
 
 
 def build_tables(raw: DataFrame, employees: DataFrame | None) -> Curated:
@@ -54,7 +86,10 @@ def table_path(folder: str, name: str) -> str:
 
 
 def read_tables(spark: SparkSession, folder: str) -> Curated:
-    return Curated(**{n: spark.read.parquet(table_path(folder, n)) for n in TABLE_NAMES})
+    def reader(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.parquet(table_path(folder, name))
+
+    return Curated(**{name: reader(name) for name in TABLE_NAMES})
 
 
 def register_tables(tables: Curated) -> None:
