@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,28 +38,30 @@ def _settled(df: DataFrame) -> DataFrame:
 
 
 class _Inputs:
+    """The plans queries start from. Plans only: every query computes its own rows."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.raw = sample.raw_events(spark, sf_dir)
         self.employees = sample.employees(spark, sf_dir)
 
-    @property
+    @cached_property
     def conformed(self) -> DataFrame:
         return conform(self.raw)
 
-    @property
+    @cached_property
     def standard(self) -> DataFrame:
         return standardize(self.raw)
 
-    @property
+    @cached_property
     def enriched(self) -> DataFrame:
         return enrich(self.standard, self.employees, keep_sent_practice=True)
 
-    @property
+    @cached_property
     def tables(self) -> tables.Curated:
         return tables.build_tables(self.raw, self.employees)
 
-    @property
+    @cached_property
     def filtered(self) -> tables.Curated:
         return explore.apply_filters(self.tables, PRACTICES, MODELS)
 
@@ -186,8 +189,11 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
 }
 
 
+_inputs = lru_cache(maxsize=8)(_Inputs)
+
+
 def _runnable(build: Callable[[_Inputs], DataFrame]):
-    return lambda spark, sf_dir: _settled(build(_Inputs(spark, sf_dir)))
+    return lambda spark, sf_dir: _settled(build(_inputs(spark, sf_dir)))
 
 
 QUERIES = {name: _runnable(build) for name, build in _QUERIES.items()}
