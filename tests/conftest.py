@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from usagelens.schemas import RAW_COLUMNS, RAW_EVENTS  # noqa: E402
 from usagelens.session import configure  # noqa: E402
+from usagelens.sources.employees import conform_employees  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -50,9 +51,9 @@ def make_raw(spark):
 @pytest.fixture
 def make_staff(spark):
     def build(*rows):
-        return spark.createDataFrame(
+        return conform_employees(spark.createDataFrame(
             rows, "email string, full_name string, practice string, level string, "
-                  "location string")
+                  "location string"))
 
     return build
 

@@ -15,8 +15,10 @@ def test_white_space_is_every_unicode_space():
 def test_clean_text(evaluate):
     assert evaluate(fn.clean_text, None, "", "  a b ", "\t x　\n", "é ", "\x1cz") == [
         "", "", "a b", "x", "é", "z"]
+    assert evaluate(lambda c: fn.clean_wire_text("x"), None, "", "  a b ", "\t x\u3000\n", "é ",
+                    "\x1cz") == ["", "", "a b", "x", "é", "z"]
     assert evaluate(strip, None) == [None]
-    assert evaluate(fn.or_unknown, " ", None, "L1") == ["Unknown", "Unknown", "L1"]
+    assert evaluate(fn.or_unknown, "", None, "L1") == ["Unknown", "Unknown", "L1"]
 
 
 def test_clean_number(evaluate):

@@ -11,7 +11,7 @@ from usagelens.operators.standardize import conform, redelivery_summary, standar
 from usagelens.schemas import EVENT_ORDER, REQUIRED_COLUMNS
 from usagelens.session import staging_folder
 from usagelens.sources import sample
-from usagelens.sources.employees import duplicate_keys, read_employees
+from usagelens.sources.employees import conform_employees, duplicate_keys, read_employees
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -133,7 +133,8 @@ def test_employee_file(spark, tmp_path):
 
 
 def test_partial_dimension(make_raw, spark):
-    staff = spark.createDataFrame([("a@x", "Ann")], "email string, full_name string")
     with pytest.warns(UserWarning):
+        staff = conform_employees(
+            spark.createDataFrame([("a@x", "Ann")], "email string, full_name string"))
         row = enrich(standardize(make_raw({"practice": "sent"})), staff).first()
     assert (row["practice"], row["full_name"], row["level"]) == ("sent", "Ann", "Unknown")

@@ -20,14 +20,8 @@ INFINITY_TEXTS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
 
 
 def strip(c: Column) -> Column:
-    """Text without surrounding white space.
-
-    Texts of printable ASCII need no more than the plain trim, which is many times
-    faster than one for a set of characters.
-    """
-    text = c.cast("string")
-    return F.when(text.rlike("[^ -~]"), F.trim(text, F.lit(WHITESPACE))).otherwise(
-        F.trim(text))
+    """Text without surrounding white space."""
+    return F.trim(c.cast("string"), F.lit(WHITESPACE))
 
 
 def clean_text(c: Column) -> Column:
@@ -35,9 +29,21 @@ def clean_text(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit(""))
 
 
+def clean_wire_text(name: str) -> Column:
+    """``clean_text`` for a column of raw events, where it runs on every row.
+
+    Texts of printable ASCII need no more than the plain trim, which is many times
+    faster than one for a set of characters. The column is referred to three times,
+    so this is not for long expressions.
+    """
+    text = F.col(name).cast("string")
+    stripped = F.when(text.rlike("[^ -~]"), strip(text)).otherwise(F.trim(text))
+    return F.coalesce(stripped, F.lit(""))
+
+
 def or_unknown(c: Column) -> Column:
-    text = clean_text(c)
-    return F.when(text == "", F.lit(UNKNOWN)).otherwise(text)
+    """Clean text, with ``Unknown`` for null and blank."""
+    return F.coalesce(F.nullif(c, F.lit("")), F.lit(UNKNOWN))
 
 
 def clean_number(c: Column) -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from usagelens.functions import or_unknown
 from usagelens.schemas import UNKNOWN
-from usagelens.sources.employees import conform_employees
 
 _ATTRIBUTES = ["full_name", "level", "location"]
 #: The practice an event was sent with, kept beside the resolved one because it is
@@ -19,6 +18,8 @@ def enrich(events: DataFrame, employees: DataFrame | None,
            keep_sent_practice: bool = False) -> DataFrame:
     """Left join on email, then settle practice, name, level and location.
 
+    ``employees`` come from ``read_employees`` or ``conform_employees``.
+
     The employee's practice wins wherever an employee matched, even a blank one;
     the practice sent with the event only serves unmatched events. Blank becomes
     ``Unknown``. No join hint: Spark broadcasts the dimension when its size is under
@@ -29,7 +30,7 @@ def enrich(events: DataFrame, employees: DataFrame | None,
         joined = sent.withColumns({c: F.lit(UNKNOWN) for c in _ATTRIBUTES})
         practice = F.col(SENT_PRACTICE)
     else:
-        dim = conform_employees(employees)
+        dim = employees
         practice = F.col(SENT_PRACTICE)
         if "practice" in dim.columns:
             dim = dim.withColumnRenamed("practice", "_practice")

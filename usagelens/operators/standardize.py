@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens.functions import (
-    calendar_columns, clean_bool, clean_number, clean_text, clean_timestamp, kind_flags,
-    token_measures,
+    calendar_columns, clean_bool, clean_number, clean_timestamp, clean_wire_text,
+    kind_flags, token_measures,
 )
 from usagelens.schemas import EVENT_NAMES, NUMERIC_COLUMNS, REQUIRED_COLUMNS, TEXT_COLUMNS
 
@@ -22,7 +22,7 @@ def conform(raw: DataFrame) -> DataFrame:
         raise ValueError(f"events lack required columns: {missing}")
 
     def typed(name: str, rule, empty) -> Column:
-        value = rule(F.col(name)) if name in df.columns else F.lit(empty)
+        value = rule(name) if name in df.columns else F.lit(empty)
         return value.alias(name)
 
     when = F.col("timestamp")
@@ -31,9 +31,9 @@ def conform(raw: DataFrame) -> DataFrame:
     known = {*TEXT_COLUMNS, *NUMERIC_COLUMNS, "timestamp", "success"}
     return df.select(
         when.alias("timestamp"),
-        *[typed(c, clean_text, "") for c in TEXT_COLUMNS],
-        *[typed(c, clean_number, 0.0) for c in NUMERIC_COLUMNS],
-        typed("success", clean_bool, False),
+        *[typed(c, clean_wire_text, "") for c in TEXT_COLUMNS],
+        *[typed(c, lambda n: clean_number(F.col(n)), 0.0) for c in NUMERIC_COLUMNS],
+        typed("success", lambda n: clean_bool(F.col(n)), False),
         *[F.col(c) for c in df.columns if c not in known],
     )
 

@@ -42,19 +42,21 @@ def flatten_batches(batches: DataFrame, strict: bool = True) -> DataFrame:
 
 def rejected(batches: DataFrame) -> DataFrame:
     """The lines and messages a lenient read had to leave out, with the reason."""
-    lines = (batches.where(F.col(CORRUPT).isNotNull())
-             .select(F.lit("line").alias("reason"), F.col(CORRUPT).alias("text")))
-    messages = batches.select(F.explode("logEvents.message").alias("message"))
-    bad = (_decode_leniently(messages)
-           .where(F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull())
-           .select(F.lit("message").alias("reason"), F.col("message").alias("text")))
-    return lines.unionByName(bad)
+    # One pass for both: a malformed line has no log events, only its own text.
+    found = batches.select(F.explode(F.when(
+        F.col(CORRUPT).isNotNull(), F.array(F.struct(
+            F.lit("line").alias("reason"), F.col(CORRUPT).alias("message")))
+    ).otherwise(F.transform("logEvents.message", lambda m: F.struct(
+        F.lit("message").alias("reason"), m.alias("message"))))).alias("e")).select("e.*")
+    bad = F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
+    return (_decode_leniently(found).where((F.col("reason") == "line") | bad)
+            .select("reason", F.col("message").alias("text")))
 
 
 def _decode_leniently(messages: DataFrame) -> DataFrame:
     decoded = F.from_json("message", _with_corrupt(MESSAGE),
                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return messages.select("message", decoded.alias("m"))
+    return messages.withColumn("m", decoded)
 
 
 def _flat_columns():

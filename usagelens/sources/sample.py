@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.schemas import RAW_COLUMNS
+from usagelens.sources.employees import conform_employees
 
 # Which event kind each row of the events table stands for.
 KINDS = {
@@ -72,10 +73,11 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     key = F.col("c_custkey")
     prefix = F.when(key % 10 == 9, "former").otherwise("user")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+    return conform_employees(customer.join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         F.concat(prefix, _text(key), F.lit("@example.com")).alias("email"),
         F.col("c_name").alias("full_name"),
         F.when(key % 10 == 8, "  ").otherwise(F.col("c_mktsegment")).alias("practice"),
         F.concat(F.lit("L"), _text(key % 10 + 1)).alias("level"),
         F.col("n_name").alias("location"),
-    )
+    ))
