@@ -24,6 +24,11 @@ def _write(tmp_path, *lines):
     return str(path)
 
 
+def _shown(df):
+    # The last bits of a sum of doubles depend on the order of its terms.
+    return [[round(v, 6) if isinstance(v, float) else v for v in r] for r in df.collect()]
+
+
 GOOD = json.dumps({"body": "b", "attributes": {"event.name": "api_request", "input_tokens": 5,
                                                "user.id": "u"}, "resource": {"user.practice": "P"}})
 
@@ -79,7 +84,7 @@ def test_whole_run_from_files(spark, tmp_path):
     lazy = tables.build_tables(raw, staff)
     assert saved.events.agg(F.max("event_id")).first()[0] == lazy.events.count()
     for name, view in views.VIEWS.items():
-        assert list(map(str, view(saved).collect())) == list(map(str, view(lazy).collect())), name
+        assert _shown(view(saved)) == _shown(view(lazy)), name
 
     header = spark.read.csv(f"{out}/metrics/cost_by_model", header=True)
     assert header.columns[0] == "model" and header.count() > 0
