@@ -13,7 +13,9 @@ from usagelens.functions import round_to
 from usagelens.operators import batches, marts, quality
 from usagelens.operators.enrich import SENT_PRACTICE, enrich
 from usagelens.operators.numbering import number_events
-from usagelens.operators.standardize import conform, redelivery_summary, standardize
+from usagelens.operators.standardize import (
+    clean, conform, derive, redelivery_summary, standardize,
+)
 from usagelens.plans import explore, tables, views
 from usagelens.plans.pipeline import save_curated
 from usagelens.schemas import EMPLOYEE_COLUMNS, RAW_COLUMNS
@@ -106,13 +108,13 @@ def _dedupe_count(i: _Inputs) -> DataFrame:
 
 
 def _event_numbering(i: _Inputs) -> DataFrame:
-    return number_events(i.standard).select(
+    return number_events(clean(i.raw)).select(
         "event_id", "timestamp", "session_id", "event_name", "model", "tool_name",
         "input_tokens", "cost_usd", "duration_ms")
 
 
 def _event_preview(i: _Inputs) -> DataFrame:
-    events = enrich(number_events(i.standard), i.employees)
+    events = enrich(derive(number_events(clean(i.raw))), i.employees)
     return explore.event_preview(
         explore.apply_filters(tables.curate(events), PRACTICES, MODELS))
 
@@ -139,6 +141,12 @@ def _saved_overview(i: _Inputs) -> DataFrame:
     return views.overview(tables.read_tables(i.spark, folder))
 
 
+def _view_counts(i: _Inputs) -> DataFrame:
+    folder = new_path(i.spark, "curated")
+    save_curated(i.raw, i.employees, folder)
+    return views.view_counts(tables.read_tables(i.spark, folder))
+
+
 _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "ingest_flatten": _ingest_flatten,
     "pack_log_batches": _pack_log_batches,
@@ -168,8 +176,10 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "table_counts": lambda i: tables.table_counts(i.tables),
     "run_totals": lambda i: tables.run_totals(i.tables),
     "saved_overview": _saved_overview,
+    "view_counts": _view_counts,
     "filter_options": lambda i: explore.filter_options(i.tables),
     "filtered_kpis": lambda i: explore.kpis(i.filtered),
+    "filtered_kpi_texts": lambda i: explore.kpi_texts(i.filtered),
     "insights": lambda i: explore.insights(i.filtered),
     "filtered_tokens_by_practice": lambda i: explore.tokens_by_practice(i.filtered),
     "filtered_cost_by_model": lambda i: explore.cost_by_model(i.filtered),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from usagelens.operators.enrich import SENT_PRACTICE, enrich
 from usagelens.operators.numbering import number_events, number_rows
-from usagelens.operators.standardize import conform, redelivery_summary, standardize
+from usagelens.operators.standardize import clean, conform, redelivery_summary, standardize
 from usagelens.schemas import EVENT_ORDER, REQUIRED_COLUMNS
 from usagelens.session import staging_folder
 from usagelens.sources import sample
@@ -60,7 +60,7 @@ def test_rows_without_a_time_keep_false_flags(make_raw):
 
 
 def test_numbers_match_a_global_row_number(spark):
-    events = standardize(sample.raw_events(spark, SF_DIR))
+    events = clean(sample.raw_events(spark, SF_DIR))
     order = [F.col(c).asc_nulls_last() for c in EVENT_ORDER]
     want = events.withColumn("want", F.row_number().over(W.orderBy(*order)))
     key = F.xxhash64(*EVENT_ORDER)

@@ -1,12 +1,14 @@
 """Curated tables, views and filtered summaries."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from usagelens.operators import marts, quality
 from usagelens.operators.enrich import enrich
 from usagelens.operators.numbering import number_events
-from usagelens.operators.standardize import conform, standardize
+from usagelens.operators.standardize import clean, conform, derive, standardize
 from usagelens.plans import explore, tables, views
 from usagelens.sources import sample
 
@@ -31,7 +33,7 @@ def _rows(df):
 def test_tables_do_not_depend_on_numbers_copies_or_arrival_order(given, curated):
     raw, staff = given
     shuffled = raw.union(raw).repartition(5, "cost_usd").sortWithinPartitions(F.desc("timestamp"))
-    numbered = tables.curate(enrich(number_events(standardize(raw)), staff))
+    numbered = tables.curate(enrich(derive(number_events(clean(raw))), staff))
     again = tables.build_tables(shuffled, staff)
     for name in ("sessions", "users"):
         want = _rows(getattr(curated, name))
@@ -80,6 +82,24 @@ def test_session_takes_first_filled_and_most_frequent(make_raw):
     assert s["session_duration_seconds"] == 3.0 and s["events_per_minute"] == pytest.approx(100)
 
 
+def test_a_session_holding_most_rows(spark, make_raw):
+    """A blank session id on most rows: checked against counting in plain Python."""
+    many = make_raw({"session_id": None, "event_name": "tool_result"}).drop(
+        "tool_name", "duration_ms", "timestamp").join(spark.range(3000).select(
+            F.concat(F.lit("t"), (F.col("id") % 700).cast("string")).alias("tool_name"),
+            F.col("id").cast("string").alias("duration_ms"),
+            F.concat(F.lit("2025-01-06T10:00:0"), (F.col("id") % 10).cast("string"),
+                     F.lit("Z")).alias("timestamp")))
+    rows = many.unionByName(make_raw({"session_id": "s2"}))
+    got = {r["session_id"]: r for r in tables.build_tables(rows, None).sessions.collect()}
+    counts = Counter(f"t{i % 700}" for i in range(3000))
+    usual = min(counts, key=lambda tool: (-counts[tool], tool))
+    hot = got[""]
+    assert (hot["total_events"], hot["unique_tools"], hot["most_used_tool"]) == (
+        3000, 700, usual)
+    assert hot["avg_tool_duration_ms"] == 2999 / 2 and got["s2"]["total_events"] == 1
+
+
 def test_session_counts_for_its_first_user_only(make_raw):
     raw = make_raw({"user_id": "u1"}, {"user_id": "u2", "timestamp": "2025-01-06T11:00:00Z"})
     got = {r["user_id"]: r["total_sessions"]

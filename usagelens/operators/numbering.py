@@ -13,15 +13,6 @@ from usagelens.session import stage
 _POSITION_BITS = 33
 
 
-# Derived columns follow from the ones in EVENT_ORDER and cannot settle a tie.
-_DERIVED = {
-    "total_tokens", "cached_tokens", "total_token_footprint", "duration_seconds",
-    "event_date", "year", "month", "month_label", "hour", "weekday_num", "weekday",
-    "is_weekend", "is_business_hour", "has_model", "has_tool", "is_api_request",
-    "is_tool_result", "is_error",
-}
-
-
 def number_rows(df: DataFrame, order: list[str], name: str,
                 partitions: int | None = None) -> DataFrame:
     """Add ``name``, 1..N in the given order with nulls last.
@@ -58,6 +49,8 @@ def number_events(events: DataFrame, partitions: int | None = None) -> DataFrame
 
     De-duplicated rows differ somewhere, and the whole row is the sort key, so even a
     timestamp or session that holds much of the data splits over range partitions.
+    Best called on ``clean`` events: derived columns are cheaper to compute afterwards
+    than to shuffle and write.
     """
-    extra = [c for c in events.columns if c not in _DERIVED and c not in EVENT_ORDER]
+    extra = [c for c in events.columns if c not in EVENT_ORDER]
     return number_rows(events, [*EVENT_ORDER, *extra], "event_id", partitions)

@@ -49,18 +49,22 @@ def drop_redelivered(conformed: DataFrame) -> DataFrame:
     return conformed.dropDuplicates()
 
 
+def clean(raw: DataFrame) -> DataFrame:
+    """Typed, zero-filled events without copies: all that needs to be shuffled."""
+    return drop_redelivered(conform(raw)).na.fill(0.0, NUMERIC_COLUMNS)
+
+
 def derive(events: DataFrame) -> DataFrame:
-    """Zero-filled numbers plus token, calendar and kind columns."""
+    """Token, calendar and kind columns."""
     return (
-        events.na.fill(0.0, NUMERIC_COLUMNS)
-        .withColumns(token_measures())
+        events.withColumns(token_measures())
         .withColumns(calendar_columns(F.col("timestamp")))
         .withColumns(kind_flags())
     )
 
 
 def standardize(raw: DataFrame) -> DataFrame:
-    return derive(drop_redelivered(conform(raw)))
+    return derive(clean(raw))
 
 
 def redelivery_summary(conformed: DataFrame) -> DataFrame:

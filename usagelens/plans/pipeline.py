@@ -8,7 +8,7 @@ from usagelens.operators import marts
 from usagelens.operators.enrich import enrich
 from usagelens.operators.numbering import number_events
 from usagelens.operators.quality import event_distribution, quality_report
-from usagelens.operators.standardize import conform, standardize
+from usagelens.operators.standardize import clean, conform, derive
 from usagelens.plans.tables import Curated, table_path
 from usagelens.session import configure
 from usagelens.sources.employees import read_employees
@@ -36,7 +36,7 @@ def save_curated(raw: DataFrame, employees: DataFrame | None, folder: str,
     events sit in one or two files, so grouping them combines almost everything
     before the shuffle, and time filters skip whole files.
     """
-    numbered = number_events(standardize(raw))
+    numbered = derive(number_events(clean(raw)))
     events = write_table(enrich(numbered, employees), folder, "events", partition_events_by)
     api = write_table(marts.api_requests(events), folder, "api_requests")
     tools = write_table(marts.tool_results(events), folder, "tool_results")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,10 +112,7 @@ def table_counts(tables: Curated) -> DataFrame:
     parts = [df.agg(F.count("*").alias("row_count"))
              .select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
-    return counts
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_totals(tables: Curated) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,6 +155,14 @@ VIEWS = {
 }
 
 
+def view_counts(tables: Curated) -> DataFrame:
+    """How many rows each view has."""
+    parts = [view(tables).agg(F.count("*").alias("row_count"))
+             .select(F.lit(name).alias("view_name"), "row_count")
+             for name, view in VIEWS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def register_views(tables: Curated) -> None:
     """Make every view available to SQL as ``analytics_<name>``."""
     for name, view in VIEWS.items():

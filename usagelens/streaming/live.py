@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.operators.standardize import conform, derive
-from usagelens.schemas import ENVELOPE
+from usagelens.schemas import ENVELOPE, NUMERIC_COLUMNS
 from usagelens.sources.logs import flatten_batches
 
 
@@ -22,7 +22,8 @@ def stream_events(spark: SparkSession, path: str, delay: str = "1 day",
     mode = "FAILFAST" if strict else "PERMISSIVE"
     batches = spark.readStream.schema(ENVELOPE).json(path, mode=mode)
     events = conform(flatten_batches(batches, strict))
-    return derive(events.withWatermark("timestamp", delay).dropDuplicates(events.columns))
+    unique = events.withWatermark("timestamp", delay).dropDuplicates(events.columns)
+    return derive(unique.na.fill(0.0, NUMERIC_COLUMNS))
 
 
 def append_events(events: DataFrame, path: str, progress: str, **trigger) -> StreamingQuery:
