@@ -15,11 +15,9 @@ from pyspark.sql import SparkSession
 from checks.queries import QUERIES
 
 HEADLINE = [
-    "standardize_events", "dedupe_count", "event_numbering", "enrich_employees", "sessions",
-    "users", "quality_summary", "overview", "token_usage_by_practice", "cost_by_model",
-    "daily_usage", "sessions_by_practice", "top_users_by_cost", "error_rate_by_model",
-    "tool_performance", "session_outliers", "filtered_kpis", "filtered_usage_by_hour",
-    "pack_log_batches", "ingest_flatten", "saved_overview",
+    "standardize_events", "event_numbering", "enrich_employees", "sessions", "users",
+    "quality_summary", "overview", "cost_by_model", "error_rate_by_model", "filtered_kpis",
+    "ingest_flatten", "saved_overview",
 ]
 
 
