@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,32 +16,37 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
-
-    Only a local session may fall back to a folder of its own: on a cluster the
-    executors could not see it.
-    """
+    """The cluster's shared checkpoint folder, and where none is named a folder of the
+    warehouse, which executors share as well. The session's settings stay as they are."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="usagelens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+        return folder.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{staging_folder(spark)}/usagelens-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{staging_folder(spark).rstrip('/')}/usagelens-{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The result has a short lineage that survives lost executors, and the columns
-    a later stage does not need are not read again.
+    a later stage does not need are not read again. The files stay until
+    ``remove_staged``, because the returned plan reads them.
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_staged(spark: SparkSession, path: str | None = None) -> None:
+    """Delete one staged path, or all that this application has staged."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path or _application_folder(spark))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(target):
+        files.delete(target, True)
