@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import posixpath
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -72,5 +75,21 @@ def open_file(path: str):
     return files.open_input_file(place)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let tasks import this package also when it is run from a checkout: Spark sends every
+    executor an archive of it. Done once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(), os.path.basename(package))
+        spark.sparkContext.addPyFile(shutil.make_archive(
+            archive, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import discriminant, hash_tree, naive_bayes, token_scan
+from usagelens.llm import (
+    context_mixing, discriminant, hash_tree, metric_join, naive_bayes, one_permutation, raking,
+    token_scan, warc_members, winnowing,
+)
 from usagelens.llm.common import fold, table
 from usagelens.session import stage
 
@@ -18,6 +21,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.count_tokens(docs).select("doc_id", "n_tokens")
 
 
+def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.decontaminate(table(spark, sf_dir, "documents"),
+                                   table(spark, sf_dir, "benchmark")).drop("content")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 5) == 0
@@ -28,6 +40,21 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_members.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its probability, and whether it is in the sample."""
+    docs = table(spark, sf_dir, "documents").withColumn("topic", raking.content_kind(F.col("text")))
+    return raking.mix(docs).select(
+        "doc_id", *[F.coalesce(m, F.lit("")).alias(m) for m in raking.MARGINS], "n_tokens", "prob", "kept")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold("doc_id", 5) == 0
@@ -36,15 +63,102 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_permutation.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_context_mixing": op2_context_mixing,
+    "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
+    "op5_warc": op5_warc,
+    "op6_near_vectors": op6_near_vectors,
+    "op7_mixing": op7_mixing,
     "op8_language": op8_language,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+# All windows of all items against all windows of all documents.
+_DECONTAMINATION = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+    lambda w: w <> '') AS words FROM benchmark),
+sized AS (SELECT item, words, least(13, len(words)) AS width FROM items WHERE len(words) > 0),
+windows AS (SELECT DISTINCT item, width, array_to_string(words[i:i + width - 1], ' ') AS span
+  FROM (SELECT *, unnest(range(1, len(words) - width + 2)) AS i FROM sized)),
+widths AS (SELECT DISTINCT width FROM sized),
+spans AS (SELECT doc_id, width, i, array_to_string(words[i:i + width - 1], ' ') AS span
+  FROM (SELECT doc_id, width, words, unnest(range(1, len(words) - width + 2)) AS i
+        FROM split, widths WHERE len(words) >= width)),
+found AS (SELECT doc_id, item, i, width FROM spans JOIN windows USING (width, span)),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (
+  SELECT DISTINCT doc_id, unnest(range(i, i + width)) AS at FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM split LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+_WARC = """
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+linked AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last FROM sized)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM linked"""
+
+_COMPONENTS = """
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+smallest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)"""
+
+_VECTORS = f"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+{_COMPONENTS},
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(smallest.b, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(smallest.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN smallest ON smallest.a = vec_id"""
+
+_NEAR = rf"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+'), lambda w: w <> '') AS words FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s FROM (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM split WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y USING (s)
+  JOIN sizes p ON p.doc_id = x.doc_id JOIN sizes q ON q.doc_id = y.doc_id
+  WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
+{_COMPONENTS}
+SELECT split.doc_id, coalesce(n, 0) AS n_shingles,
+  least(split.doc_id, coalesce(smallest.b, split.doc_id)) AS component_id,
+  split.doc_id = least(split.doc_id, coalesce(smallest.b, split.doc_id)) AS kept
+FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest ON smallest.a = split.doc_id"""
+
+ORACLE: dict[str, str] = {
+    "op3_decontamination": _DECONTAMINATION,
+    "op5_warc": _WARC,
+    "op6_near_vectors": _VECTORS,
+    "op7_mixing": raking.sql(),
+    "op9_near_duplicates": _NEAR,
+}
