@@ -76,7 +76,9 @@ def with_fingerprints(texts: DataFrame, span: int) -> DataFrame:
 
 
 def _exploded(rows: DataFrame, position: str, keys: list[str]) -> DataFrame:
-    one = rows.select(*keys, F.explode("prints").alias("print"))
+    # Not explode(): the filter it implies would be pushed below the projections that compute
+    # the array, and compute it once more for every use.
+    one = rows.select(*keys, F.explode_outer("prints").alias("print")).where(F.col("print").isNotNull())
     return one.select(*keys, F.shiftright("print", _POSITION_BITS).alias("hash"),
                       F.col("print").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).cast("int").alias(position))
 
@@ -116,7 +118,7 @@ def extend(found: DataFrame, items: DataFrame, texts: DataFrame) -> DataFrame:
         items.select("entry", "item", F.col("words").alias("item_words")), "entry")
     breaks, runs = _runs(F.least(F.lit(SPAN), F.size("item_words")))
     return lined.withColumn("breaks", breaks).select(
-        "doc", "content", "item", F.explode(runs).alias("run")).select(
+        "doc", "content", "item", F.explode_outer(runs).alias("run")).where(F.col("run").isNotNull()).select(
         "doc", "content", "item", "run.first", "run.last").distinct()
 
 
