@@ -35,6 +35,7 @@ TEMPER = 0.7
 #: The part of all tokens a sample should have.
 FRACTION = 0.7
 SWEEPS = 10
+_SWEEPS_PER_PLAN = 5
 _BLANKS = "[\\x09-\\x0D\\x20]+"
 _ADDED = ("n_tokens", "prob", "kept")
 
@@ -77,11 +78,13 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
         rows = rows.join(present.select(
             margin, F.try_divide("goal", F.sum("goal").over(everything)).alias(f"_{margin}")), margin)
     rows = stage(rows, "cells")
-    for _ in range(sweeps):
+    for sweep in range(1, sweeps + 1):
         for margin in targets:
             total = F.sum("weight").over(W.partitionBy(margin))
             rows = rows.withColumn("weight", F.when(
                 total > 0, F.col("weight") * F.coalesce(f"_{margin}", F.lit(0.0)) / total).otherwise(0.0))
+        if sweep % _SWEEPS_PER_PLAN == 0:
+            rows = stage(rows, "swept")  # plans of bounded depth
     return stage(rows.drop(*[f"_{m}" for m in targets]), "raked")
 
 
