@@ -20,7 +20,9 @@ from usagelens.plans import explore, tables, views
 from usagelens.plans.pipeline import save_curated
 from usagelens.schemas import EMPLOYEE_COLUMNS, RAW_COLUMNS
 from usagelens.session import configure, new_path
-from usagelens.sources import logs, sample
+from usagelens.sources import logs, sinks
+from usagelens.sources.employees import read_employees
+from checks import sample
 
 #: The choice every filtered query is run with.
 PRACTICES = ["BUILDING", "MACHINERY"]
@@ -123,17 +125,57 @@ def _quality_report(i: _Inputs) -> DataFrame:
     t = i.tables
     report = quality.quality_report(i.conformed, t.events, t.sessions, t.users)
     names = ["api_request", "tool_decision", "tool_result", "user_prompt", "api_error"]
+    spelled = F.transform(F.map_entries("validation.event_name_distribution"), lambda e: F.concat_ws(
+        "=", e["key"], e["value"].cast("string")))
     found = F.col("validation.event_name_distribution")
     return report.select(
         "summary.*",
         F.array_join("validation.known_event_names", ",").alias("known_event_names"),
         *[F.element_at(found, n).alias(f"events_{n}") for n in names],
+        F.array_join(F.array_sort(spelled), ",").alias("event_names"),
+        *[F.col(f"validation.negative_numeric_counts.{c}").alias(f"negative_{c}")
+          for c in quality.NEGATIVE_CHECKED],
         F.col("validation.null_counts.timestamp").alias("null_timestamp"),
         F.col("validation.blank_counts.model").alias("blank_model"),
         F.col("validation.missing_practice_count"),
     )
 
 
+def _employees_from_csv(i: _Inputs) -> DataFrame:
+    """An awkward CSV written to the shared folder and read back."""
+    path, email = new_path(i.spark, "employees"), F.col("email")
+    awkward = i.employees.withColumns({
+        "full_name": F.concat("full_name", F.when(email.contains("7@"), ' "the boss", x').when(
+            email.contains("3@"), "\nsecond line").otherwise("")),
+        "level": F.when(email.contains("5@"), "N/A").otherwise(F.col("level"))})
+    awkward.write.csv(path, header=True, escape='"')
+    return read_employees(i.spark, path).select(*EMPLOYEE_COLUMNS)
+
+
+def _stored_events(i: _Inputs) -> DataFrame:
+    path = new_path(i.spark, "raw-events")
+    sinks.write_raw_events(i.raw, path)
+    return i.spark.read.parquet(path).groupBy("event_name").agg(F.count("*").alias("event_count"))
+
+
+def _report_from_json(i: _Inputs) -> DataFrame:
+    path, t = new_path(i.spark, "report"), i.tables
+    sinks.write_report(quality.quality_report(i.conformed, t.events, t.sessions, t.users), path)
+    return i.spark.read.json(path).select(*[f"summary.{c}" for c in redelivery_summary(i.conformed).columns])
+
+
+def _padded_columns(i: _Inputs) -> DataFrame:
+    """Blanks around column names, and an optional column that is not there."""
+    raw = i.raw.drop("model")
+    return conform(raw.toDF(*[f" {c} " for c in raw.columns])).groupBy("event_name", "model").agg(
+        F.sum("input_tokens").alias("input_tokens"))
+
+
+def _sql_view(i: _Inputs) -> DataFrame:
+    views.register_views(i.tables)
+    return i.spark.sql("SELECT * FROM analytics_cost_by_model")
+
+
 def _saved_overview(i: _Inputs) -> DataFrame:
     """Write every table and the report, then read the overview from the files."""
     folder = new_path(i.spark, "curated")
@@ -166,6 +208,14 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
         "timestamp", "session_id", "user_id", "practice", "tool_name", "success",
         "duration_ms", "duration_seconds"),
     "session_event_crosstab": lambda i: marts.session_event_crosstab(i.standard),
+    "session_event_counts": lambda i: marts.session_event_counts(i.standard),
+    "employees_from_csv": _employees_from_csv,
+    "stored_events": _stored_events,
+    "report_from_json": _report_from_json,
+    "enrich_without_list": lambda i: enrich(i.standard, None).select(
+        "session_id", "event_name", "practice", "full_name"),
+    "padded_columns": _padded_columns,
+    "sql_cost_by_model": _sql_view,
     "sessions": lambda i: i.tables.sessions,
     "users": lambda i: i.tables.users,
     "quality_summary": lambda i: redelivery_summary(i.conformed),

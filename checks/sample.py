@@ -40,19 +40,22 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     columns = {
         "event_type": F.concat(F.lit("telemetry."), name),
-        "event_name": name,
+        "event_name": F.when((kind == "error") & (k % 17 == 4), "beta_kind").otherwise(name),
         "timestamp": at,
-        "session_id": F.concat(F.lit("s"), _text(user), F.lit("-"), _text(period)),
+        "session_id": F.concat(F.lit("s"), _text(
+            F.when(k % 31 == 30, user - user % 2).otherwise(user)), F.lit("-"), _text(period)),
         "user_id": F.concat(F.lit("u"), _text(user)),
         "email": F.concat(F.lit(" user"), _text(user), F.lit("@example.com ")),
         "model": only(("click", "error"), F.when(k % 13 == 0, "").otherwise(
             F.concat(F.lit("model-"), _text(k % 5)))),
         "input_tokens": only(("click",), F.when(k == 0, "abc").otherwise(_text(k * 10))),
-        "output_tokens": only(("click",), _text(k % 7 * 100)),
+        "output_tokens": only(("click",), _text(
+            F.when(k % 23 == 22, -40).otherwise(k % 7 * 100))),
         "cache_read_tokens": only(("click",), _text(k * 50)),
         "cache_creation_tokens": only(("click",), _text(k % 3 * 20)),
         "cost_usd": only(("click",), _text(F.col("value"))),
-        "duration_ms": only(("click", "purchase", "error"), _text(k * 25)),
+        "duration_ms": only(("click", "purchase", "error"), _text(
+            F.when(k % 29 == 28, -1).otherwise(k * 25))),
         "prompt_length": only(("signup",), _text(k + 1)),
         "tool_name": only(("view", "purchase"), F.concat(F.lit("tool-"), _text(k % 17))),
         "success": only(("purchase",), flag),

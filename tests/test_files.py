@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from usagelens.operators.batches import pack_batches
 from usagelens.plans import pipeline, tables, views
 from usagelens.schemas import RAW_COLUMNS
-from usagelens.sources import logs, sample
+from checks import sample
+from usagelens.sources import logs
 
 SF_DIR = "/root/testdata/sf0.001"
 

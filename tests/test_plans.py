@@ -6,18 +6,28 @@ from checks.queries import QUERIES
 from usagelens.operators import marts
 from usagelens.operators.enrich import enrich
 from usagelens.operators.standardize import standardize
-from usagelens.plans import tables, views
-from usagelens.sources import sample
+from usagelens.plans import explore, tables, views
+from checks import sample
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="module")
+def saved_tables(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("saved"))
+    given = tables.build_tables(sample.raw_events(spark, SF_DIR), sample.employees(spark, SF_DIR))
+    for name, df in given.items():
+        df.write.parquet(tables.table_path(folder, name))
+    return tables.read_tables(spark, folder)
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in (
-    "ingest_flatten", "saved_overview", "view_counts", "pack_log_batches", "event_numbering", "event_preview")])
+    "ingest_flatten", "saved_overview", "view_counts", "pack_log_batches", "event_numbering", "event_preview",
+    "employees_from_csv", "stored_events", "report_from_json")])
 def test_no_python_no_global_window_no_cross_join(spark, name):
     plan = _plan(QUERIES[name](spark, SF_DIR))
     for word in ("Python", "Pandas", "Arrow", "Window", "CartesianProduct"):
@@ -53,3 +63,30 @@ def test_views_read_few_columns_and_push_the_filter(spark, tmp_path):
 
 def test_rankings_keep_only_the_top(spark):
     assert "TakeOrderedAndProject" in _plan(QUERIES["top_users_by_cost"](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", [
+    "kpis", "tokens_by_practice", "cost_by_model", "usage_by_hour", "daily_usage", "usage_by_weekday",
+    "tool_performance", "top_tools", "error_rate_by_model", "top_users", "sessions_by_practice", "session_outliers"])
+def test_filters_reach_the_saved_files(spark, saved_tables, name):
+    chosen = explore.apply_filters(saved_tables, ["BUILDING", "MACHINERY"], ["model-1", "model-3"])
+    plan = _plan(getattr(explore, name)(chosen))
+    scans = [line for line in plan.splitlines() if "PushedFilters" in line or "FileScan" in line]
+    assert scans and all("In(practice, [BUILDING,MACHINERY])" in s for s in scans)
+    assert any("In(model, [model-1,model-3])" in s for s in scans)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_days_and_hours_do_not_depend_on_the_session(spark, make_raw, zone):
+    raw = make_raw({"timestamp": "2025-01-06T02:30:00Z"}, {"timestamp": "2025-01-06T02:30:00"},
+                   {"timestamp": "2025-01-06"}, {"timestamp": "2025-01-06T02:30:00+05:00"})
+    columns = ["hour", "weekday", "month_label", "year", "month", "is_weekend"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = standardize(raw).selectExpr("unix_micros(timestamp) at", "unix_micros(event_date) day", *columns).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    day = 1_736_121_600_000_000
+    assert sorted((r["at"] - day) // 60_000_000 for r in rows) == [-150, 0, 150]
+    assert sorted((r["hour"], r["weekday"], (r["day"] - day) // 86_400_000_000) for r in rows) == [
+        (0, "Monday", 0), (2, "Monday", 0), (21, "Sunday", -1)]

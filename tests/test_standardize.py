@@ -10,7 +10,7 @@ from usagelens.operators.numbering import number_events, number_rows
 from usagelens.operators.standardize import clean, conform, redelivery_summary, standardize
 from usagelens.schemas import EVENT_ORDER, REQUIRED_COLUMNS
 from usagelens.session import staging_folder
-from usagelens.sources import sample
+from checks import sample
 from usagelens.sources.employees import conform_employees, duplicate_keys, read_employees
 
 SF_DIR = "/root/testdata/sf0.001"

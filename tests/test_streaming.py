@@ -1,19 +1,41 @@
+from pyspark.sql import functions as F
+
 from usagelens.operators.batches import pack_batches
 from usagelens.operators.standardize import standardize
-from usagelens.sources import logs, sample
-from usagelens.streaming.live import append_events, stream_events
+from usagelens.sources import logs
+from checks import sample
+from usagelens.streaming.live import DAY, ROW_ID, UNDATED, append_events, stream_events
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def _run(spark, tmp_path):
+    live = stream_events(spark, str(tmp_path / "logs"))
+    append_events(live, str(tmp_path / "out"), str(tmp_path / "state"), availableNow=True).awaitTermination()
+    return spark.read.schema(live.schema).parquet(str(tmp_path / "out"))
+
+
 def test_stream_gives_the_batch_result(spark, tmp_path):
     raw = sample.raw_events(spark, SF_DIR)
     logs.write_log_batches(pack_batches(raw, 50), str(tmp_path / "logs"))
-    live = stream_events(spark, str(tmp_path / "logs"), delay="60 days")
-    query = append_events(live, str(tmp_path / "out"), str(tmp_path / "state"),
-                          availableNow=True)
-    query.awaitTermination()
-    got = spark.read.schema(live.schema).parquet(str(tmp_path / "out"))
+    got = _run(spark, tmp_path).drop(ROW_ID, DAY)
     want = standardize(raw)
     assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_late_and_repeated_files_lose_and_double_nothing(spark, tmp_path, make_raw):
+    files = [make_raw({"timestamp": "2025-01-20T10:00:00Z"}, {"timestamp": "never"}),
+             make_raw({"timestamp": "2025-01-10T10:00:00Z"}),
+             make_raw({"timestamp": "2025-01-20T11:00:00Z"}, {"timestamp": "2025-01-20T10:00:00Z"}, {"timestamp": "never"}),
+             make_raw({"timestamp": "2025-01-10T10:00:00Z"}, {"timestamp": "2025-01-10T10:00:00Z", "cost_usd": "0"})]
+    seen = []
+    for i, file in enumerate(files):
+        path = str(tmp_path / f"file{i}")
+        logs.write_log_batches(pack_batches(file, 10), path)
+        spark.read.text(path).write.mode("append").text(str(tmp_path / "logs"))
+        rows = _run(spark, tmp_path)
+        seen.append(rows.count())
+    assert seen == [2, 3, 4, 5]  # an absent cost and a zero are two events, as in a batch run
+    assert sorted(r[DAY] for r in rows.select(DAY).distinct().collect()) == ["2025-01-10", "2025-01-20", UNDATED]
+    assert rows.where(F.col("timestamp").isNull()).count() == 1

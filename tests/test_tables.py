@@ -10,7 +10,7 @@ from usagelens.operators.enrich import enrich
 from usagelens.operators.numbering import number_events
 from usagelens.operators.standardize import clean, conform, derive, standardize
 from usagelens.plans import explore, tables, views
-from usagelens.sources import sample
+from checks import sample
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -117,7 +117,7 @@ def test_duplicate_employees_count_events_twice(make_raw, make_staff):
 def test_crosstab_counts_other_kinds_on_request(make_raw):
     events = standardize(make_raw({}, {"event_name": "odd"}, {"session_id": "s2"}))
     plain = {r["session_id"]: r for r in marts.session_event_crosstab(events).collect()}
-    assert plain["s1"]["count_api_request"] == 1 and plain["s2"]["count_api_error"] == 0
+    assert plain["s1"]["count_other"] == 1 and plain["s1"]["count_api_request"] == 1 and plain["s2"]["count_api_error"] == 0
     more = marts.session_event_crosstab(events, ["api_request", "odd"])
     assert {r["session_id"]: r["odd"] for r in more.collect()} == {"s1": 1, "s2": 0}
 
@@ -171,11 +171,13 @@ def test_report(given, curated):
     assert v["null_counts"]["timestamp"] > 0 and v["null_counts"]["model"] == 0
 
 
-def test_report_leaves_out_kinds_that_do_not_occur(make_raw):
+def test_report_lists_the_kinds_that_occur_known_or_not(make_raw):
     raw = make_raw({}, {"event_name": "odd"})
     t = tables.build_tables(raw, None)
     row = quality.quality_report(conform(raw), t.events, t.sessions, t.users).first()
-    assert row["validation"]["event_name_distribution"] == {"api_request": 1}
+    assert row["validation"]["event_name_distribution"] == {
+        "api_request": 1, "odd": 1}
+    assert t.sessions.first()["count_other"] == 1
     assert row["summary"]["invalid_event_name_count"] == 1
     assert {r[0]: r[1] for r in quality.event_distribution(t.events).collect()} == {
         "api_request": 1, "odd": 1}
@@ -221,10 +223,10 @@ def test_longest_session_fills_in(make_raw):
         "The longest session in the current view lasts 90.00 minutes."]
 
 
-def test_prepare_conforms_a_table_from_elsewhere(spark):
+def test_prepare_conforms_a_table_from_elsewhere(spark, make_raw):
     df = spark.createDataFrame([(" x ", "Yes", "12", None)],
                                "practice string, success string, cost_usd string, hour int")
-    row = explore.prepare(df).first()
+    row = explore.prepare(df, tables.build_tables(make_raw({}), None).events.schema).first()
     assert (row["practice"], row["success"], row["cost_usd"], row["hour"], row["model"]) == (
         "x", True, 12.0, 0, "")
 

@@ -9,19 +9,24 @@ from pyspark.sql import functions as F
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 WEEKEND = [5, 6]
 BUSINESS_HOURS = (9, 17)
+_DAY = 86_400_000_000
 
 
 def calendar_columns(ts: Column) -> dict[str, Column]:
-    """Null for an unknown time, except the two flags, which are then false."""
-    hour, weekday = F.hour(ts), F.weekday(ts)
+    """Of the time in UTC, whatever the session's zone. Null for an unknown time, except the
+    two flags, which are then false."""
+    micros = F.unix_micros(ts)
+    in_day = F.pmod(micros, F.lit(_DAY))
+    day = F.date_from_unix_date(((micros - in_day) / _DAY).cast("int"))
+    hour, weekday = F.floor(in_day / 3_600_000_000).cast("int"), F.weekday(day)
     return {
-        "event_date": F.date_trunc("DAY", ts),
-        "year": F.year(ts),
-        "month": F.month(ts),
-        "month_label": F.date_format(ts, "yyyy-MM"),
+        "event_date": F.timestamp_micros(micros - in_day),
+        "year": F.year(day),
+        "month": F.month(day),
+        "month_label": F.date_format(day, "yyyy-MM"),
         "hour": hour,
         "weekday_num": weekday,
-        "weekday": F.date_format(ts, "EEEE"),
+        "weekday": F.date_format(day, "EEEE"),
         "is_weekend": F.coalesce(weekday.isin(WEEKEND), F.lit(False)),
         "is_business_hour": F.coalesce(hour.between(*BUSINESS_HOURS), F.lit(False)),
     }

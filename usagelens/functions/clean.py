@@ -67,8 +67,14 @@ def clean_bool(c: Column) -> Column:
 def clean_timestamp(c: Column) -> Column:
     """An ISO-8601 date or date-time as an instant, or null.
 
-    A bare time of day is refused because the cast would put today's date on it.
+    Accepted are ``yyyy-MM-dd``, with a time after a ``T`` or a blank, with fractions, with an
+    offset or zone or without; without one the time is UTC, whatever the session's zone. Other
+    forms are null, a bare time of day among them: the cast would put today's date on it.
     """
     text = F.trim(c.cast("string"))
     dated = (F.length(text) >= 10) & (F.substring(text, 5, 1) == "-")
-    return F.when(dated, text).try_cast("timestamp")
+    # Almost every time ends in Z; the rest is looked at more closely.
+    zoned = text.endswith("Z") | text.rlike(r"[T ][0-9:.]+ ?([+-][0-9]|[A-Za-z])")
+    whole = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z"))).when(
+        zoned, text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(dated, whole).try_cast("timestamp")

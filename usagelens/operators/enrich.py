@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions import or_unknown
-from usagelens.schemas import UNKNOWN
+from usagelens.schemas import EMPLOYEE_COLUMNS, UNKNOWN
 
 _ATTRIBUTES = ["full_name", "level", "location"]
 #: The practice an event was sent with, kept beside the resolved one because it is
@@ -30,7 +30,9 @@ def enrich(events: DataFrame, employees: DataFrame | None,
         joined = sent.withColumns({c: F.lit(UNKNOWN) for c in _ATTRIBUTES})
         practice = F.col(SENT_PRACTICE)
     else:
-        dim = employees
+        # Further columns of the list come along unless events have one of that name.
+        dim = employees.select(*[c for c in employees.columns
+                                 if c in EMPLOYEE_COLUMNS or c not in sent.columns])
         practice = F.col(SENT_PRACTICE)
         if "practice" in dim.columns:
             dim = dim.withColumnRenamed("practice", "_practice")

@@ -12,6 +12,8 @@ from usagelens.functions import (
 from usagelens.operators.enrich import SENT_PRACTICE
 from usagelens.schemas import API_REQUEST, EVENT_NAMES, TOOL_RESULT, USER_PROMPT
 
+#: Stands for every kind without a column; no event name holds a line break.
+_OTHER = "\nother"
 _IDENTITY = ["user_id", "email", "full_name", "practice", "level", "location",
              "organization_id"]
 
@@ -101,14 +103,23 @@ def habits(events: DataFrame, key: str) -> DataFrame:
 
 # --- sessions --------------------------------------------------------------------
 
+def session_event_counts(events: DataFrame) -> DataFrame:
+    """Events per session and kind, whatever kinds there are: the complete crosstab."""
+    return events.groupBy("session_id", "event_name").agg(F.count("*").alias("event_count"))
+
+
 def session_event_crosstab(events: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Events per session and kind. The five known kinds by default; pass ``names`` to
-    count others too. A kind that never occurs is a column of zeros."""
+    """Events per session and kind as columns. The five known kinds by default, all others
+    together in ``count_other``; pass ``names`` for columns of their own. A kind that never
+    occurs is a column of zeros."""
     names = EVENT_NAMES if names is None else names
-    counted = events.groupBy("session_id").pivot("event_name", names).agg(F.count(F.lit(1)))
+    kind = F.when(F.col("event_name").isin(names), F.col("event_name")).otherwise(_OTHER)
+    counted = events.withColumn("event_name", kind).groupBy("session_id").pivot(
+        "event_name", [*names, _OTHER]).agg(F.count(F.lit(1)))
     labels = [F.coalesce(F.col(f"`{n}`"), F.lit(0)).alias(
         f"count_{n}" if n in EVENT_NAMES else n) for n in names]
-    return counted.select("session_id", *labels)
+    return counted.select("session_id", *labels,
+                          F.coalesce(F.col(f"`{_OTHER}`"), F.lit(0)).alias("count_other"))
 
 
 def sessions(events: DataFrame) -> DataFrame:
@@ -121,6 +132,8 @@ def sessions(events: DataFrame) -> DataFrame:
         F.max("last_at").alias("session_end"),
         F.sum("events").alias("total_events"),
         *[_of(n, "events").alias(f"count_{n}") for n in EVENT_NAMES],
+        F.coalesce(F.sum(F.when(~F.col("event_name").isin(EVENT_NAMES), F.col("events"))),
+                   F.lit(0)).alias("count_other"),
         _of(API_REQUEST, "tokens").alias("session_total_tokens"),
         _of(API_REQUEST, "cached").alias("session_cached_tokens"),
         _of(API_REQUEST, "cost").alias("session_total_cost_usd"),
@@ -138,7 +151,7 @@ def sessions(events: DataFrame) -> DataFrame:
         "organization_id", "session_start", "session_end", "total_events",
         minutes.alias("session_duration_minutes"),
         seconds_between(start, end).alias("session_duration_seconds"),
-        *[f"count_{n}" for n in EVENT_NAMES],
+        *[f"count_{n}" for n in EVENT_NAMES], "count_other",
         "session_total_tokens", "session_cached_tokens", "session_total_cost_usd",
         "avg_api_duration_ms",
         F.coalesce("models", F.lit(0)).alias("unique_models"),

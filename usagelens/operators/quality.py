@@ -44,24 +44,23 @@ def quality_report(conformed: DataFrame, events: DataFrame, session_table: DataF
     """The report as one nested row.
 
     ``conformed`` are the cleaned events before de-duplication, ``events`` the
-    enriched ones. The distribution lists the known kinds that occur; other names
-    are free text of any number, their total is in the summary and
-    ``event_distribution`` lists them all.
+    enriched ones. The distribution lists every name that occurs, known or not.
     """
     present = [n for n in MISSING_CHECKED if n in events.columns]
     facts = events.agg(
         *[F.count_if(F.col("event_name") == n).alias(n) for n in EVENT_NAMES],
         F.min("timestamp").alias("first_at"), F.max("timestamp").alias("last_at"))
+    # One entry per name, added up before: the report's own width.
+    names = events.groupBy("event_name").agg(F.count("*").alias("n")).agg(F.map_from_entries(
+        F.sort_array(F.collect_list(F.struct("event_name", "n")))))
     one = events.sparkSession.range(1).select(
         redelivery_summary(conformed).select(F.struct("*")).scalar().alias("r"),
         column_counts(events).select(F.struct("*")).scalar().alias("c"),
         facts.select(F.struct("*")).scalar().alias("f"),
         session_table.agg(F.count("*")).scalar().alias("sessions"),
         user_table.agg(F.count("*")).scalar().alias("users"),
+        names.scalar().alias("names"),
     )
-    distribution = F.map_filter(
-        F.create_map(*[x for n in EVENT_NAMES for x in (F.lit(n), F.col(f"f.{n}"))]),
-        lambda _, count: count > 0)
     blanks = [n for n in NULL_CHECKED if n != "timestamp"]
     return one.select(
         F.struct(
@@ -77,7 +76,7 @@ def quality_report(conformed: DataFrame, events: DataFrame, session_table: DataF
             F.array(*[F.lit(n) for n in sorted(REQUIRED_COLUMNS)])
             .alias("required_columns_present"),
             F.array(*[F.lit(n) for n in sorted(EVENT_NAMES)]).alias("known_event_names"),
-            distribution.alias("event_name_distribution"),
+            F.col("names").alias("event_name_distribution"),
             _group("null", NULL_CHECKED).alias("null_counts"),
             _group("blank", blanks).alias("blank_counts"),
             _group("negative", NEGATIVE_CHECKED).alias("negative_numeric_counts"),

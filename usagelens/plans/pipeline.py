@@ -10,7 +10,6 @@ from usagelens.operators.numbering import number_events
 from usagelens.operators.quality import event_distribution, quality_report
 from usagelens.operators.standardize import clean, conform, derive
 from usagelens.plans.tables import Curated, table_path
-from usagelens.session import configure
 from usagelens.sources.employees import read_employees
 from usagelens.sources.logs import ingest
 from usagelens.sources.sinks import export_views, write_raw_events, write_report, write_table
@@ -19,7 +18,6 @@ from usagelens.sources.sinks import export_views, write_raw_events, write_report
 def run(spark: SparkSession, logs: str, employees: str, folder: str,
         strict: bool = True) -> Curated:
     """The whole batch run. Flat events are written first and read back."""
-    configure(spark)
     raw_path = table_path(folder, "raw_events")
     write_raw_events(ingest(spark, logs, strict), raw_path)
     raw = spark.read.parquet(raw_path)

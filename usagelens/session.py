@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Calendar columns are UTC, and a re-planned shuffle copes with skewed joins."""
+    """Settings for a session of one's own: times shown in UTC, skewed joins split. The
+    package itself leaves the caller's settings alone and does not depend on the zone.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

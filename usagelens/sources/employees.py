@@ -12,17 +12,28 @@ from pyspark.sql import types as T
 from usagelens.functions import clean_text
 from usagelens.schemas import EMPLOYEE_COLUMNS
 
+# How exports commonly spell a missing value.
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 
 def read_employees(spark: SparkSession, path: str) -> DataFrame | None:
-    """The dimension from a headered CSV, or None (with a warning) if there is no file."""
+    """The dimension from a headered CSV, or None (with a warning) if there is no file.
+
+    Quoted fields may hold doubled quotes, commas and line breaks; the usual spellings of a
+    missing value are empty.
+    """
     try:
-        raw = spark.read.csv(path, header=True)
+        raw = spark.read.csv(path, header=True, escape='"', multiLine=True)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         warnings.warn(f"{path} not found, enrichment will be skipped")
         return None
-    return conform_employees(raw)
+    texts = {c: F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")) for c in raw.columns}
+    return conform_employees(raw.select(*[value.alias(c) for c, value in texts.items()]))
 
 
 def conform_employees(raw: DataFrame) -> DataFrame:

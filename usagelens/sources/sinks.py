@@ -25,16 +25,19 @@ def write_table(df: DataFrame, folder: str, name: str,
 
 def write_report(report: DataFrame, path: str) -> None:
     """The one-row report as a JSON object."""
-    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").option(
+        "timeZone", "UTC").json(path)
 
 
 def export_views(tables: Curated, folder: str) -> None:
     """Every view as headered CSV, the overview as JSON too.
 
-    A view is a small summary: one file each. Whole numbers stay whole in the JSON.
+    The overview is one row and one file. Other views are as long as there are models, tools
+    and the like, which senders choose, so they are written by as many tasks as they need.
+    Times are in UTC; whole numbers stay whole in the JSON.
     """
     for name, view in VIEWS.items():
         df = view(tables)
-        df.coalesce(1).write.mode("overwrite").csv(table_path(folder, name), header=True)
+        df.write.mode("overwrite").option("timeZone", "UTC").csv(table_path(folder, name), header=True)
         if name == "overview":
             df.coalesce(1).write.mode("overwrite").json(table_path(folder, "overview_json"))

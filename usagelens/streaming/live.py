@@ -2,33 +2,64 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.operators.standardize import conform, derive
 from usagelens.schemas import ENVELOPE, NUMERIC_COLUMNS
 from usagelens.sources.logs import flatten_batches
 
+#: Names the row as it was before zero-filling; copies of a row share it.
+ROW_ID = "row_id"
+#: The day (UTC) a row is stored under, ``undated`` for rows without a time.
+DAY = "event_day"
+UNDATED = "undated"
 
-def stream_events(spark: SparkSession, path: str, delay: str = "1 day",
-                  strict: bool = True) -> DataFrame:
-    """Standardized events from a folder of log files, redelivered rows left out.
 
-    Copies are recognised as in a batch run, by the whole row, when they arrive within
-    ``delay`` of each other in event time; the state older than that is dropped. Rows
-    without a readable time have no place in a stream with a watermark: Spark keeps
-    their keys, so each of them comes through once.
+def stream_events(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """Standardized events from a folder of log files, with ``row_id`` and ``event_day``.
+
+    Redelivered rows are still in it; ``append_events`` leaves them out. Nothing is
+    kept from one trigger to the next, and no event is too late.
     """
     mode = "FAILFAST" if strict else "PERMISSIVE"
     batches = spark.readStream.schema(ENVELOPE).json(path, mode=mode)
     events = conform(flatten_batches(batches, strict))
-    unique = events.withWatermark("timestamp", delay).dropDuplicates(events.columns)
-    return derive(unique.na.fill(0.0, NUMERIC_COLUMNS))
+    whole = F.struct(F.unix_micros("timestamp").alias("timestamp"),
+                     *[c for c in events.columns if c != "timestamp"])
+    keyed = events.withColumn(ROW_ID, F.md5(F.to_json(whole)))
+    day = F.substring(F.col("event_day_start").cast("string"), 1, 10)
+    return derive(keyed.na.fill(0.0, NUMERIC_COLUMNS)).withColumn(
+        "event_day_start", F.date_from_unix_date(
+            F.floor(F.unix_micros("timestamp") / 86_400_000_000).cast("int"))).withColumn(
+        DAY, F.coalesce(day, F.lit(UNDATED))).drop("event_day_start")
 
 
 def append_events(events: DataFrame, path: str, progress: str, **trigger) -> StreamingQuery:
-    """Append to a Parquet table; ``progress`` is the folder of the stream's own state."""
-    writer = events.writeStream.outputMode("append").format("parquet")
+    """Append to a Parquet table by day, each row once however often and late it arrives.
+
+    A trigger's rows are freed of copies among themselves and of rows the table holds
+    already; only the days that occur in the trigger are read for that, and only their
+    ids. A trigger that is repeated after a failure adds nothing twice. ``progress`` is
+    the folder of the stream's own state.
+    """
+    schema = events.schema
+
+    def add(batch: DataFrame, _: int) -> None:
+        fresh = batch.dropDuplicates()
+        try:
+            held = batch.sparkSession.read.schema(schema).parquet(path).select(DAY, ROW_ID)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            days = batch.select(DAY).distinct()
+            fresh = fresh.join(held.join(days, DAY, "left_semi"), [DAY, ROW_ID], "left_anti")
+        fresh.write.mode("append").partitionBy(DAY).parquet(path)
+
+    writer = events.writeStream.foreachBatch(add)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.option("checkpointLocation", progress).start(path)
+    return writer.option("checkpointLocation", progress).start()
