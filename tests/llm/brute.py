@@ -1,0 +1,167 @@
+"""The operators' contracts spelled out directly, for small inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def fold(key, modulus):
+    return zlib.crc32(("" if key is None else str(key)).encode()) % modulus
+
+
+def tokens(text):
+    return [w for w in re.split(r"[\x09-\x0D\x20]+", (text or "").translate(_LOWER)) if w]
+
+
+def contamination(docs, items):
+    """Per (id, text) row: (id, n_words, n_hit, n_items, sha, contaminated)."""
+    windows = defaultdict(set)
+    for item, text in items:
+        words = _WORD.findall((text or "").translate(_LOWER))
+        width = min(13, len(words))
+        if item is None or not width:
+            continue
+        for i in range(len(words) - width + 1):
+            windows[tuple(words[i:i + width])].add(str(item))
+    widths = {len(w) for w in windows}
+    out = []
+    for key, text in docs:
+        words = _WORD.findall((text or "").translate(_LOWER))
+        hit, named = set(), set()
+        for width in widths:
+            for i in range(len(words) - width + 1):
+                found = windows.get(tuple(words[i:i + width]))
+                if found:
+                    hit.update(range(i, i + width))
+                    named |= found
+        sha = hashlib.sha256(",".join(sorted(named)).encode()).hexdigest()
+        out.append((key, len(words), len(hit), len(named), sha,
+                    bool(hit) and 20 * len(hit) >= len(words)))
+    return out
+
+
+def shingles(text):
+    words = tokens(text)
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def components(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    return {n: root(n) for n in nodes}
+
+
+def near_duplicates(docs):
+    """{id: (n_shingles, component, kept)} for distinct non-null ids."""
+    sets = {key: shingles(text) for key, text in docs}
+    by_shingle = defaultdict(list)
+    for key, own in sets.items():
+        for s in own:
+            by_shingle[s].append(key)
+    shared = Counter()
+    for keys in by_shingle.values():
+        for i, a in enumerate(keys):
+            for b in keys[:i]:
+                shared[a, b] += 1
+    links = [p for p, n in shared.items()
+             if 100 * n >= 75 * (len(sets[p[0]]) + len(sets[p[1]]) - n)]
+    found = components(sets, links)
+    return {k: (len(own), found[k], found[k] == k) for k, own in sets.items()}
+
+
+def kind(text):
+    for kind, marks in (("table", [" | "]), ("markup", ["$$$", "%%%"]), ("notice", ["!!"])):
+        if any(m in (text or "") for m in marks):
+            return kind
+    return "prose"
+
+
+def raked(cells, targets, sweeps=10):
+    """{cell: weight} by plain loops; cells are tuples, targets lists of {value: share}."""
+    weights = {c: float(n) for c, n in cells.items()}
+    for _ in range(sweeps):
+        for at, target in enumerate(targets):
+            sums = Counter()
+            for c, w in weights.items():
+                sums[c[at]] += w
+            weights = {c: w * target.get(c[at], 0.0) / sums[c[at]] if sums[c[at]] > 0 else 0.0
+                       for c, w in weights.items()}
+    return weights
+
+
+def tempered(cells, at, power=0.7):
+    sums = Counter()
+    for c, n in cells.items():
+        sums[c[at]] += n
+    raw = {v: n ** power if n else 0.0 for v, n in sums.items()}
+    total = sum(raw.values())
+    return {v: x / total for v, x in raw.items()}
+
+
+def probabilities(cells, weights, fraction=0.7):
+    """{cell: probability}: the factor is found by halving."""
+    total = sum(cells.values())
+    ratio = {c: weights[c] / n if n else 0.0 for c, n in cells.items()}
+
+    def expected(factor):
+        return sum(min(1.0, factor * ratio[c]) * n for c, n in cells.items())
+
+    low, high = 0.0, 1.0
+    while expected(high) < fraction * total and high < 1e18:
+        high *= 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if expected(middle) < fraction * total else (low, middle)
+    return {c: fraction if not n else min(1.0, high * ratio[c]) for c, n in cells.items()}
+
+
+def mixed(docs, fraction=0.7):
+    """{id: (probability, kept)} of (id, text, lang, source) rows."""
+    cells = Counter()
+    own = {}
+    for key, text, lang, source in docs:
+        own[key] = (source or "", lang or "", kind(text))
+        cells[own[key]] += len(tokens(text))
+    probs = probabilities(cells, raked(cells, [tempered(cells, i) for i in range(3)]), fraction)
+    return {k: (probs[c], draw(k) < probs[c]) for k, c in own.items()}
+
+
+def draw(key):
+    text = "" if key is None else str(key)
+    return int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 2 ** 52
+
+
+def place(key, leaves):
+    """The shard of a key by descending (region, rack, shard, weight) rows."""
+    text = "\x00" if key is None else str(key)
+
+    def draw_for(child, weight):
+        bits = int(hashlib.md5(f"{child}/{text}".encode()).hexdigest()[:13], 16)
+        return -math.log((bits + 0.5) / 2 ** 52) / weight
+
+    names = [(region, f"{region}.{rack}", f"{region}.{rack}.{shard}", weight)
+             for region, rack, shard, weight in leaves if weight > 0]
+    for level in range(3):
+        sums = Counter()
+        for row in names:
+            sums[row[level]] += row[3]
+        best = min(sums, key=lambda c: (draw_for(c, sums[c]), c)) if len(sums) > 1 else next(iter(sums))
+        names = [r for r in names if r[level] == best]
+    return int(names[0][2].rsplit(".", 1)[1])

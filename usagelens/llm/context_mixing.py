@@ -1,13 +1,14 @@
 """Language-model scores by online logistic mixing of hashed-context bit predictors.
 
 A text is the sequence of its tokens: words, lower-cased (A-Z), each followed by one space,
-and an end byte after the last. Bytes are predicted bit by bit, most significant first. Six
-predictors look at the last 0 to 5 bytes, the seventh at the word so far, all of them also
-at the bits of the byte so far. A hash of what a predictor sees names a slot of its table,
-which holds how many zeros and ones followed. The predictors' logits are combined by weights
-chosen by a gate (how long a context has been seen, how often, how often the word so far),
-and the mixed logit is refined by an adaptive map from gate and logit to what really
-followed. The bits of a text and its end add up to its total code length.
+and an end byte after the last. Bytes are predicted bit by bit, most significant first. Four
+predictors look at the last 2 to 5 bytes, the fifth at the word so far, all of them
+also at the bits of the byte so far. A hash of what a predictor sees names a slot of its
+table, which holds how many zeros and ones followed. The predictors' logits are combined by
+weights chosen by two gates (how long a context has been seen, how often, how often the word
+so far; and the bits of the byte so far), and the mixed logit is refined by an adaptive map
+from gate and logit to what really followed. The bits of a text and its end add up to its
+total code length.
 
 Learning covers the whole training corpus and is distributed. (1) Tasks count words and
 six-byte windows of their texts and Spark adds the counts up; the slots are sums of these.
@@ -17,6 +18,9 @@ not predicted from itself). Weights are averaged over tasks by the bytes they sa
 up. The model has one size whatever the corpus (``MODEL_BYTES``), so it may be broadcast. It
 stays as it is while texts are scored, so scores do not depend on order or partitioning.
 
+The prediction of a byte depends on its key alone: its six-byte window and a 16-bit hash of
+the word so far. Tasks therefore learn and score each distinct key once.
+
 The usual smoothed unigram base is computed beside it from the same word counts. The
 ``COMMON_WORDS`` most frequent words are broadcast, a table of bounded size; every other
 token is looked up by a join, so the base covers all words.
@@ -42,13 +46,15 @@ from pyspark.sql import functions as F
 from usagelens.llm.common import byte_values, in_chunks
 from usagelens.session import stage
 
-ORDERS = 6  # contexts of 0 to 5 bytes; the predictor after them sees the word so far
-WORD = ORDERS
-PREDICTORS = ORDERS + 1
+#: Bytes the predictors look back; the predictor after them sees the word so far.
+LENGTHS = (2, 3, 4, 5)
+BACK = 5
+WORD = len(LENGTHS)
+PREDICTORS = WORD + 1
 #: log2 of the slots of each predictor's table.
-SLOT_BITS = (8, 16, 18, 20, 21, 22, 22)
-_OFFSETS = np.cumsum([0] + [1 << b for b in SLOT_BITS])
-SLOTS = int(_OFFSETS[-1])
+SLOT_BITS = (18, 20, 21, 22, 22)
+_OFFSETS = [sum(1 << b for b in SLOT_BITS[:i]) for i in range(PREDICTORS + 1)]
+SLOTS = _OFFSETS[-1]
 #: A slot's two counts take 16 bits each; both are scaled down together where one is larger.
 MODEL_BYTES = SLOTS * 4 + (1 << 20)
 END = b"\n"  # white space, so never inside a token
@@ -56,25 +62,30 @@ END = b"\n"  # white space, so never inside a token
 PRIOR = 0.2
 LEARNING_RATE = 0.05
 _CLIP = 12.0
-#: First gate: longest context seen (none, 0 to 5), how often (4), how often the word so far
-#: (9). Second gate: the bits of the byte so far.
-GATES = (ORDERS + 1) * 4 * 9
+#: Classes of how often a context and the word so far were seen.
+_CONTEXT_SEEN = (0.5, 2.5, 12.5, 100.5)
+_WORD_SEEN = (0.5, 1.5, 3.5, 8.5, 20.5, 60.5, 200.5, 1000.5)
+#: The first predictor whose contexts tell something by having been seen at all.
+_TELLING = 1
+#: First gate: telling contexts seen, how often the longest, how often the word so far.
+GATES = (WORD - _TELLING + 1) * (len(_CONTEXT_SEEN) + 1) * (len(_WORD_SEEN) + 1)
 #: Steps of the refining map over the mixed logit.
 STEPS = 33
-_OFTEN = (0.5, 1.5, 3.5, 8.5, 20.5, 60.5, 200.5, 1000.5)
 COMMON_WORDS = 200_000
 _MINI_BATCH = 1 << 12
-_CHUNK_BYTES = 1 << 22
-_PIECE_WORDS = 1 << 17
-#: Distinct windows and words a task holds before it hands its counts on.
-_HELD_WINDOWS = 1 << 20
+_RUN = 1 << 7
+_CHUNK_BYTES = 1 << 21
+_CACHED_BYTES = 1 << 17
+#: Distinct keys, and words, that a task holds at a time.
+_HELD_KEYS = 1 << 21
 _HELD_WORDS = 1 << 18
+_REMEMBERED_BITS = 22
+_PIECE_WORDS = 1 << 17
 #: Slots that travel in one row while tables are added up.
 _PART = 1 << 12
 
-_K = 0x9E3779B97F4A7C15
-_MULTIPLIER = np.uint64(_K)
-_INVERSE = np.uint64(pow(_K, -1, 1 << 64))
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_WINDOW = np.uint64((1 << 48) - 1)
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -86,86 +97,84 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-#: A number for each state of a byte so far: bits with a leading one.
+#: A number for each state of a byte so far (its bits with a leading one), and for each byte.
 _STATES = _mix(np.arange(256, dtype=np.uint64) * _MULTIPLIER)
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _MULTIPLIER)
+_LOGS = np.log(np.arange(1 << 16) + PRIOR).astype(np.float32)
+_CONTEXT_CLASS = np.digitize(np.arange(102), _CONTEXT_SEEN).astype(np.int32)
+_WORD_CLASS = np.digitize(np.arange(1002), _WORD_SEEN).astype(np.int64)
 
 
-def _pieces(words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+def pieces(words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
     """(bytes before, bytes) of a text's pieces; long texts come in several."""
-    before = END * (ORDERS - 1)
+    before = END * BACK
     for start in range(0, len(words) + 1, _PIECE_WORDS):
         part = words[start:start + _PIECE_WORDS]
-        body = b"".join(w + b" " for w in part)
+        body = b" ".join(part) + b" " * bool(part)
         if start + _PIECE_WORDS > len(words):
             body += END
         yield before, body
-        before = (before + body)[-(ORDERS - 1):]
-
-
-@dataclass
-class Bytes:
-    """What every predicted byte of some pieces follows: its window (the ORDERS bytes up to
-    and with it, as a number) and a hash of the word so far."""
-
-    windows: np.ndarray
-    words: np.ndarray
-
-    @classmethod
-    def of(cls, pieces: list[tuple[bytes, bytes]]) -> "Bytes":
-        pad = ORDERS - 1
-        data = np.frombuffer(b"".join(x for piece in pieces for x in piece), np.uint8)
-        lengths = np.array([len(body) for _, body in pieces])
-        real = np.ones(len(data), bool)
-        starts = np.cumsum(lengths + pad) - lengths - pad
-        for i in range(pad):
-            real[starts + i] = False
-        at = np.flatnonzero(real)
-        windows = np.zeros(len(at), np.uint64)
-        for i in range(ORDERS):
-            windows = (windows << np.uint64(8)) | data[at - (pad - i)]
-        # Sum of byte * K^position since the last space, times K^-start: a hash of the word.
-        n = len(data)
-        powers = np.cumprod(np.full(n, _MULTIPLIER))
-        sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers)]
-        begins = np.zeros(n, np.int64)  # the first byte of the word a byte belongs to
-        after_space = np.flatnonzero(data[:-1] == 32) + 1
-        begins[after_space] = after_space
-        begins[starts + pad] = starts + pad  # pieces begin with a word, or are only an end
-        begins = np.maximum.accumulate(begins)[at]
-        back = np.cumprod(np.full(n, _INVERSE))
-        return cls(windows, (sums[at] - sums[begins]) * back[begins])
-
-    def distinct(self) -> tuple["Bytes", np.ndarray, np.ndarray]:
-        """The distinct ones, which of them each byte is, and how often each occurs."""
-        place, found = pd.factorize(_mix(self.windows * _MULTIPLIER + self.words))
-        first = np.empty(len(found), np.int64)
-        first[place[::-1]] = np.arange(len(place) - 1, -1, -1)
-        return (Bytes(self.windows[first], self.words[first]), place,
-                np.bincount(place, minlength=len(found)))
-
-    def part(self, start: int, stop: int) -> "Bytes":
-        return Bytes(self.windows[start:stop], self.words[start:stop])
-
-    def context(self, predictor: int) -> np.ndarray:
-        """A hash of what a predictor sees before the byte."""
-        if predictor == WORD:
-            return _mix(self.words * _MULTIPLIER + np.uint64(1))
-        seen = (self.windows >> np.uint64(8)) & np.uint64((1 << 8 * predictor) - 1)
-        return _mix((seen + np.uint64(predictor + 2)) * _MULTIPLIER)
-
-    def so_far(self, bit: int) -> np.ndarray:
-        """The bits of each byte before this one, with a leading one."""
-        last = (self.windows & np.uint64(255)).astype(np.int64)
-        return (1 << bit) | (last >> (8 - bit))
-
-    def bits(self, bit: int) -> np.ndarray:
-        return ((self.windows >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
-
-
-def _slots(context: np.ndarray, states: np.ndarray, predictor: int) -> np.ndarray:
-    """Slots, counted through all tables."""
-    size = np.uint64(64 - SLOT_BITS[predictor])
-    return ((context + states) * _MULTIPLIER >> size).astype(np.int64) + _OFFSETS[predictor]
+        before = (before + body)[-BACK:]
+
+
+def keys_of(parts: list[tuple[bytes, bytes]]) -> np.ndarray:
+    """The key of every byte of some pieces: below, the six bytes up to and with it; above, a
+    hash of the word so far."""
+    data = np.frombuffer(b"".join(x for part in parts for x in part), np.uint8)
+    n = len(data) - BACK
+    wide = data.astype(np.uint64)
+    windows = wide[:n].copy()
+    for i in range(1, BACK + 1):
+        np.left_shift(windows, np.uint64(8), out=windows)
+        np.bitwise_or(windows, wide[i:n + i], out=windows)
+    lengths = np.array([len(body) for _, body in parts])
+    starts = np.cumsum(lengths + BACK) - lengths  # of the pieces' own bytes
+    numbers = _BYTES.take(data)
+    sums = np.cumsum(numbers) - numbers  # before each byte
+    begins = np.zeros(len(data), np.int64)  # the first byte of the word a byte belongs to
+    after_space = np.flatnonzero(data[:-1] == 32) + 1
+    begins[after_space] = after_space
+    begins[starts] = starts
+    begins = np.maximum.accumulate(begins)
+    so_far = ((sums - sums[begins]) * _MULTIPLIER) & ~_WINDOW
+    own = np.ones(len(data), bool)
+    for i in range(BACK):
+        own[starts - 1 - i] = False
+    return windows[own[BACK:]] | so_far[own]
+
+
+def contexts(keys: np.ndarray) -> list[np.ndarray]:
+    """A hash of what each predictor sees before the byte."""
+    before = (keys & _WINDOW) >> np.uint64(8)
+    found = [_mix(((before & np.uint64((1 << 8 * length) - 1)) + np.uint64(length)) * _MULTIPLIER)
+             for length in LENGTHS]
+    inside, word = np.ones(len(keys), bool), np.zeros(len(keys), np.uint64)
+    for i in range(BACK):  # the bytes since the last space, backwards
+        byte = (before >> np.uint64(8 * i)) & np.uint64(255)
+        inside = inside & (byte != 32) & (byte != END[0])
+        word = word | np.where(inside, byte << np.uint64(8 * i), np.uint64(0))
+    return [*found, _mix((word | (keys & ~_WINDOW)) * _MULTIPLIER + np.uint64(1))]
+
+
+def states(keys: np.ndarray, bit: int) -> np.ndarray:
+    """The bits of each byte before this one, with a leading one."""
+    return (1 << bit) | ((keys & np.uint64(255)).view(np.int64) >> (8 - bit))
+
+
+def bits(keys: np.ndarray, bit: int) -> np.ndarray:
+    return (keys >> np.uint64(7 - bit)).astype(np.uint8) & 1
+
+
+def slots_of(context: np.ndarray, state: np.ndarray, predictor: int) -> np.ndarray:
+    """Slots in the predictor's table, given the numbers of the states."""
+    return ((context + state) * _MULTIPLIER >> np.uint64(64 - SLOT_BITS[predictor])).view(np.int64)
+
+
+def by_context(keys: np.ndarray) -> np.ndarray:
+    """An order in which keys with like contexts are neighbours, so that the same slots are
+    wanted again while they are in the cache."""
+    turned = (keys & _WINDOW).byteswap()
+    return np.argsort((turned << np.uint64(8)) | ((keys & np.uint64(255)) << np.uint64(16)))
 
 
 @dataclass
@@ -178,101 +187,182 @@ class Model:
     @classmethod
     def start(cls, slots: np.ndarray) -> "Model":
         weights = np.zeros((PREDICTORS + 1, GATES + 256), np.float32)
-        weights[:, :GATES] = 0.2
+        weights[:PREDICTORS, :GATES] = 0.25
         odds = 1.0 / (1.0 + np.exp(-np.linspace(-_CLIP, _CLIP, STEPS)))
         # Until something follows, the map gives the mixed logit itself.
         return cls(slots, weights, 4.0 * np.tile(np.stack([1 - odds, odds])[:, None], (1, GATES, 1)),
                    np.zeros(weights.shape))
 
-    def inputs(self, data: Bytes, contexts: list[np.ndarray], bit: int,
-               leave_out: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Logits, (predictor, constant) x byte, and both gates of one bit."""
-        n = len(data.windows)
-        so_far, ones = data.so_far(bit), data.bits(bit)
-        states = _STATES[so_far]
+    def copy(self) -> "Model":
+        return Model(self.slots, self.weights.copy(), self.map.copy(), self.seen.copy())
+
+    def inputs(self, state: np.ndarray, ones: np.ndarray | None,
+               seen_by: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logits, (predictor, constant) x byte, and both gates of one bit. ``ones``: what
+        followed, to be taken off the slots."""
+        n = len(state)
+        number = _STATES.take(state)
+        if ones is not None:
+            gone = ones.astype(np.int32)
+            kept = 1 - gone
         logits = np.empty((PREDICTORS + 1, n), np.float32)
         logits[PREDICTORS] = 0.3
-        longest, often = np.zeros(n, np.int64), np.zeros(n, np.float32)
+        longest, often = np.zeros(n, np.int32), np.zeros(n, np.int32)
         for predictor in range(PREDICTORS):
-            seen = self.slots[_slots(contexts[predictor], states, predictor)]
-            zero = (seen & 0xFFFF).astype(np.float32)
-            one = (seen >> 16).astype(np.float32)
-            if leave_out:
-                np.subtract(one, ones, out=one)
-                np.subtract(zero, ~ones, out=zero)
-                np.maximum(one, 0, out=one)  # a collision's scaling can take it below
-                np.maximum(zero, 0, out=zero)
+            table = self.slots[_OFFSETS[predictor]:_OFFSETS[predictor + 1]]
+            counts = table.take(slots_of(seen_by[predictor], number, predictor))
+            zero, one = (counts & 0xFFFF).view(np.int32), (counts >> 16).view(np.int32)
+            if ones is not None:  # a collision's scaling can take a count below
+                one = np.maximum(one - gone, 0)
+                zero = np.maximum(zero - kept, 0)
+            np.subtract(_LOGS.take(one), _LOGS.take(zero), out=logits[predictor])
+            if predictor < _TELLING:
+                continue
             total = zero + one
-            logits[predictor] = np.log((one + np.float32(PRIOR)) / (zero + np.float32(PRIOR)))
-            if predictor < ORDERS:
+            if predictor < WORD:
                 known = total > 0
-                longest = np.where(known, predictor + 1, longest)
+                longest += known
                 often = np.where(known, total, often)
-        gate = (longest * 4 + np.digitize(often, (2.5, 12.5, 100.5))) * 9
-        return logits, gate + np.digitize(total, _OFTEN), so_far + GATES
+        first = (longest * (len(_CONTEXT_SEEN) + 1) + _CONTEXT_CLASS.take(np.minimum(often, 101))) * (
+            len(_WORD_SEEN) + 1) + _WORD_CLASS.take(np.minimum(total, 1001))
+        return logits, first, state + GATES
 
-    def mixed(self, logits: np.ndarray, gate: np.ndarray, second: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(gate), np.float32)
+    def mixed(self, logits: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(first), np.float32)
         for weights, own in zip(self.weights, logits):
-            total += (weights[gate] + weights[second]) * own
+            total += (weights.take(first) + weights.take(second)) * own
         return np.clip(total, -_CLIP, _CLIP)
 
-    def log10(self, data: Bytes) -> np.ndarray:
-        """log10 probability of every byte."""
+    def log10(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probability of every key's byte."""
         answers = np.log(self.map[1] / self.map[0]).astype(np.float32).ravel()
-        contexts = [data.context(p) for p in range(PREDICTORS)]
-        loss = np.zeros(len(data.windows))
+        order = by_context(keys)
+        found = np.empty(len(order))
+        for start in range(0, len(order), _MINI_BATCH):
+            at = order[start:start + _MINI_BATCH]
+            found[at] = self._block(keys[at], answers)
+        return found
+
+    def _block(self, keys: np.ndarray, answers: np.ndarray) -> np.ndarray:
+        seen_by = contexts(keys)
+        chance = np.ones(len(keys), np.float64)
         for bit in range(8):
-            logits, gate, second = self.inputs(data, contexts, bit, leave_out=False)
-            mixed = self.mixed(logits, gate, second)
+            logits, first, second = self.inputs(states(keys, bit), None, seen_by)
+            mixed = self.mixed(logits, first, second)
             low, part = _steps(mixed)
-            at = gate * STEPS + low
-            logit = (mixed + answers[at] * (1 - part) + answers[at + 1] * part) / 2
-            loss += np.logaddexp(0.0, np.where(data.bits(bit), -logit, logit))
-        return -loss / math.log(10)
+            at = first * STEPS + low
+            logit = (mixed + answers.take(at) * (1 - part) + answers.take(at + 1) * part) / 2
+            against = np.exp(np.where(bits(keys, bit), -logit, logit))
+            chance /= 1.0 + against.astype(np.float64)
+        return np.log10(chance)
 
-    def learn(self, data: Bytes, times: np.ndarray) -> None:
+    def learn(self, keys: np.ndarray, times: np.ndarray) -> None:
         """One online pass: every mini-batch is predicted, then weights and map move. Each
-        weight's step shrinks with the gradients it has seen."""
+        weight's step shrinks with the gradients it has seen. A mini-batch is put together
+        from runs of keys with like contexts from all over the data."""
+        runs = np.array_split(by_context(keys), max(1, len(times) // _RUN))
+        order = np.concatenate([runs[i] for i in np.random.default_rng(0).permutation(len(runs))])
         for start in range(0, len(times), _MINI_BATCH):
-            own, n = data.part(start, start + _MINI_BATCH), times[start:start + _MINI_BATCH]
-            contexts = [own.context(p) for p in range(PREDICTORS)]
+            at = order[start:start + _MINI_BATCH]
+            own, n = keys[at], times[at]
+            seen_by = contexts(own)
             for bit in range(8):
-                ones = own.bits(bit)
-                logits, gate, second = self.inputs(own, contexts, bit, leave_out=True)
-                mixed = self.mixed(logits, gate, second)
+                ones = bits(own, bit)
+                logits, first, second = self.inputs(states(own, bit), ones, seen_by)
+                mixed = self.mixed(logits, first, second)
                 error = (ones - 1.0 / (1.0 + np.exp(-mixed))) * n
                 for i, logit in enumerate(logits):
                     own_error = error * logit
-                    step = np.r_[np.bincount(gate, own_error, GATES),
-                                 np.bincount(second - GATES, own_error, 256)]
+                    step = np.concatenate([np.bincount(first, own_error, GATES),
+                                           np.bincount(second - GATES, own_error, 256)])
                     self.seen[i] += step * step
                     self.weights[i] += LEARNING_RATE * step / np.sqrt(self.seen[i] + 1.0)
                 low, part = _steps(mixed)
-                for step, weight in ((low, 1 - part), (low + 1, part)):
-                    at = (ones * GATES + gate) * STEPS + step
-                    self.map += np.bincount(at, n * weight, self.map.size).reshape(self.map.shape)
+                at = (ones.astype(np.int64) * GATES + first) * STEPS + low
+                for step, weight in ((at, n * (1 - part)), (at + 1, n * part)):
+                    self.map += np.bincount(step, weight, self.map.size).reshape(self.map.shape)
 
 
 def _steps(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    place = (mixed + _CLIP) * ((STEPS - 1) / (2 * _CLIP))
+    place = (mixed + np.float32(_CLIP)) * np.float32((STEPS - 1) / (2 * _CLIP))
     low = np.minimum(place.astype(np.int64), STEPS - 2)
     return low, place - low
 
 
+def _counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often they occur."""
+    if times is None:
+        return np.unique(keys, return_counts=True)
+    order = np.argsort(keys)
+    keys, times = keys[order], times[order]
+    firsts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[firsts], np.add.reduceat(times, firsts) if len(firsts) else times
+
+
+class _Held:
+    """Distinct keys of many pieces, with how often each occurred."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray) -> int:
+        self.parts.append(_counted(keys))
+        if self.size() >= _HELD_KEYS:
+            self.parts = [self.take()]
+        return len(keys)
+
+    def size(self) -> int:
+        return sum(len(n) for _, n in self.parts)
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = [k for k, _ in self.parts] or [np.zeros(0, np.uint64)]
+        times = [n for _, n in self.parts] or [np.zeros(0, np.int64)]
+        self.parts = []
+        return _counted(np.concatenate(keys), np.concatenate(times))
+
+
+class _Scores:
+    """log10 probabilities by key. Each key has one place in a table of fixed size, where its
+    last use is remembered; what is not found there is computed, once per call."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.keys = np.full(1 << _REMEMBERED_BITS, np.uint64(2 ** 64 - 1))
+        self.values = np.zeros(1 << _REMEMBERED_BITS, np.float32)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = ((keys * _MULTIPLIER) >> np.uint64(64 - _REMEMBERED_BITS)).view(np.int64)
+        found = self.values.take(at)
+        new = np.flatnonzero(self.keys.take(at) != keys)
+        if len(new):
+            distinct, place = np.unique(keys[new], return_inverse=True)
+            values = self.model.log10(distinct).astype(np.float32)
+            found[new] = values[place]
+            at = ((distinct * _MULTIPLIER) >> np.uint64(64 - _REMEMBERED_BITS)).view(np.int64)
+            self.keys[at], self.values[at] = distinct, values
+        return found
+
+
 def _chunks(bodies: list[bytes | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
     """The tokens of many texts at a time, and the number of the first."""
     for start, stop in in_chunks((len(b or b"") for b in bodies), _CHUNK_BYTES):
         yield start, [tokens(b) for b in bodies[start:stop]]
 
 
+def _chunk_keys(split: list[list[bytes]]) -> np.ndarray:
+    """The keys of some texts, made for so many bytes at a time that they stay in the cache."""
+    parts = [p for words in split for p in pieces(words)]
+    return np.concatenate([keys_of(parts[a:b]) for a, b in in_chunks(
+        (len(body) for _, body in parts), _CACHED_BYTES)])
+
+
 def count_tasks(training: DataFrame, text: str) -> DataFrame:
     """What tasks count in whole texts: (word, window, n); one of word and window is set. The
     end byte counts as a word, the empty one."""
 
     def run(batches):
         words: Counter = Counter()
-        windows, numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held = _Held()
 
         def rows(names, keys, n):
             return pa.RecordBatch.from_arrays(
@@ -284,6 +374,13 @@ def count_tasks(training: DataFrame, text: str) -> DataFrame:
             yield rows(found, [None] * len(found), [words[w] for w in found])
             words.clear()
 
+        def window_rows():
+            keys, n = held.take()
+            nothing = pa.nulls(len(keys), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [nothing, pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
+                names=["word", "window", "n"])
+
         for batch in batches:
             for _, split in _chunks(byte_values(batch.column(0))):
                 words[b""] += len(split)
@@ -291,18 +388,11 @@ def count_tasks(training: DataFrame, text: str) -> DataFrame:
                     words.update(own)
                 if len(words) >= _HELD_WORDS:
                     yield from word_rows()
-                keys, n = np.unique(Bytes.of([p for w in split for p in _pieces(w)]).windows,
-                                    return_counts=True)
-                both = np.concatenate([windows, keys])
-                order = np.argsort(both, kind="stable")
-                both, n = both[order], np.concatenate([numbers, n])[order]
-                firsts = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
-                windows, numbers = both[firsts], np.add.reduceat(n, firsts)
-                if len(windows) >= _HELD_WINDOWS:
-                    yield rows([None] * len(windows), windows.view(np.int64), numbers)
-                    windows, numbers = windows[:0], numbers[:0]
+                held.add(_chunk_keys(split) & _WINDOW)
+                if held.size() >= _HELD_KEYS:
+                    yield from window_rows()
         yield from word_rows()
-        yield rows([None] * len(windows), windows.view(np.int64), numbers)
+        yield from window_rows()
 
     return training.select(text).mapInArrow(run, "word binary, window long, n long")
 
@@ -311,33 +401,32 @@ def slot_table(counted: DataFrame) -> np.ndarray:
     """All slots' counts: added up in tasks, then by Spark, part by part."""
 
     def run(batches):
-        counts = np.zeros((SLOTS, 2), np.float32)
+        counts = np.zeros(SLOTS * 2, np.float32)
 
-        def add(data: Bytes, predictors, n):
+        def add(keys: np.ndarray, predictors, n):
+            seen_by = contexts(keys)
             for predictor in predictors:
-                context = data.context(predictor)
                 for bit in range(8):
-                    slots = _slots(context, _STATES[data.so_far(bit)], predictor)
-                    np.add.at(counts.reshape(-1), slots * 2 + data.bits(bit), n)
+                    slots = slots_of(seen_by[predictor], _STATES[states(keys, bit)], predictor)
+                    np.add.at(counts, (slots + _OFFSETS[predictor]) * 2 + bits(keys, bit), n)
 
         for batch in batches:
             word, window, n = (batch.column(i) for i in range(3))
             n = n.to_numpy().astype(np.float32)
-            plain = ~np.asarray(window.is_null())
+            plain = window.is_valid().to_numpy(zero_copy_only=False)
             if plain.any():
-                keys = window.filter(pa.array(plain)).to_numpy().astype(np.int64).view(np.uint64)
-                add(Bytes(keys, np.zeros_like(keys)), range(ORDERS), n[plain])
+                keys = window.filter(pa.array(plain)).to_numpy(zero_copy_only=False)
+                add(keys.astype(np.int64).view(np.uint64), range(WORD), n[plain])
             names = [w for w in word.to_pylist() if w is not None]
             if names:
                 spelled = [w + b" " if w else END for w in names]
-                pieces = [(END * (ORDERS - 1), s) for s in spelled]
-                add(Bytes.of(pieces), [WORD], np.repeat(n[~plain], [len(s) for s in spelled]))
-        used = np.flatnonzero(counts.reshape(-1, 256 * 2).any(axis=1))
-        for part in np.unique(used * 256 // _PART):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()),
-                 pa.array([counts[part * _PART:(part + 1) * _PART].tobytes()], pa.binary())],
-                names=["part", "counts"])
+                add(keys_of([(END * BACK, s) for s in spelled]), [WORD],
+                    np.repeat(n[~plain], [len(s) for s in spelled]))
+        for part, own in enumerate(counts.reshape(-1, 2 * _PART)):
+            if own.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([own.tobytes()], pa.binary())],
+                    names=["part", "counts"])
 
     def add_up(rows: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in rows["counts"])
@@ -350,11 +439,10 @@ def slot_table(counted: DataFrame) -> np.ndarray:
     tasks = max(1, counted.sparkSession.sparkContext.defaultParallelism)
     # MODEL_BYTES in all, whatever the corpus.
     found = counted.coalesce(tasks).mapInArrow(run, "part int, counts binary").groupBy("part").applyInPandas(
-        add_up, "part int, slots binary").toLocalIterator()
+        add_up, "part int, slots binary").collect()
     slots = np.zeros(SLOTS, np.uint32)
     for row in found:
-        own = np.frombuffer(row["slots"], np.uint32)
-        slots[row["part"] * _PART:row["part"] * _PART + len(own)] = own
+        slots[row["part"] * _PART:(row["part"] + 1) * _PART] = np.frombuffer(row["slots"], np.uint32)
     return slots
 
 
@@ -366,15 +454,14 @@ def fit(training: DataFrame, counted: DataFrame, text: str) -> Model:
 
     def run(batches):
         start = first.value
-        own = Model(start.slots, start.weights.copy(), start.map.copy(), start.seen.copy())
-        seen = 0
+        own, seen, held = start.copy(), 0, _Held()
         for batch in batches:
             for _, split in _chunks(byte_values(batch.column(0))):
-                data, _, times = Bytes.of([p for w in split for p in _pieces(w)]).distinct()
-                # In no order of frequency, so every mini-batch is like the text.
-                mixed = np.random.default_rng(0).permutation(len(times))
-                own.learn(Bytes(data.windows[mixed], data.words[mixed]), times[mixed])
-                seen += int(times.sum())
+                seen += held.add(_chunk_keys(split))
+                if held.size() >= _HELD_KEYS:
+                    own.learn(*held.take())
+        if held.size():
+            own.learn(*held.take())
         if seen:
             values = np.r_[float(seen), own.weights.ravel() * float(seen),
                            (own.map - start.map).ravel()]
@@ -398,14 +485,13 @@ def score_texts(docs: DataFrame, model: Model, common: tuple[list[bytes], np.nda
 
     def run(batches):
         own, (names, logs) = shared.value
-        size = dict(zip(names, logs.tolist()))
+        size, known = dict(zip(names, logs.tolist())), _Scores(own)
         for batch in batches:
             for start, split in _chunks(byte_values(batch.column(3))):
-                pieces = [list(_pieces(w)) for w in split]
-                data, place, _ = Bytes.of([p for own_pieces in pieces for p in own_pieces]).distinct()
-                lengths = np.array([sum(len(b) for _, b in p) for p in pieces])
+                logs10 = known.of(_chunk_keys(split))
+                lengths = np.array([sum(map(len, words)) + len(words) + 1 for words in split])
                 starts = np.r_[0, np.cumsum(lengths)[:-1]]
-                scores = np.add.reduceat(own.log10(data)[place], starts)
+                scores = np.add.reduceat(logs10, starts, dtype=np.float64)
                 yield _rows(batch, start, split, size, scores, -scores * math.log2(10) / lengths)
 
     kind = docs.schema[key].dataType.simpleString()
