@@ -1,5 +1,6 @@
 """Log files, saved tables and exports."""
 
+import glob
 import json
 
 import pytest
@@ -8,8 +9,10 @@ from pyspark.sql import functions as F
 from usagelens.operators.batches import pack_batches
 from usagelens.plans import pipeline, tables, views
 from usagelens.schemas import RAW_COLUMNS
-from checks import sample
+from usagelens.session import staging_folder
 from usagelens.sources import logs
+from usagelens.sources.employees import read_employees
+from checks import sample
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -113,3 +116,24 @@ def test_saved_tables_have_statistics(spark, make_raw, tmp_path):
     described = {r[0]: r[1] for r in spark.sql(
         "DESCRIBE EXTENDED curated.sessions").collect()}
     assert "2 rows" in described["Statistics"]
+
+
+def test_a_saved_run_leaves_no_staged_rows(spark, make_raw, tmp_path):
+    before = set(glob.glob(f"{staging_folder(spark)}/*/*"))
+    saved = pipeline.save_curated(make_raw({}, {}, {"session_id": "s2"}), None, str(tmp_path / "out"))
+    assert saved.events.count() == 2 and "copies" not in saved.events.columns
+    assert set(glob.glob(f"{staging_folder(spark)}/*/*")) == before
+    summary = spark.read.json(str(tmp_path / "out" / "data_quality_report")).first()["summary"]
+    assert (summary["raw_row_count"], summary["duplicate_rows_removed"]) == (3, 1)
+
+
+def test_awkward_employee_lists(spark, tmp_path, make_raw):
+    path = tmp_path / "staff.csv"
+    path.write_text('Email,Full_Name,practice,level,location,model\n'
+                    'a@x,"Ann ""Q"" Lee",P,L1,"Oslo,\nNorway",laptop\n'
+                    'b@x,NULL,n/a,,nan,\n')
+    staff = read_employees(spark, str(path))
+    rows = {r["email"]: tuple(r[c] for c in ("full_name", "practice", "level", "location")) for r in staff.collect()}
+    assert rows == {"a@x": ('Ann "Q" Lee', "P", "L1", "Oslo,\nNorway"), "b@x": ("", "", "", "")}
+    event = tables.build_tables(make_raw({"model": "m"}), staff).events.first()
+    assert (event["full_name"], event["model"]) == ('Ann "Q" Lee', "m")

@@ -14,21 +14,22 @@ _POSITION_BITS = 33
 
 
 def number_rows(df: DataFrame, order: list[str], name: str,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Add ``name``, 1..N in the given order with nulls last.
 
     Rows are range-partitioned and sorted, so a partition number and a position
     inside the partition place every row. They are written to the shared folder
     before any counting: range limits come from a sample, and a second run could
     draw others. The number is then the position plus the row count of the earlier
-    partitions, a table of one row per partition.
+    partitions, a table of one row per partition. Calling this runs the write; the rows
+    stay where they were written (``path``, or a new one) as long as the result is in use.
     """
     keys = [F.col(c).asc_nulls_last() for c in order]
     ranged = (df.repartitionByRange(partitions, *keys) if partitions
               else df.repartitionByRange(*keys))
     placed = (ranged.sortWithinPartitions(*keys)
               .withColumn("_slot", F.monotonically_increasing_id()))
-    placed = stage(placed, name)
+    placed = stage(placed, name, path)
 
     part = F.shiftright("_slot", _POSITION_BITS).alias("_part")
     position = F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
@@ -44,7 +45,8 @@ def number_rows(df: DataFrame, order: list[str], name: str,
             .drop("_part", "_slot", "_before"))
 
 
-def number_events(events: DataFrame, partitions: int | None = None) -> DataFrame:
+def number_events(events: DataFrame, partitions: int | None = None,
+                  path: str | None = None) -> DataFrame:
     """Add ``event_id`` in (timestamp, session, event name) order.
 
     De-duplicated rows differ somewhere, and the whole row is the sort key, so even a
@@ -53,4 +55,4 @@ def number_events(events: DataFrame, partitions: int | None = None) -> DataFrame
     than to shuffle and write.
     """
     extra = [c for c in events.columns if c not in EVENT_ORDER]
-    return number_rows(events, [*EVENT_ORDER, *extra], "event_id", partitions)
+    return number_rows(events, [*EVENT_ORDER, *extra], "event_id", partitions, path)

@@ -41,9 +41,15 @@ def _group(prefix: str, names: list[str]):
 
 def quality_report(conformed: DataFrame, events: DataFrame, session_table: DataFrame,
                    user_table: DataFrame) -> DataFrame:
+    """``report`` from the cleaned events before de-duplication."""
+    return report(redelivery_summary(conformed), events, session_table, user_table)
+
+
+def report(summary: DataFrame, events: DataFrame, session_table: DataFrame,
+           user_table: DataFrame) -> DataFrame:
     """The report as one nested row.
 
-    ``conformed`` are the cleaned events before de-duplication, ``events`` the
+    ``summary`` is the one row of ``redelivery_summary``, ``events`` are the
     enriched ones. The distribution lists every name that occurs, known or not.
     """
     present = [n for n in MISSING_CHECKED if n in events.columns]
@@ -54,7 +60,7 @@ def quality_report(conformed: DataFrame, events: DataFrame, session_table: DataF
     names = events.groupBy("event_name").agg(F.count("*").alias("n")).agg(F.map_from_entries(
         F.sort_array(F.collect_list(F.struct("event_name", "n")))))
     one = events.sparkSession.range(1).select(
-        redelivery_summary(conformed).select(F.struct("*")).scalar().alias("r"),
+        summary.select(F.struct("*")).scalar().alias("r"),
         column_counts(events).select(F.struct("*")).scalar().alias("c"),
         facts.select(F.struct("*")).scalar().alias("f"),
         session_table.agg(F.count("*")).scalar().alias("sessions"),

@@ -49,6 +49,11 @@ def drop_redelivered(conformed: DataFrame) -> DataFrame:
     return conformed.dropDuplicates()
 
 
+def count_copies(conformed: DataFrame) -> DataFrame:
+    """``drop_redelivered`` that keeps in ``copies`` how often each row was delivered."""
+    return conformed.groupBy(*conformed.columns).agg(F.count("*").alias("copies"))
+
+
 def clean(raw: DataFrame) -> DataFrame:
     """Typed, zero-filled events without copies: all that needs to be shuffled."""
     return drop_redelivered(conform(raw)).na.fill(0.0, NUMERIC_COLUMNS)
@@ -69,7 +74,11 @@ def standardize(raw: DataFrame) -> DataFrame:
 
 def redelivery_summary(conformed: DataFrame) -> DataFrame:
     """One row of counts before and after de-duplication, from a single shuffle."""
-    copies = conformed.groupBy(*conformed.columns).agg(F.count("*").alias("copies"))
+    return summarize_copies(count_copies(conformed))
+
+
+def summarize_copies(copies: DataFrame) -> DataFrame:
+    """The same from rows that carry their ``copies``."""
     raw_rows = F.coalesce(F.sum("copies"), F.lit(0))
     undated = F.sum(F.when(F.col("timestamp").isNull(), F.col("copies")))
     return copies.agg(

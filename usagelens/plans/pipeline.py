@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from usagelens.operators import marts
 from usagelens.operators.enrich import enrich
 from usagelens.operators.numbering import number_events
-from usagelens.operators.quality import event_distribution, quality_report
-from usagelens.operators.standardize import clean, conform, derive
+from usagelens.operators.quality import event_distribution, report
+from usagelens.operators.standardize import conform, count_copies, derive, summarize_copies
 from usagelens.plans.tables import Curated, table_path
+from usagelens.schemas import NUMERIC_COLUMNS
+from usagelens.session import new_path, remove_staged
 from usagelens.sources.employees import read_employees
 from usagelens.sources.logs import ingest
 from usagelens.sources.sinks import export_views, write_raw_events, write_report, write_table
@@ -30,18 +32,24 @@ def save_curated(raw: DataFrame, employees: DataFrame | None, folder: str,
                  partition_events_by: str | None = None) -> Curated:
     """Write the five tables and the report.
 
+    Raw events are read and de-duplicated once: how often each row was delivered is carried
+    along until the report has counted it. The numbered rows staged for that are removed.
     Each later table reads the written events, which lie in time order: a session's
     events sit in one or two files, so grouping them combines almost everything
     before the shuffle, and time filters skip whole files.
     """
-    numbered = derive(number_events(clean(raw)))
-    events = write_table(enrich(numbered, employees), folder, "events", partition_events_by)
+    staged = new_path(raw.sparkSession, "numbered")
+    counted = count_copies(conform(raw)).na.fill(0.0, NUMERIC_COLUMNS)
+    numbered = number_events(counted, path=staged)
+    enriched = enrich(derive(numbered.drop("copies")), employees)
+    events = write_table(enriched, folder, "events", partition_events_by)
     api = write_table(marts.api_requests(events), folder, "api_requests")
     tools = write_table(marts.tool_results(events), folder, "tool_results")
     sessions = write_table(marts.sessions(events), folder, "sessions")
     users = write_table(marts.users(events, sessions), folder, "users")
-    write_report(quality_report(conform(raw), events, sessions, users),
+    write_report(report(summarize_copies(numbered), events, sessions, users),
                  table_path(folder, "data_quality_report"))
+    remove_staged(raw.sparkSession, staged)
     event_distribution(events).write.mode("overwrite").json(
         table_path(folder, "event_name_distribution"))
     return Curated(events=lambda: events, api_requests=lambda: api,

@@ -34,14 +34,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The result has a short lineage that survives lost executors, and the columns
     a later stage does not need are not read again. The files stay until
     ``remove_staged``, because the returned plan reads them.
     """
-    path = new_path(df.sparkSession, name)
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
