@@ -40,6 +40,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,9 +79,9 @@ _RUN = 1 << 7
 _CHUNK_BYTES = 1 << 21
 _CACHED_BYTES = 1 << 17
 #: Distinct keys, and words, that a task holds at a time.
-_HELD_KEYS = 1 << 21
+_HELD_KEYS = 1 << 20
 _HELD_WORDS = 1 << 18
-_REMEMBERED_BITS = 22
+_REMEMBERED_BITS = 21
 _PIECE_WORDS = 1 << 17
 #: Slots that travel in one row while tables are added up.
 _PART = 1 << 12
@@ -343,10 +345,11 @@ class _Scores:
         return found
 
 
-def _chunks(bodies: list[bytes | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
+def _chunks(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
     """The tokens of many texts at a time, and the number of the first."""
-    for start, stop in in_chunks((len(b or b"") for b in bodies), _CHUNK_BYTES):
-        yield start, [tokens(b) for b in bodies[start:stop]]
+    sizes = pa.compute.binary_length(column).fill_null(0).to_pylist()
+    for start, stop in in_chunks(sizes, _CHUNK_BYTES):
+        yield start, [tokens(b) for b in byte_values(column.slice(start, stop - start))]
 
 
 def _chunk_keys(split: list[list[bytes]]) -> np.ndarray:
@@ -382,7 +385,7 @@ def count_tasks(training: DataFrame, text: str) -> DataFrame:
                 names=["word", "window", "n"])
 
         for batch in batches:
-            for _, split in _chunks(byte_values(batch.column(0))):
+            for _, split in _chunks(batch.column(0)):
                 words[b""] += len(split)
                 for own in split:
                     words.update(own)
@@ -446,17 +449,29 @@ def slot_table(counted: DataFrame) -> np.ndarray:
     return slots
 
 
-def fit(training: DataFrame, counted: DataFrame, text: str) -> Model:
+@dataclass
+class Learned:
+    """A model as tasks get it: the slots are broadcast once, for learning and scoring."""
+
+    slots: Broadcast  # MODEL_BYTES
+    rest: Model  # without slots
+
+    def model(self) -> Model:
+        own = self.rest.copy()
+        own.slots = self.slots.value
+        return own
+
+
+def fit(training: DataFrame, counted: DataFrame, text: str) -> Learned:
     """The model of the training texts and their counts."""
-    sc = training.sparkSession.sparkContext
-    model = Model.start(slot_table(counted))
-    first = sc.broadcast(model)  # MODEL_BYTES
+    model = Model.start(np.zeros(0, np.uint32))
+    learned = Learned(training.sparkSession.sparkContext.broadcast(slot_table(counted)), model)
 
     def run(batches):
-        start = first.value
-        own, seen, held = start.copy(), 0, _Held()
+        own, seen, held = learned.model(), 0, _Held()
+        start = model.map
         for batch in batches:
-            for _, split in _chunks(byte_values(batch.column(0))):
+            for _, split in _chunks(batch.column(0)):
                 seen += held.add(_chunk_keys(split))
                 if held.size() >= _HELD_KEYS:
                     own.learn(*held.take())
@@ -464,30 +479,30 @@ def fit(training: DataFrame, counted: DataFrame, text: str) -> Model:
             own.learn(*held.take())
         if seen:
             values = np.r_[float(seen), own.weights.ravel() * float(seen),
-                           (own.map - start.map).ravel()]
+                           (own.map - start).ravel()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(values)), pa.int32()), pa.array(values)], names=["place", "value"])
 
     # A fixed number of small sums, whatever the corpus.
     sums = training.select(text).mapInArrow(run, "place int, value double").groupBy("place").agg(
         F.sum("value").alias("value")).toPandas().sort_values("place")["value"].to_numpy()
-    if len(sums):
-        weights, counts = np.split(sums[1:], [model.weights.size])
-        model.weights = (weights / sums[0]).reshape(model.weights.shape).astype(np.float32)
-        model.map = model.map + counts.reshape(model.map.shape)
-    return model
+    if not len(sums):
+        return learned
+    weights, counts = np.split(sums[1:], [model.weights.size])
+    return Learned(learned.slots, Model(
+        model.slots, (weights / sums[0]).reshape(model.weights.shape).astype(np.float32),
+        model.map + counts.reshape(model.map.shape), model.seen))
 
 
-def score_texts(docs: DataFrame, model: Model, common: tuple[list[bytes], np.ndarray],
+def score_texts(docs: DataFrame, learned: Learned, common: tuple[list[bytes], np.ndarray],
                 held_out: Column, key: str, text: str) -> DataFrame:
     """Per text a row with its sums over common tokens, and a row per other distinct word."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, common))
+    shared = docs.sparkSession.sparkContext.broadcast(common)  # at most COMMON_WORDS words
 
     def run(batches):
-        own, (names, logs) = shared.value
-        size, known = dict(zip(names, logs.tolist())), _Scores(own)
+        size, known = dict(zip(shared.value[0], shared.value[1].tolist())), _Scores(learned.model())
         for batch in batches:
-            for start, split in _chunks(byte_values(batch.column(3))):
+            for start, split in _chunks(batch.column(3)):
                 logs10 = known.of(_chunk_keys(split))
                 lengths = np.array([sum(map(len, words)) + len(words) + 1 for words in split])
                 starts = np.r_[0, np.cumsum(lengths)[:-1]]
@@ -543,8 +558,9 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id",
         F.desc("c"), "word").limit(COMMON_WORDS).toArrow()
     common = (common.column("word").to_pylist(), np.log10(common.column("c").to_numpy() + 1.0))
     ends = words.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    model = fit(training, counted, text)
-    rows = stage(score_texts(docs, model, common, held_out, key, text), "scores")
+    learned = fit(training, counted, text)
+    rows = stage(score_texts(docs, learned, common, held_out, key, text), "scores")
+    learned.slots.unpersist()
 
     rest = rows.where(F.col("word").isNotNull()).join(words, "word").groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rest"),
