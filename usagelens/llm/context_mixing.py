@@ -64,6 +64,7 @@ END = b"\n"  # white space, so never inside a token
 PRIOR = 0.2
 LEARNING_RATE = 0.05
 _CLIP = 12.0
+_CONSTANT = 0.3
 #: Classes of how often a context and the word so far were seen.
 _CONTEXT_SEEN = (0.5, 2.5, 12.5, 100.5)
 _WORD_SEEN = (0.5, 1.5, 3.5, 8.5, 20.5, 60.5, 200.5, 1000.5)
@@ -208,7 +209,7 @@ class Model:
             gone = ones.astype(np.int32)
             kept = 1 - gone
         logits = np.empty((PREDICTORS + 1, n), np.float32)
-        logits[PREDICTORS] = 0.3
+        logits[PREDICTORS] = _CONSTANT
         longest, often = np.zeros(n, np.int32), np.zeros(n, np.int32)
         for predictor in range(PREDICTORS):
             table = self.slots[_OFFSETS[predictor]:_OFFSETS[predictor + 1]]
@@ -235,28 +236,16 @@ class Model:
             total += (weights.take(first) + weights.take(second)) * own
         return np.clip(total, -_CLIP, _CLIP)
 
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of every key's byte."""
-        answers = np.log(self.map[1] / self.map[0]).astype(np.float32).ravel()
-        order = by_context(keys)
-        found = np.empty(len(order))
-        for start in range(0, len(order), _MINI_BATCH):
-            at = order[start:start + _MINI_BATCH]
-            found[at] = self._block(keys[at], answers)
-        return found
-
-    def _block(self, keys: np.ndarray, answers: np.ndarray) -> np.ndarray:
-        seen_by = contexts(keys)
-        chance = np.ones(len(keys), np.float64)
-        for bit in range(8):
-            logits, first, second = self.inputs(states(keys, bit), None, seen_by)
-            mixed = self.mixed(logits, first, second)
-            low, part = _steps(mixed)
-            at = first * STEPS + low
-            logit = (mixed + answers.take(at) * (1 - part) + answers.take(at + 1) * part) / 2
-            against = np.exp(np.where(bits(keys, bit), -logit, logit))
-            chance /= 1.0 + against.astype(np.float64)
-        return np.log10(chance)
+    def freeze(self) -> "Frozen":
+        logits, classes = np.empty(SLOTS, np.float16), np.empty(SLOTS, np.uint8)
+        for predictor in range(PREDICTORS):
+            own = slice(_OFFSETS[predictor], _OFFSETS[predictor + 1])
+            zero, one = self.slots[own] & 0xFFFF, self.slots[own] >> 16
+            logits[own] = _LOGS[one] - _LOGS[zero]
+            known = _WORD_CLASS if predictor == WORD else _CONTEXT_CLASS
+            classes[own] = known[np.minimum(zero + one, len(known) - 1)]
+        return Frozen(logits, classes, self.weights,
+                      np.log(self.map[1] / self.map[0]).astype(np.float32).ravel())
 
     def learn(self, keys: np.ndarray, times: np.ndarray) -> None:
         """One online pass: every mini-batch is predicted, then weights and map move. Each
@@ -285,6 +274,56 @@ class Model:
                     self.map += np.bincount(step, weight, self.map.size).reshape(self.map.shape)
 
 
+@dataclass
+class Frozen:
+    """A learned model for scoring: what each slot has to say, worked out beforehand."""
+
+    logits: np.ndarray  # by slot
+    classes: np.ndarray  # how often it was seen, by slot
+    weights: np.ndarray
+    answers: np.ndarray  # the map's logits, by gate and step
+
+    def log10(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probability of every key's byte."""
+        order = by_context(keys)
+        found = np.empty(len(order))
+        for start in range(0, len(order), _MINI_BATCH):
+            at = order[start:start + _MINI_BATCH]
+            found[at] = self._block(keys[at])
+        return found
+
+    def _block(self, keys: np.ndarray) -> np.ndarray:
+        seen_by, n = contexts(keys), len(keys)
+        chance = np.ones(n, np.float64)
+        for bit in range(8):
+            state = states(keys, bit)
+            number = _STATES.take(state)
+            longest, often = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
+            said = []
+            for predictor in range(PREDICTORS):
+                slots = slots_of(seen_by[predictor], number, predictor) + _OFFSETS[predictor]
+                said.append(self.logits.take(slots).astype(np.float32))
+                if predictor >= _TELLING:
+                    seen = self.classes.take(slots)
+                    if predictor < WORD:
+                        known = seen > 0
+                        longest += known
+                        often = np.where(known, seen, often)
+            first = (longest * np.int64(len(_CONTEXT_SEEN) + 1) + often) * (len(_WORD_SEEN) + 1) + seen
+            second = state + GATES
+            mixed = (self.weights[PREDICTORS].take(first)
+                     + self.weights[PREDICTORS].take(second)) * np.float32(_CONSTANT)
+            for weights, own in zip(self.weights, said):
+                mixed += (weights.take(first) + weights.take(second)) * own
+            mixed = np.clip(mixed, -_CLIP, _CLIP)
+            low, part = _steps(mixed)
+            at = first * STEPS + low
+            logit = (mixed + self.answers.take(at) * (1 - part) + self.answers.take(at + 1) * part) / 2
+            against = np.exp(np.where(bits(keys, bit), -logit, logit))
+            chance /= 1.0 + against.astype(np.float64)
+        return np.log10(chance)
+
+
 def _steps(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = (mixed + np.float32(_CLIP)) * np.float32((STEPS - 1) / (2 * _CLIP))
     low = np.minimum(place.astype(np.int64), STEPS - 2)
@@ -327,7 +366,7 @@ class _Scores:
     """log10 probabilities by key. Each key has one place in a table of fixed size, where its
     last use is remembered; what is not found there is computed, once per call."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Frozen):
         self.model = model
         self.keys = np.full(1 << _REMEMBERED_BITS, np.uint64(2 ** 64 - 1))
         self.values = np.zeros(1 << _REMEMBERED_BITS, np.float32)
@@ -451,7 +490,7 @@ def slot_table(counted: DataFrame) -> np.ndarray:
 
 @dataclass
 class Learned:
-    """A model as tasks get it: the slots are broadcast once, for learning and scoring."""
+    """A model as learning tasks get it; the slots are broadcast."""
 
     slots: Broadcast  # MODEL_BYTES
     rest: Model  # without slots
@@ -494,13 +533,15 @@ def fit(training: DataFrame, counted: DataFrame, text: str) -> Learned:
         model.map + counts.reshape(model.map.shape), model.seen))
 
 
-def score_texts(docs: DataFrame, learned: Learned, common: tuple[list[bytes], np.ndarray],
+def score_texts(docs: DataFrame, model: Frozen, common: tuple[list[bytes], np.ndarray],
                 held_out: Column, key: str, text: str) -> DataFrame:
     """Per text a row with its sums over common tokens, and a row per other distinct word."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)  # at most COMMON_WORDS words
+    # No more than MODEL_BYTES and COMMON_WORDS words.
+    shared = docs.sparkSession.sparkContext.broadcast((model, common))
 
     def run(batches):
-        size, known = dict(zip(shared.value[0], shared.value[1].tolist())), _Scores(learned.model())
+        frozen, (names, logs) = shared.value
+        size, known = dict(zip(names, logs.tolist())), _Scores(frozen)
         for batch in batches:
             for start, split in _chunks(batch.column(3)):
                 logs10 = known.of(_chunk_keys(split))
@@ -559,8 +600,9 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id",
     common = (common.column("word").to_pylist(), np.log10(common.column("c").to_numpy() + 1.0))
     ends = words.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     learned = fit(training, counted, text)
-    rows = stage(score_texts(docs, learned, common, held_out, key, text), "scores")
+    model = learned.model().freeze()
     learned.slots.unpersist()
+    rows = stage(score_texts(docs, model, common, held_out, key, text), "scores")
 
     rest = rows.where(F.col("word").isNotNull()).join(words, "word").groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rest"),
