@@ -13,11 +13,12 @@ import time
 from pyspark.sql import SparkSession
 
 from checks.queries import QUERIES
+from usagelens.session import remove_staged
 
 HEADLINE = [
     "standardize_events", "event_numbering", "enrich_employees", "sessions", "users",
     "quality_summary", "overview", "cost_by_model", "error_rate_by_model", "filtered_kpis",
-    "ingest_flatten", "saved_overview",
+    "ingest_flatten", "saved_overview", "saved_filtered_kpis",
 ]
 
 
@@ -39,11 +40,19 @@ def main() -> None:
         # Every row and column is computed, none is shipped to the driver.
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    # The same once more, with the code compiled: what is left is the work itself.
+    warm: dict[str, float] = {}
+    for name in HEADLINE:
+        started = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        warm[name] = round(time.perf_counter() - started, 3)
+    remove_staged(spark)
     spark.stop()
     scale = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total seconds for the headline queries",
         "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
+        "second_run": warm,
         "sf": float(scale.group(1)) if scale else None,
     }))
 

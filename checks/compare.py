@@ -70,6 +70,7 @@ def main(argv: list[str]) -> int:
     sys.path.insert(0, os.getcwd())
     from checks.oracle import ORACLE
     from checks.queries import QUERIES
+    from usagelens.session import remove_staged
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
@@ -83,6 +84,7 @@ def main(argv: list[str]) -> int:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None
         print(f"{name:32s} {time.time() - started:6.2f}s  {problem or 'ok'}", flush=True)
+    remove_staged(spark)
     print(f"{len(names) - failed} of {len(names)} agree")
     return failed
 

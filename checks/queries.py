@@ -183,6 +183,13 @@ def _saved_overview(i: _Inputs) -> DataFrame:
     return views.overview(tables.read_tables(i.spark, folder))
 
 
+def _saved_filtered_kpis(i: _Inputs) -> DataFrame:
+    folder = new_path(i.spark, "curated")
+    save_curated(i.raw, i.employees, folder)
+    saved = tables.read_tables(i.spark, folder)
+    return explore.kpis(explore.apply_filters(saved, PRACTICES, MODELS))
+
+
 def _view_counts(i: _Inputs) -> DataFrame:
     folder = new_path(i.spark, "curated")
     save_curated(i.raw, i.employees, folder)
@@ -227,6 +234,7 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "run_totals": lambda i: tables.run_totals(i.tables),
     "saved_overview": _saved_overview,
     "view_counts": _view_counts,
+    "saved_filtered_kpis": _saved_filtered_kpis,
     "filter_options": lambda i: explore.filter_options(i.tables),
     "filtered_kpis": lambda i: explore.kpis(i.filtered),
     "filtered_kpi_texts": lambda i: explore.kpi_texts(i.filtered),

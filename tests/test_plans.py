@@ -27,7 +27,7 @@ def _plan(df):
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in (
     "ingest_flatten", "saved_overview", "view_counts", "pack_log_batches", "event_numbering", "event_preview",
-    "employees_from_csv", "stored_events", "report_from_json")])
+    "saved_filtered_kpis", "employees_from_csv", "stored_events", "report_from_json")])
 def test_no_python_no_global_window_no_cross_join(spark, name):
     plan = _plan(QUERIES[name](spark, SF_DIR))
     for word in ("Python", "Pandas", "Arrow", "Window", "CartesianProduct"):
