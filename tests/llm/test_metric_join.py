@@ -49,6 +49,27 @@ def test_many_cells_and_small_blocks(spark, vectors, monkeypatch):
     _check(spark, vectors)
 
 
+def test_scaled_float32_copies_keep_the_links_of_their_neighbours(spark, monkeypatch):
+    """Copies of one vector at many scales differ by their rounding to float32 only; pivots
+    among them nearly coincide."""
+    monkeypatch.setattr(metric_join, "CELL", 16)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=32)
+    base /= np.linalg.norm(base)
+    made = [base * scale for scale in rng.uniform(0.5, 2.0, 600)]
+    for cosine in np.linspace(0.9801, 0.999, 120):
+        side = rng.normal(size=32)
+        side -= base * (side @ base)
+        made.append(cosine * base + np.sqrt(1 - cosine ** 2) * side / np.linalg.norm(side))
+    made += list(rng.normal(size=(40, 32)))
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(made)]
+    units = np.array([r[1] for r in rows])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    want = (units @ units.T >= 0.98).sum(axis=1) - 1
+    out = metric_join.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["vec_id"]: r["n_links"] for r in out} == dict(enumerate(want.tolist()))
+
+
 def test_vectors_that_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     one = [1.0, 0.0]

@@ -5,7 +5,8 @@ a few vectors are drawn as pivots and every vector belongs to the cell of its ne
 It visits another cell j as well unless the distances rule out that anything near it lives
 there: by the triangle inequality if d(x, p_j) > d(x, p_home) + 2r or d(x, p_j) > R_j + r
 (R_j: the farthest member of j from its pivot), and in Euclidean space if x is farther than
-r from the plane between the two pivots. Cells are then joined independently: everything in
+r from the plane between the two pivots (pivots closer than ``_APART`` have no plane that could
+be told from rounding; only the triangle inequality rules out then). Cells are then joined independently: everything in
 a cell, members and visitors, with the cell's members. Every vector has one home, so each
 link of a vector is counted exactly once, and the pivots only decide how much work is saved.
 
@@ -39,8 +40,11 @@ MAX_PIVOTS = 1024
 #: Members or visitors of a cell that meet in one task; vectors placed in one task.
 BLOCK = 1024
 PLACE = 4096
-#: Distances are compared with this much to spare, so that rounding never loses a link.
-_SPARE = 1e-9
+#: Distances are compared with this much to spare, so that rounding never loses a link. A
+#: squared distance is off by some 1e-14, so one near 0 by up to 1e-7, and a plane between
+#: pivots that are ``_APART`` by 1e-8.
+_SPARE = 1e-6
+_APART = 1e-3
 
 
 def unit_vectors(rows: DataFrame, key: str, vector: str, label: str) -> DataFrame:
@@ -127,7 +131,8 @@ def place(vectors: DataFrame, radius: float) -> DataFrame:
         away = _distances(_matrix(rows["unit"]), pivots)
         mine = away[np.arange(len(rows)), home][:, None]
         between = _distances(pivots, pivots)[home]
-        plane = (away ** 2 - mine ** 2) / np.maximum(2.0 * between, 1e-12)
+        plane = np.where(between > _APART,
+                         (away ** 2 - mine ** 2) / (2.0 * np.maximum(between, _APART)), -np.inf)
         near = ((away <= mine + 2 * radius + _SPARE) & (away <= reaches + radius + _SPARE)
                 & (plane <= radius + _SPARE))
         near[np.arange(len(rows)), home] = False
