@@ -94,6 +94,17 @@ def test_learning_shortens_held_out_texts(spark):
     assert rows and sum(r["bits_per_byte"] for r in rows) / len(rows) < 3.5
 
 
+def test_unseen_contexts_fall_back_on_single_bytes(spark):
+    """Held-out words whose every pair of letters is new, though the letters are not."""
+    rng = np.random.default_rng(4)
+    seen = ["".join(rng.choice(list(letters), 6)) for letters in ("abc", "def", "ghi") for _ in range(400)]
+    new = ["".join("abcdefghi"[rng.integers(3) + 3 * ((j + k) % 3)] for j in range(30)) for k in range(20)]
+    docs = [(7 * i, " ".join(seen[i::40])) for i in range(40)] + [(7 * i + 1, w) for i, w in enumerate(new)]
+    rows = cm.score(spark.createDataFrame(docs, DOCS), F.col("doc_id") % 7 == 1).collect()
+    found = [r["bits_per_byte"] for r in rows if r["held_out"]]
+    assert len(found) == 20 and sum(found) / 20 < 6.5
+
+
 def test_empty_and_untrained(spark):
     assert cm.score(spark.createDataFrame([], DOCS), F.lit(False)).collect() == []
     row = cm.score(spark.createDataFrame([(1, "a")], DOCS), F.lit(True)).first()

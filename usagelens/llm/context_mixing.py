@@ -1,10 +1,11 @@
 """Language-model scores by online logistic mixing of hashed-context bit predictors.
 
 A text is the sequence of its tokens: words, lower-cased (A-Z), each followed by one space,
-and an end byte after the last. Bytes are predicted bit by bit, most significant first. Four
-predictors look at the last 2 to 5 bytes, the fifth at the word so far, all of them
+and an end byte after the last. Bytes are predicted bit by bit, most significant first. Six
+predictors look at the last 0 to 5 bytes, the seventh at the word so far, all of them
 also at the bits of the byte so far. A hash of what a predictor sees names a slot of its
-table, which holds how many zeros and ones followed. The predictors' logits are combined by
+table, which holds how many zeros and ones followed; the first two have a slot for each
+thing they can see. The predictors' logits are combined by
 weights chosen by two gates (how long a context has been seen, how often, how often the word
 so far; and the bits of the byte so far), and the mixed logit is refined by an adaptive map
 from gate and logit to what really followed. The bits of a text and its end add up to its
@@ -49,12 +50,14 @@ from usagelens.llm.common import byte_values, in_chunks
 from usagelens.session import stage
 
 #: Bytes the predictors look back; the predictor after them sees the word so far.
-LENGTHS = (2, 3, 4, 5)
+LENGTHS = (0, 1, 2, 3, 4, 5)
 BACK = 5
 WORD = len(LENGTHS)
 PREDICTORS = WORD + 1
 #: log2 of the slots of each predictor's table.
-SLOT_BITS = (18, 20, 21, 22, 22)
+SLOT_BITS = (12, 16, 18, 20, 21, 22, 22)
+#: So many predictors see little enough to have a slot for each context and state.
+_DIRECT = 2
 _OFFSETS = [sum(1 << b for b in SLOT_BITS[:i]) for i in range(PREDICTORS + 1)]
 SLOTS = _OFFSETS[-1]
 #: A slot's two counts take 16 bits each; both are scaled down together where one is larger.
@@ -69,7 +72,7 @@ _CONSTANT = 0.3
 _CONTEXT_SEEN = (0.5, 2.5, 12.5, 100.5)
 _WORD_SEEN = (0.5, 1.5, 3.5, 8.5, 20.5, 60.5, 200.5, 1000.5)
 #: The first predictor whose contexts tell something by having been seen at all.
-_TELLING = 1
+_TELLING = 3
 #: First gate: telling contexts seen, how often the longest, how often the word so far.
 GATES = (WORD - _TELLING + 1) * (len(_CONTEXT_SEEN) + 1) * (len(_WORD_SEEN) + 1)
 #: Steps of the refining map over the mixed logit.
@@ -147,10 +150,12 @@ def keys_of(parts: list[tuple[bytes, bytes]]) -> np.ndarray:
 
 
 def contexts(keys: np.ndarray) -> list[np.ndarray]:
-    """A hash of what each predictor sees before the byte."""
+    """A hash of what each predictor sees before the byte; the bytes themselves, above eight
+    free bits, of the ones that look at one byte at most."""
     before = (keys & _WINDOW) >> np.uint64(8)
-    found = [_mix(((before & np.uint64((1 << 8 * length) - 1)) + np.uint64(length)) * _MULTIPLIER)
-             for length in LENGTHS]
+    found = [(before & np.uint64((1 << 8 * length) - 1)) << np.uint64(8) for length in LENGTHS[:_DIRECT]]
+    found += [_mix(((before & np.uint64((1 << 8 * length) - 1)) + np.uint64(length)) * _MULTIPLIER)
+              for length in LENGTHS[_DIRECT:]]
     inside, word = np.ones(len(keys), bool), np.zeros(len(keys), np.uint64)
     for i in range(BACK):  # the bytes since the last space, backwards
         byte = (before >> np.uint64(8 * i)) & np.uint64(255)
@@ -168,9 +173,11 @@ def bits(keys: np.ndarray, bit: int) -> np.ndarray:
     return (keys >> np.uint64(7 - bit)).astype(np.uint8) & 1
 
 
-def slots_of(context: np.ndarray, state: np.ndarray, predictor: int) -> np.ndarray:
-    """Slots in the predictor's table, given the numbers of the states."""
-    return ((context + state) * _MULTIPLIER >> np.uint64(64 - SLOT_BITS[predictor])).view(np.int64)
+def slots_of(context: np.ndarray, state: np.ndarray, number: np.ndarray, predictor: int) -> np.ndarray:
+    """Slots in the predictor's table, given the states and their numbers."""
+    if predictor < _DIRECT:
+        return context.view(np.int64) | state
+    return ((context + number) * _MULTIPLIER >> np.uint64(64 - SLOT_BITS[predictor])).view(np.int64)
 
 
 def by_context(keys: np.ndarray) -> np.ndarray:
@@ -190,7 +197,7 @@ class Model:
     @classmethod
     def start(cls, slots: np.ndarray) -> "Model":
         weights = np.zeros((PREDICTORS + 1, GATES + 256), np.float32)
-        weights[:PREDICTORS, :GATES] = 0.25
+        weights[:PREDICTORS, :GATES] = 0.2
         odds = 1.0 / (1.0 + np.exp(-np.linspace(-_CLIP, _CLIP, STEPS)))
         # Until something follows, the map gives the mixed logit itself.
         return cls(slots, weights, 4.0 * np.tile(np.stack([1 - odds, odds])[:, None], (1, GATES, 1)),
@@ -213,7 +220,7 @@ class Model:
         longest, often = np.zeros(n, np.int32), np.zeros(n, np.int32)
         for predictor in range(PREDICTORS):
             table = self.slots[_OFFSETS[predictor]:_OFFSETS[predictor + 1]]
-            counts = table.take(slots_of(seen_by[predictor], number, predictor))
+            counts = table.take(slots_of(seen_by[predictor], state, number, predictor))
             zero, one = (counts & 0xFFFF).view(np.int32), (counts >> 16).view(np.int32)
             if ones is not None:  # a collision's scaling can take a count below
                 one = np.maximum(one - gone, 0)
@@ -301,7 +308,7 @@ class Frozen:
             longest, often = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
             said = []
             for predictor in range(PREDICTORS):
-                slots = slots_of(seen_by[predictor], number, predictor) + _OFFSETS[predictor]
+                slots = slots_of(seen_by[predictor], state, number, predictor) + _OFFSETS[predictor]
                 said.append(self.logits.take(slots).astype(np.float32))
                 if predictor >= _TELLING:
                     seen = self.classes.take(slots)
@@ -449,7 +456,8 @@ def slot_table(counted: DataFrame) -> np.ndarray:
             seen_by = contexts(keys)
             for predictor in predictors:
                 for bit in range(8):
-                    slots = slots_of(seen_by[predictor], _STATES[states(keys, bit)], predictor)
+                    state = states(keys, bit)
+                    slots = slots_of(seen_by[predictor], state, _STATES[state], predictor)
                     np.add.at(counts, (slots + _OFFSETS[predictor]) * 2 + bits(keys, bit), n)
 
         for batch in batches:
