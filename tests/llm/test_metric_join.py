@@ -85,6 +85,13 @@ def test_null_and_repeated_ids(spark):
     assert out == [(1, 0, 1), (1, 2, 1), (2, 2, 1), (2, 2, 1), (None, 0, None)]
 
 
+def test_an_id_with_three_vectors_joins_them(spark):
+    x, y, z = np.eye(3).tolist()
+    rows = [(9, x, 0), (9, y, 0), (9, z, 0), (2, x, 0), (3, y, 0), (4, z, 0)]
+    out = metric_join.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r["vec_id"], r["component_id"]) for r in out} == {(k, 2) for k in (2, 3, 4, 9)}
+
+
 def test_empty_table_and_other_columns(spark):
     assert metric_join.near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = spark.createDataFrame([(1, [1.0], 0, "x"), (2, [1.0], 0, "y")],

@@ -65,6 +65,17 @@ def test_an_id_with_several_texts_joins_them(spark):
     assert sorted({(r["doc_id"], r["component_id"]) for r in rows}) == [(1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_an_id_with_three_texts_joins_them_and_a_null_id_joins_nothing(spark):
+    a, b, c = "a b c d e f g h", "p q r s t u v w", "1 2 3 4 5 6 7 8"
+    rows = one_permutation.near_duplicates(spark.createDataFrame(
+        [(1, a), (2, b), (3, c), (9, a), (9, b), (9, c)], TEXTS)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in rows} == {(k, 1) for k in (1, 2, 3, 9)}
+    rows = one_permutation.near_duplicates(spark.createDataFrame(
+        [(1, a), (2, b), (None, a), (None, b)], TEXTS)).collect()
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in rows} == {
+        (1, 1, True), (2, 2, True), (None, None, True)}
+
+
 def test_empty_table_and_other_columns(spark):
     assert one_permutation.near_duplicates(spark.createDataFrame([], TEXTS)).collect() == []
     docs = spark.createDataFrame([(1, "a", "n"), (2, "a", "m")], "doc_id long, text string, node string")

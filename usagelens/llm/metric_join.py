@@ -205,8 +205,11 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
         F.first("dims").alias("dims"), F.first("unit").alias("unit")), "classes")
     met = stage(range_join(classes.drop("first"), cosine), "met")
     totals = met.groupBy("node").agg(F.sum("links").alias("links"))
-    several = linkable.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where(
-        "a != b").select("a", "b")
+    # One id with several vectors joins their classes, each to the smallest.
+    repeated = linkable.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where(
+        "a != last").select("id", "a")
+    several = linkable.select("id", F.col("node").alias("b")).join(repeated, "id").where(
+        "a != b").select("a", "b").distinct()
     edges = met.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b")).distinct()
     components = smallest_reachable(edges.unionByName(several))
     joined = stage(classes.select("node", "first").join(totals, "node").join(components, "node", "left").select(

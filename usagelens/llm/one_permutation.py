@@ -250,10 +250,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sets = stage(full_sets(docs, members.select("node").distinct(), key, text), "sets")
 
     links = confirm(stage(star_pairs(members), "stars"), sets)
-    # One id with several texts joins their classes.
-    several = found.where(F.col("n") > 0).join(
-        nodes.select("content", F.col("node").alias("b")), "content").groupBy("node").agg(
-        F.min("b").alias("a"), F.max("b").alias("b")).where("a != b").select("a", "b")
+    # One id with several texts joins their classes, each to the smallest.
+    classed = found.where((F.col("n") > 0) & F.col("node").isNotNull()).select("node", "content").join(
+        nodes.select("content", F.col("node").alias("b")), "content").select("node", "b")
+    repeated = classed.groupBy("node").agg(F.min("b").alias("a"), F.max("b").alias("last")).where(
+        "a != last").select("node", "a")
+    several = classed.join(repeated, "node").where("a != b").select("a", "b").distinct()
     links = stage(links.unionByName(several), "confirmed")
     components = smallest_reachable(links)
     more = stage(remaining_links(members, components, nodes, sets), "more-links")
