@@ -94,6 +94,16 @@ def test_learning_shortens_held_out_texts(spark):
     assert rows and sum(r["bits_per_byte"] for r in rows) / len(rows) < 3.5
 
 
+def test_slots_lose_no_small_counts(spark):
+    """2^24 and then one at a time, in one task: single precision would stay at 2^24."""
+    window = int.from_bytes(b"zzzzz\x00", "big")
+    rows = [(None, window, 1 << 24)] + [(None, window | 128, 1 << 24)] + [(None, window, 1)] * (1 << 20)
+    counted = spark.createDataFrame(rows, "word binary, window long, n long").coalesce(1)
+    slots = cm.slot_table(counted)
+    root = slots[1]  # of no context: the first bit, 2^24 + 2^20 zeros and 2^24 ones
+    assert (root & 0xFFFF, root >> 16) == (65535, -(-65535 * (1 << 24) // ((1 << 24) + (1 << 20))))
+
+
 def test_unseen_contexts_fall_back_on_single_bytes(spark):
     """Held-out words whose every pair of letters is new, though the letters are not."""
     rng = np.random.default_rng(4)

@@ -450,7 +450,7 @@ def slot_table(counted: DataFrame) -> np.ndarray:
     """All slots' counts: added up in tasks, then by Spark, part by part."""
 
     def run(batches):
-        counts = np.zeros(SLOTS * 2, np.float32)
+        counts = np.zeros(SLOTS * 2)  # whole numbers, exact to 2^53
 
         def add(keys: np.ndarray, predictors, n):
             seen_by = contexts(keys)
@@ -462,7 +462,7 @@ def slot_table(counted: DataFrame) -> np.ndarray:
 
         for batch in batches:
             word, window, n = (batch.column(i) for i in range(3))
-            n = n.to_numpy().astype(np.float32)
+            n = n.to_numpy().astype(np.float64)
             plain = window.is_valid().to_numpy(zero_copy_only=False)
             if plain.any():
                 keys = window.filter(pa.array(plain)).to_numpy(zero_copy_only=False)
@@ -479,7 +479,7 @@ def slot_table(counted: DataFrame) -> np.ndarray:
                     names=["part", "counts"])
 
     def add_up(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in rows["counts"])
+        total = sum(np.frombuffer(x) for x in rows["counts"])
         pairs = total.reshape(-1, 2)
         pairs = pairs * np.minimum(1.0, 65535.0 / np.maximum(pairs.max(axis=1), 1.0))[:, None]
         pairs = np.ceil(pairs).astype(np.uint32)
