@@ -165,3 +165,57 @@ def place(key, leaves):
         best = min(sums, key=lambda c: (draw_for(c, sums[c]), c)) if len(sums) > 1 else next(iter(sums))
         names = [r for r in names if r[level] == best]
     return int(names[0][2].rsplit(".", 1)[1])
+
+
+def line_key(line):
+    return line.strip(" \t\n\r\x0b\x0c").translate(_LOWER)
+
+
+def deduplicated(rows, min_chars=40, min_docs=5):
+    """[(id, text that is left, lines before, lines dropped)] of (id, text) rows."""
+    holders = defaultdict(set)
+    for key, text in rows:
+        for line in (text or "").split("\n"):
+            if key is not None and len(line_key(line)) >= min_chars:
+                holders[line_key(line)].add(key)
+    keeper = {k: max(ids) for k, ids in holders.items() if len(ids) >= min_docs}
+    out = []
+    for key, text in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if keeper.get(line_key(x), key) == key]
+        out.append((key, "\n".join(left), len(lines), len(lines) - len(left)))
+    return out
+
+
+def middle_filled(key, text, seed=1):
+    """(n, form, code points of the prefix, of the middle, output)."""
+    text = text or ""
+    digest = hashlib.sha256(f"{seed}:{'' if key is None else key}".encode()).hexdigest()
+    h = [int(digest[i:i + 8], 16) for i in (0, 8, 16, 24)]
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < 20:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def hard_negatives(rows, is_anchor, n_positives=5, n_negatives=10, low=30, high=90):
+    """Rows of the operator for (id, label, vector) rows with ids of their own."""
+    good = [(i, label, [math.floor(256 * x) for x in v]) for i, label, v in rows
+            if i is not None and label is not None and v is not None
+            and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for anchor, label, v in good:
+        if not is_anchor(anchor):
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i, other)
+                        for i, other, w in good if i != anchor and len(w) == len(v))
+        for s, positive, _ in [x for x in scored if x[2] == label][:n_positives]:
+            window = [x for x in scored if x[2] != label and low * -s <= 100 * -x[0] <= high * -s]
+            out += [(anchor, positive, rank, i, -s, -t)
+                    for rank, (t, i, _) in enumerate(window[:n_negatives], 1)]
+    return out

@@ -14,4 +14,4 @@ def test_query_against_its_sql(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) < set(__spark_entry__.queries()) and "pipeline" in __spark_entry__.queries()
-    assert [n for i in range(1, 11) for n in QUERIES if n.startswith(f"op{i}_")] == list(QUERIES)
+    assert [n for i in range(1, 14) for n in QUERIES if n.startswith(f"op{i}_")] == list(QUERIES)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm import (
-    context_mixing, discriminant, hash_tree, metric_join, naive_bayes, one_permutation, raking,
-    token_scan, warc_members, winnowing,
+    context_mixing, discriminant, fill_middle, hard_negatives, hash_tree, line_dedup, metric_join,
+    naive_bayes, one_permutation, raking, token_scan, warc_members, winnowing,
 )
 from usagelens.llm.common import fold, table
 from usagelens.session import stage
@@ -71,6 +71,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    restored = fill_middle.restore(F.col("text"), F.col("form"))
+    return fill_middle.fill_in_middle(docs).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("text", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_context_mixing": op2_context_mixing,
@@ -82,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_sharding": op10_sharding,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 # All windows of all items against all windows of all documents.
@@ -155,10 +178,63 @@ SELECT split.doc_id, coalesce(n, 0) AS n_shingles,
   split.doc_id = least(split.doc_id, coalesce(smallest.b, split.doc_id)) AS kept
 FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest ON smallest.a = split.doc_id"""
 
+_LINES = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (SELECT doc_id, pos, line, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+frequent AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT keyed.*, coalesce(doc_id <> keeper, false) AS gone FROM keyed LEFT JOIN frequent USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+_NEGATIVES = """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM good a JOIN good b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id,
+  positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 10"""
+
+_MIDDLE = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+drawn AS (SELECT doc_id, t, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM cut),
+placed AS (SELECT doc_id, t, u, n,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM drawn),
+parts AS (SELECT doc_id, t, n, form, coalesce(array_to_string(u[1:a], ''), '') AS p,
+    coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:n], ''), '') AS s FROM placed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
     "op5_warc": _WARC,
     "op6_near_vectors": _VECTORS,
     "op7_mixing": raking.sql(),
     "op9_near_duplicates": _NEAR,
+    "op11_line_dedup": _LINES,
+    "op12_hard_negatives": _NEGATIVES,
+    "op13_fill_middle": _MIDDLE,
 }
