@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import cached_property, lru_cache
+from functools import cached_property, lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +15,17 @@ from usagelens.operators import batches, marts, quality
 from usagelens.operators.enrich import SENT_PRACTICE, enrich
 from usagelens.operators.numbering import number_events
 from usagelens.operators.standardize import (
-    clean, conform, derive, redelivery_summary, standardize,
+    clean, conform, derive, missing_columns, redelivery_summary, standardize,
 )
 from usagelens.plans import explore, tables, views
-from usagelens.plans.pipeline import save_curated
-from usagelens.schemas import EMPLOYEE_COLUMNS, RAW_COLUMNS
+from usagelens.plans.pipeline import run, save_curated
+from usagelens.schemas import (
+    EMPLOYEE_COLUMNS, ENVELOPE, EVENT_NAMES, MISSING_CHECKED, NEGATIVE_CHECKED, NULL_CHECKED,
+    RAW_COLUMNS,
+)
 from usagelens.session import configure, new_path
 from usagelens.sources import logs, sinks
-from usagelens.sources.employees import read_employees
+from usagelens.sources.employees import duplicate_keys, read_employees
 from checks import sample
 
 #: The choice every filtered query is run with.
@@ -41,6 +45,12 @@ def _settled(df: DataFrame) -> DataFrame:
     return df.withColumns(changes) if changes else df
 
 
+def _beside(df: DataFrame, one: DataFrame) -> DataFrame:
+    """``df`` with the columns of a single row."""
+    cell = one.select(F.struct("*")).scalar()
+    return df.withColumn("_one", cell).select(*df.columns, "_one.*")
+
+
 class _Inputs:
     """The plans queries start from. Plans only: every query computes its own rows."""
 
@@ -121,26 +131,30 @@ def _event_preview(i: _Inputs) -> DataFrame:
         explore.apply_filters(tables.curate(events), PRACTICES, MODELS))
 
 
-def _quality_report(i: _Inputs) -> DataFrame:
-    t = i.tables
-    report = quality.quality_report(i.conformed, t.events, t.sessions, t.users)
-    names = ["api_request", "tool_decision", "tool_result", "user_prompt", "api_error"]
-    spelled = F.transform(F.map_entries("validation.event_name_distribution"), lambda e: F.concat_ws(
-        "=", e["key"], e["value"].cast("string")))
-    found = F.col("validation.event_name_distribution")
+def _report_fields(report: DataFrame) -> DataFrame:
+    """Every field of the report as a column, whether it comes from a plan or a file."""
+    def group(name: str, prefix: str, columns: list[str]):
+        return [F.col(f"validation.{name}.{c}").alias(f"{prefix}_{c}") for c in columns]
+
     return report.select(
         "summary.*",
+        F.array_join("validation.required_columns_present", ",").alias("required_columns"),
         F.array_join("validation.known_event_names", ",").alias("known_event_names"),
-        *[F.element_at(found, n).alias(f"events_{n}") for n in names],
-        F.array_join(F.array_sort(spelled), ",").alias("event_names"),
-        *[F.col(f"validation.negative_numeric_counts.{c}").alias(f"negative_{c}")
-          for c in quality.NEGATIVE_CHECKED],
-        F.col("validation.null_counts.timestamp").alias("null_timestamp"),
-        F.col("validation.blank_counts.model").alias("blank_model"),
-        F.col("validation.missing_practice_count"),
+        *[F.coalesce(F.col("validation.event_name_distribution")[n], F.lit(0).cast("bigint"))
+          .alias(f"events_{n}") for n in [*EVENT_NAMES, quality.OTHER_KINDS]],
+        *group("null_counts", "null", NULL_CHECKED),
+        *group("blank_counts", "blank", [c for c in NULL_CHECKED if c != "timestamp"]),
+        *group("negative_numeric_counts", "negative", NEGATIVE_CHECKED),
+        *[F.col(f"validation.missing_{c}_count") for c in MISSING_CHECKED],
     )
 
 
+def _quality_report(i: _Inputs) -> DataFrame:
+    t = i.tables
+    return _report_fields(quality.quality_report(
+        i.conformed, t.events, t.sessions, t.users, duplicate_keys=duplicate_keys(i.employees)))
+
+
 def _employees_from_csv(i: _Inputs) -> DataFrame:
     """An awkward CSV written to the shared folder and read back."""
     path, email = new_path(i.spark, "employees"), F.col("email")
@@ -159,9 +173,115 @@ def _stored_events(i: _Inputs) -> DataFrame:
 
 
 def _report_from_json(i: _Inputs) -> DataFrame:
-    path, t = new_path(i.spark, "report"), i.tables
-    sinks.write_report(quality.quality_report(i.conformed, t.events, t.sessions, t.users), path)
-    return i.spark.read.json(path).select(*[f"summary.{c}" for c in redelivery_summary(i.conformed).columns])
+    """The report of a saved run, read back from its file."""
+    folder = new_path(i.spark, "curated")
+    save_curated(i.raw, i.employees, folder)
+    # Longs as such, and kinds that did not occur as absent entries.
+    report = quality.quality_report(i.conformed, i.tables.events, i.tables.sessions, i.tables.users)
+    return _report_fields(i.spark.read.schema(report.schema).json(f"{folder}/data_quality_report"))
+
+
+def _logs_with_bad_lines(i: _Inputs) -> str:
+    """The given events as log files: the line of every tenth batch is cut short, and a
+    message of every eighth of the others."""
+    path = new_path(i.spark, "bad_logs")
+    whole = F.to_json(F.struct(*ENVELOPE.names))
+    torn = F.col("batch_id") % 10 == 3
+    spoilt = F.col("batch_id") % 8 == 5
+    first = F.transform("logEvents", lambda e, n: F.when(n == 0, F.struct(
+        e["id"].alias("id"), e["timestamp"].alias("timestamp"), F.lit("{not json").alias("message"))).otherwise(e))
+    lines = batches.pack_batches(i.raw).withColumn("logEvents", F.when(spoilt, first).otherwise(F.col("logEvents"))).select(
+        F.when(torn, F.concat(F.lit("{torn "), F.col("batch_id").cast("string"))).otherwise(whole).alias("value"))
+    lines.write.text(path)
+    return path
+
+
+def _lenient_run(i: _Inputs) -> DataFrame:
+    """A whole run over files with bad lines and messages: what it kept and set aside."""
+    path = _logs_with_bad_lines(i)
+    folder, staff = new_path(i.spark, "lenient"), new_path(i.spark, "staff")
+    i.employees.write.csv(staff, header=True)
+    t = run(i.spark, path, staff, folder, strict=False)
+    summary = _report_fields(i.spark.read.json(f"{folder}/data_quality_report")).select(
+        "raw_row_count", "clean_row_count", "rejected_lines", "rejected_messages")
+    found = i.spark.read.parquet(f"{folder}/ingested").where("outcome <> 'event'").agg(
+        F.count_if(F.col("outcome") == "line").alias("lines_kept"),
+        F.min("text").alias("first_text"), F.max("text").alias("last_text"))
+    total = t.events.agg(F.count("*").alias("saved_events"))
+    return _beside(_beside(summary, found), total)
+
+
+def _rejected_rows(i: _Inputs) -> DataFrame:
+    path = _logs_with_bad_lines(i)
+    found = logs.rejected(logs.read_log_batches(i.spark, path, strict=False))
+    return found.groupBy("reason", "text").agg(F.count("*").alias("rows"))
+
+
+def _saved(i: _Inputs) -> tuple[str, tables.Curated]:
+    folder = new_path(i.spark, "curated")
+    return folder, save_curated(i.raw, i.employees, folder)
+
+
+def _exported(i: _Inputs, view: str) -> DataFrame:
+    """A view's exported CSV, read back with the view's own types."""
+    folder, saved = _saved(i)
+    sinks.export_view(saved, view, f"{folder}/metrics")
+    return i.spark.read.schema(views.VIEWS[view](saved).schema).option("timeZone", "UTC").csv(
+        f"{folder}/metrics/{view}", header=True)
+
+
+def _overview_from_json(i: _Inputs) -> DataFrame:
+    folder, saved = _saved(i)
+    sinks.export_view(saved, "overview", f"{folder}/metrics")
+    return i.spark.read.schema(views.overview(saved).schema).json(f"{folder}/metrics/overview_json")
+
+
+def _catalog_statistics(i: _Inputs) -> DataFrame:
+    """What the catalog knows of the saved tables' columns after a run."""
+    folder, _ = _saved(i)
+    database = f"run_{uuid.uuid4().hex[:8]}"
+    tables.add_to_catalog(i.spark, folder, database)
+    return reduce(DataFrame.unionByName, [
+        tables.column_statistics(i.spark, database, name, column)
+        for name, column in (("events", "event_id"), ("events", "input_tokens"), ("api_requests", "duration_ms"),
+                             ("sessions", "total_events"), ("users", "total_sessions"))])
+
+
+def _view_from_catalog(i: _Inputs) -> DataFrame:
+    folder, _ = _saved(i)
+    return views.error_rate_by_model(
+        tables.add_to_catalog(i.spark, folder, f"run_{uuid.uuid4().hex[:8]}"))
+
+
+def _kept_tables(i: _Inputs) -> DataFrame:
+    """Tables kept for interactive use: counted, then asked for a second figure."""
+    folder, _ = _saved(i)
+    kept = tables.read_tables(i.spark, folder).persist()
+    return _beside(tables.table_counts(kept), tables.run_totals(kept))
+
+
+def _missing_columns(i: _Inputs) -> DataFrame:
+    """The required columns that cut-down events lack, and how many events that concerns."""
+    cut = i.raw.drop("email", "user_id", "timestamp", "model")
+    lacking = F.array(*[F.lit(c) for c in missing_columns(cut)])
+    return cut.agg(F.count("*").alias("events")).select(F.explode(lacking).alias("missing_column"), "events")
+
+
+def _request_keys(i: _Inputs) -> DataFrame:
+    folder, _ = _saved(i)
+    return tables.read_tables(i.spark, folder).request_keys.groupBy("practice", "model").agg(
+        F.count_distinct("session_id").alias("sessions"), F.count_distinct("user_id").alias("users"))
+
+
+def _whole_distribution(i: _Inputs) -> DataFrame:
+    folder, _ = _saved(i)
+    return i.spark.read.json(f"{folder}/event_name_distribution")
+
+
+def _duplicate_employees(i: _Inputs) -> DataFrame:
+    """Everyone listed twice under an email that former and present employees share."""
+    shared = i.employees.withColumn("email", F.regexp_replace("email", "^(former|user)([0-9]).*@", "$2@"))
+    return duplicate_keys(shared)
 
 
 def _padded_columns(i: _Inputs) -> DataFrame:
@@ -219,6 +339,19 @@ _QUERIES: dict[str, Callable[[_Inputs], DataFrame]] = {
     "employees_from_csv": _employees_from_csv,
     "stored_events": _stored_events,
     "report_from_json": _report_from_json,
+    "lenient_run": _lenient_run,
+    "rejected_rows": _rejected_rows,
+    "csv_daily_usage": lambda i: _exported(i, "daily_usage"),
+    "csv_top_users_by_cost": lambda i: _exported(i, "top_users_by_cost"),
+    "csv_tool_performance": lambda i: _exported(i, "tool_performance"),
+    "overview_from_json": _overview_from_json,
+    "catalog_statistics": _catalog_statistics,
+    "view_from_catalog": _view_from_catalog,
+    "kept_tables": _kept_tables,
+    "missing_columns": _missing_columns,
+    "request_keys": _request_keys,
+    "whole_distribution": _whole_distribution,
+    "duplicate_employees": _duplicate_employees,
     "enrich_without_list": lambda i: enrich(i.standard, None).select(
         "session_id", "event_name", "practice", "full_name"),
     "padded_columns": _padded_columns,

@@ -137,3 +137,53 @@ def test_awkward_employee_lists(spark, tmp_path, make_raw):
     assert rows == {"a@x": ('Ann "Q" Lee', "P", "L1", "Oslo,\nNorway"), "b@x": ("", "", "", "")}
     event = tables.build_tables(make_raw({"model": "m"}), staff).events.first()
     assert (event["full_name"], event["model"]) == ('Ann "Q" Lee', "m")
+
+
+def test_a_lenient_run_keeps_and_counts_what_it_rejects(spark, tmp_path):
+    path = _write(tmp_path, _line(GOOD, "{bad message"), "{bad line", _line(GOOD.replace('"u"', '"v"')),
+                  json.dumps({"logEvents": [{"id": "1"}]}))
+    good = json.loads(GOOD)
+    good["attributes"] |= {"session.id": "s", "user.email": "e@x", "event.timestamp": "2025-01-06T10:00:00Z"}
+    with open(path, "a") as lines:
+        lines.write(_line(json.dumps(good)) + "\n")
+    saved = pipeline.run(spark, path, str(tmp_path / "nobody.csv"), str(tmp_path / "out"), strict=False)
+    assert saved.events.count() == 3
+    found = spark.read.parquet(str(tmp_path / "out" / "ingested")).where("outcome <> 'event'")
+    assert sorted((r["outcome"], r["text"] or "") for r in found.collect()) == [
+        ("line", "{bad line"), ("message", ""), ("message", "{bad message")]
+    summary = spark.read.json(str(tmp_path / "out" / "data_quality_report")).first()["summary"]
+    assert (summary["rejected_lines"], summary["rejected_messages"], summary["raw_row_count"]) == (1, 2, 3)
+
+
+def test_lenient_and_strict_runs_agree_on_good_files(spark, tmp_path):
+    raw = sample.raw_events(spark, SF_DIR)
+    logs.write_log_batches(pack_batches(raw), str(tmp_path / "logs"))
+    for strict in (True, False):
+        pipeline.run(spark, str(tmp_path / "logs"), str(tmp_path / "none"), str(tmp_path / str(strict)), strict=strict)
+    strict, lenient = (tables.read_tables(spark, str(tmp_path / str(s))) for s in (True, False))
+    for (name, a), (_, b) in zip(strict.items(), lenient.items()):
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_files_of_nothing_but_rejects(spark, tmp_path):
+    path = _write(tmp_path, "{bad", "{worse")
+    saved = pipeline.run(spark, path, str(tmp_path / "none"), str(tmp_path / "out"), strict=False)
+    assert saved.events.count() == 0 and saved.sessions.count() == 0
+    assert spark.read.json(str(tmp_path / "out" / "data_quality_report")).first()["summary"]["rejected_lines"] == 2
+
+
+def test_employees_listed_twice_are_reported(spark, make_raw, make_staff, tmp_path):
+    staff = make_staff(("a@x", "Ann", "P", "L1", "R"), ("a@x", "Zoe", "P", "L1", "R"), ("b@x", "Bo", "P", "L1", "R"))
+    saved = pipeline.save_curated(make_raw({}), staff, str(tmp_path))
+    assert saved.events.count() == 2
+    summary = spark.read.json(str(tmp_path / "data_quality_report")).first()["summary"]
+    assert summary["duplicate_employee_emails"] == 1
+
+
+def test_a_run_into_the_catalog(spark, tmp_path):
+    path = _write(tmp_path, _line(GOOD))
+    saved = pipeline.run(spark, path, str(tmp_path / "none"), str(tmp_path / "out"), database="whole_run")
+    assert saved.events.count() == spark.table("whole_run.events").count() == 1
+    known = {r["column_name"]: r["greatest"] for r in tables.column_statistics(
+        spark, "whole_run", "events", "input_tokens").collect()}
+    assert known == {"input_tokens": "5.0"}

@@ -6,13 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def first_filled(value: Column, order: Column) -> Column:
-    """The non-blank value that comes first by ``order``; empty if there is none.
+def placed_value(value: Column, order: Column) -> Column:
+    """A non-blank value with its place in the order; null for a blank one. The minimum of
+    these, taken once or again over minima, is the value that comes first; rows that tie
+    on ``order`` are settled by the value itself."""
+    return F.when(value != "", F.struct(order.alias("at"), value.alias("value")))
 
-    Rows that tie on ``order`` are settled by the value itself.
-    """
-    candidate = F.when(value != "", F.struct(order.alias("at"), value.alias("value")))
-    return F.coalesce(F.min(candidate)["value"], F.lit(""))
+
+def value_placed(name: str) -> Column:
+    """The value of a column of ``placed_value``; empty if there was none."""
+    return F.coalesce(F.col(name)["value"], F.lit("")).alias(name)
+
+
+def first_filled(value: Column, order: Column) -> Column:
+    """The non-blank value that comes first by ``order``; empty if there is none."""
+    return F.coalesce(F.min(placed_value(value, order))["value"], F.lit(""))
 
 
 def most_frequent(value: Column, count: Column) -> Column:

@@ -33,6 +33,10 @@ def pack_batches(raw: DataFrame, batch_size: int = 10, owner: str = "00000000000
     copy number as the last sort key lets many copies of one row spread over tasks.
     ``raw`` should be read from files, so that a repeated task sees the same rows in
     the same order.
+
+    Numbered events are placed once more, in ranges of whole batches (one exchange of the
+    events). Grouping needs no other placement, and the batches of a task are neighbours in
+    time, so writing them needs none either.
     """
     timed = raw.select(
         clean_timestamp(F.col("timestamp")).alias("_at"), *RAW_COLUMNS,
@@ -49,8 +53,10 @@ def pack_batches(raw: DataFrame, batch_size: int = 10, owner: str = "00000000000
         F.unix_millis("_at").alias("timestamp"),
         _message().alias("message"))
     batch = F.floor((F.col("_position") - 1) / batch_size).cast("bigint")
+    # Range limits are drawn over batches, so a batch is never cut.
+    placed = numbered.withColumn("batch_id", batch).repartitionByRange("batch_id")
     # At most batch_size events share a batch, so the list below is bounded.
-    packed = numbered.groupBy(batch.alias("batch_id")).agg(
+    packed = placed.groupBy("batch_id").agg(
         F.sort_array(F.collect_list(event)).alias("events"), F.min(day).alias("first_at"))
     log_event = ENVELOPE["logEvents"].dataType
     return packed.select(

@@ -14,6 +14,14 @@ _ATTRIBUTES = ["full_name", "level", "location"]
 SENT_PRACTICE = "practice_resource"
 
 
+def is_small(employees: DataFrame) -> bool:
+    """Whether Spark's estimate of the list is below its broadcast threshold, so that
+    events joined with it stay where they are."""
+    threshold = employees.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = employees._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) <= threshold
+
+
 def enrich(events: DataFrame, employees: DataFrame | None,
            keep_sent_practice: bool = False) -> DataFrame:
     """Left join on email, then settle practice, name, level and location.

@@ -13,11 +13,16 @@ from usagelens.functions import (
 from usagelens.schemas import EVENT_NAMES, NUMERIC_COLUMNS, REQUIRED_COLUMNS, TEXT_COLUMNS
 
 
+def missing_columns(raw: DataFrame) -> list[str]:
+    """The required columns that events lack, in order; names may have blanks around them."""
+    return sorted(set(REQUIRED_COLUMNS) - {c.strip() for c in raw.columns})
+
+
 def conform(raw: DataFrame) -> DataFrame:
     """Typed columns in a stable schema. Required columns must exist; optional ones
     that do not are added with their empty value; further columns are kept."""
     df = raw.toDF(*[c.strip() for c in raw.columns])
-    missing = sorted(set(REQUIRED_COLUMNS) - set(df.columns))
+    missing = missing_columns(df)
     if missing:
         raise ValueError(f"events lack required columns: {missing}")
 

@@ -26,6 +26,11 @@ NUMERIC_COLUMNS = [
     "input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens",
     "cost_usd", "duration_ms", "prompt_length",
 ]
+# The columns whose nulls, negative values and Unknowns the quality report counts.
+NULL_CHECKED = ["timestamp", "session_id", "user_id", "email", "practice", "model", "tool_name"]
+NEGATIVE_CHECKED = ["input_tokens", "output_tokens", "cache_read_tokens",
+                    "cache_creation_tokens", "cost_usd", "duration_ms"]
+MISSING_CHECKED = ["practice", "level", "location"]
 EMPLOYEE_COLUMNS = ["email", "full_name", "practice", "level", "location"]
 UNKNOWN = "Unknown"
 
@@ -94,4 +99,3 @@ ENVELOPE = T.StructType([
 ])
 
 RAW_EVENTS = _strings(RAW_COLUMNS)
-EMPLOYEES = _strings(EMPLOYEE_COLUMNS)

@@ -6,21 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from usagelens.schemas import ATTRIBUTE_KEYS, BODY_COLUMN, ENVELOPE, MESSAGE, RESOURCE_KEYS
+from usagelens.schemas import (
+    ATTRIBUTE_KEYS, BODY_COLUMN, ENVELOPE, MESSAGE, RAW_COLUMNS, RESOURCE_KEYS,
+)
 
 CORRUPT = "_corrupt_record"
+#: The column of decoded rows that tells events from rejects, and its values.
+OUTCOME = "outcome"
+EVENT, BAD_LINE, BAD_MESSAGE = "event", "line", "message"
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def read_log_batches(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+def read_log_batches(spark: SparkSession, path: str, strict: bool = True,
+                     stream: bool = False) -> DataFrame:
     """One row per line. A malformed line stops the read, or with ``strict=False``
-    is kept in ``_corrupt_record``."""
+    is kept in ``_corrupt_record``. With ``stream`` files that arrive later are read too."""
+    reader = spark.readStream if stream else spark.read
     if strict:
-        return spark.read.schema(ENVELOPE).json(path, mode="FAILFAST")
-    return spark.read.schema(_with_corrupt(ENVELOPE)).json(
+        return reader.schema(ENVELOPE).json(path, mode="FAILFAST")
+    return reader.schema(_with_corrupt(ENVELOPE)).json(
         path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
 
 
@@ -30,33 +37,47 @@ def flatten_batches(batches: DataFrame, strict: bool = True) -> DataFrame:
     A batch without log events yields no row. A message that is not JSON stops the
     job, or with ``strict=False`` is left out here and found by ``rejected``.
     """
-    messages = batches.select(F.explode("logEvents.message").alias("message"))
     if strict:
+        messages = batches.select(F.explode("logEvents.message").alias("message"))
         text = F.coalesce("message", F.raise_error(F.lit("log event without a message")))
         decoded = F.from_json(text, MESSAGE, {"mode": "FAILFAST"})
         return messages.select(decoded.alias("m")).select(*_flat_columns())
-    return (_decode_leniently(messages)
-            .where(F.col("m").isNotNull() & F.col(f"m.{CORRUPT}").isNull())
-            .select(*_flat_columns()))
+    return accepted(decode_batches(batches))
 
 
 def rejected(batches: DataFrame) -> DataFrame:
     """The lines and messages a lenient read had to leave out, with the reason."""
-    # One pass for both: a malformed line has no log events, only its own text.
+    return set_aside(decode_batches(batches))
+
+
+def decode_batches(batches: DataFrame) -> DataFrame:
+    """Everything a lenient read finds, events and rejects, in one pass.
+
+    ``outcome`` says what a row is: an event, a line that is no batch or a message that is
+    no event. Events have their columns, rejects their text.
+    """
+    # A malformed line has no log events, only its own text.
     found = batches.select(F.explode(F.when(
         F.col(CORRUPT).isNotNull(), F.array(F.struct(
-            F.lit("line").alias("reason"), F.col(CORRUPT).alias("message")))
+            F.lit(BAD_LINE).alias("reason"), F.col(CORRUPT).alias("message")))
     ).otherwise(F.transform("logEvents.message", lambda m: F.struct(
-        F.lit("message").alias("reason"), m.alias("message"))))).alias("e")).select("e.*")
-    bad = F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
-    return (_decode_leniently(found).where((F.col("reason") == "line") | bad)
-            .select("reason", F.col("message").alias("text")))
-
-
-def _decode_leniently(messages: DataFrame) -> DataFrame:
+        F.lit(BAD_MESSAGE).alias("reason"), m.alias("message"))))).alias("e")).select("e.*")
     decoded = F.from_json("message", _with_corrupt(MESSAGE),
                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return messages.withColumn("m", decoded)
+    bad = (F.col("reason") == BAD_LINE) | F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
+    return found.withColumn("m", decoded).select(
+        F.when(bad, F.col("reason")).otherwise(F.lit(EVENT)).alias(OUTCOME),
+        F.when(bad, F.col("message")).alias("text"), *_flat_columns())
+
+
+def accepted(decoded: DataFrame) -> DataFrame:
+    """The events among decoded rows."""
+    return decoded.where(F.col(OUTCOME) == EVENT).select(*RAW_COLUMNS)
+
+
+def set_aside(decoded: DataFrame) -> DataFrame:
+    """The rejects among decoded rows: reason and text."""
+    return decoded.where(F.col(OUTCOME) != EVENT).select(F.col(OUTCOME).alias("reason"), "text")
 
 
 def _flat_columns():
@@ -71,11 +92,10 @@ def _flat_columns():
 def write_log_batches(batches: DataFrame, path: str, partitioned: bool = False) -> None:
     """Write envelopes as JSON lines, optionally in year/month/day folders.
 
-    Batches are range-partitioned by their number first, so a task holds a short
-    span of days and opens few folders, and a busy day still spreads over tasks.
+    Batches of ``pack_batches`` are written where they lie: a task holds neighbouring
+    ones, so a short span of days and few folders, and a busy day still spreads over tasks.
     """
-    ordered = batches.repartitionByRange("batch_id").drop("batch_id")
-    writer = ordered.write
+    writer = batches.drop("batch_id").write
     if partitioned:
         writer = writer.partitionBy("year", "month", "day")
     writer.json(path)
