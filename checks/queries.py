@@ -71,11 +71,12 @@ class _Inputs:
     def enriched(self) -> DataFrame:
         return enrich(self.standard, self.employees, keep_sent_practice=True)
 
-    @cached_property
+    @property
     def tables(self) -> tables.Curated:
+        # New ones for each query, so that none uses what another has written.
         return tables.build_tables(self.raw, self.employees)
 
-    @cached_property
+    @property
     def filtered(self) -> tables.Curated:
         return explore.apply_filters(self.tables, PRACTICES, MODELS)
 
@@ -177,7 +178,8 @@ def _report_from_json(i: _Inputs) -> DataFrame:
     folder = new_path(i.spark, "curated")
     save_curated(i.raw, i.employees, folder)
     # Longs as such, and kinds that did not occur as absent entries.
-    report = quality.quality_report(i.conformed, i.tables.events, i.tables.sessions, i.tables.users)
+    t = i.tables
+    report = quality.quality_report(i.conformed, t.events, t.sessions, t.users)
     return _report_fields(i.spark.read.schema(report.schema).json(f"{folder}/data_quality_report"))
 
 

@@ -7,6 +7,7 @@ from checks.queries import QUERIES
 from usagelens.operators import batches, marts
 from usagelens.operators.enrich import enrich
 from usagelens.operators.standardize import standardize
+from usagelens import session
 from usagelens.plans import explore, pipeline, tables, views
 from checks import sample
 
@@ -41,11 +42,20 @@ def _scans(df, table):
     return sum("FileScan" in line and f"/{table}]" in line for line in _plan(df).splitlines())
 
 
-def test_sessions_and_users_come_from_one_scan_and_no_join(spark, saved_tables):
+def test_sessions_and_users_are_made_from_one_scan_of_the_events(spark, saved_tables, monkeypatch):
+    written = []
+    keep = session.stage
+
+    def noted(df, name, path=None):
+        written.append(_scans(df, "events"))
+        return keep(df, name, path)
+
+    for module in (marts, tables):
+        monkeypatch.setattr(module, "stage", noted)
     events = saved_tables.events.withColumn("event_id", F.monotonically_increasing_id())
-    sessions = marts.sessions(events)
-    assert _scans(sessions, "events") == 1 and "Join" not in _plan(sessions)
-    assert _scans(marts.users(events, saved_tables.sessions), "events") == 1
+    assert _scans(marts.sessions(events), "events") == 0 and written == [1]
+    curated = tables.curate(events)
+    assert _scans(curated.sessions, "events") == _scans(curated.users, "events") == 0 and written == [1, 1]
 
 
 def test_a_saved_run_reads_events_three_times(spark, make_raw, tmp_path, monkeypatch):

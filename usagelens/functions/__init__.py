@@ -1,6 +1,4 @@
-from usagelens.functions.aggregates import (
-    first_filled, most_frequent, placed_value, value_placed,
-)
+from usagelens.functions.aggregates import first_filled, most_frequent
 from usagelens.functions.calendar import calendar_columns, minutes_between, seconds_between
 from usagelens.functions.clean import (
     clean_bool, clean_number, clean_text, clean_timestamp, clean_wire_text, or_unknown,
@@ -12,6 +10,6 @@ from usagelens.functions.measures import (
 __all__ = [
     "calendar_columns", "clean_bool", "clean_number", "clean_text", "clean_timestamp",
     "clean_wire_text", "first_filled", "kind_flags", "minutes_between", "most_frequent", "or_unknown",
-    "per_thousand", "placed_value", "ratio_or", "request_ratios", "round_to", "seconds_between",
-    "token_measures", "value_placed",
+    "per_thousand", "ratio_or", "request_ratios", "round_to", "seconds_between",
+    "token_measures",
 ]

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions import (
-    minutes_between, most_frequent, or_unknown, placed_value, ratio_or, request_ratios,
-    seconds_between, value_placed,
+    first_filled, minutes_between, most_frequent, or_unknown, ratio_or, request_ratios,
+    seconds_between,
 )
 from usagelens.operators.enrich import SENT_PRACTICE
 from usagelens.schemas import (
     API_REQUEST, EVENT_NAMES, NEGATIVE_CHECKED, TOOL_RESULT, USER_PROMPT,
 )
+from usagelens.session import stage
 
 #: Stands for every kind without a column; no event name holds a line break.
 _OTHER = "\nother"
@@ -87,66 +86,41 @@ def _event_position(rows: DataFrame) -> Column:
 
 # --- one row per key from activity -------------------------------------------------
 
-#: What a facet row stands for: the whole key, or one of its terminals, models and tools.
-_WHOLE, _TERMINAL, _MODEL, _TOOL = "whole", "terminal", "model", "tool"
+def _of(kind: str, value: str) -> Column:
+    total = F.sum(F.when(F.col("event_name") == kind, F.col(value)))
+    return F.coalesce(total, F.lit(0))
+
 
+def _mean_of(kind: str, value: str) -> Column:
+    return ratio_or(_of(kind, value), _of(kind, "events"), 0.0)
 
-def _add_up(rows: DataFrame, key: str, columns: dict[str, Column],
-            whole: dict[str, tuple[Column, Callable[[Column], Column]]]) -> DataFrame:
-    """One row per key: sums, firsts, and the most frequent terminal, model and tool.
 
-    Each activity row becomes one row for the whole key and one for each of its traits;
-    these are added up per trait and value, and then per key. Values are counted before
-    the winner is picked, so no task ever holds the value table of a group, and nothing
-    is read twice or joined. ``columns`` are sums over activity rows; ``whole`` gives, by
-    name, a value of an activity row and the aggregate that works on it and on itself.
+def _habits(rows: DataFrame, key: str) -> DataFrame:
+    """Most frequent terminal, model and tool per key, and how many models and tools.
+
+    Values are added up first, per key and value, and the winner is picked among the
+    counts: no task ever holds the value table of a whole group.
     """
-    kind, detail = F.col("event_name"), F.col("detail")
-    trait = F.when(kind == API_REQUEST, _MODEL).when(kind == TOOL_RESULT, _TOOL)
-    facets = rows.select(
-        key, F.col("events").alias("_n"),
-        *[value.alias(name) for name, value in columns.items()],
-        *[value.alias(name) for name, (value, _) in whole.items()],
-        F.explode(F.array(
-            F.struct(F.lit(_WHOLE).alias("trait"), F.lit("").alias("value")),
-            F.struct(F.lit(_TERMINAL).alias("trait"), F.col("terminal_type").alias("value")),
-            F.struct(trait.alias("trait"), detail.alias("value")))).alias("_facet"),
-    ).where(F.col("_facet.trait").isNotNull())
-
-    def kept(name: str) -> Column:
-        return F.when(F.col("_trait") == _WHOLE, F.col(name))
-
-    counted = facets.select("*", F.col("_facet.trait").alias("_trait"),
-                            F.col("_facet.value").alias("_value")).groupBy(
-        key, "_trait", "_value").agg(
-        F.sum("_n").alias("_n"),
-        *[F.sum(kept(name)).alias(name) for name in columns],
-        *[again(kept(name)).alias(name) for name, (_, again) in whole.items()])
+    kind = F.col("event_name")
+    trait = F.when(kind == API_REQUEST, "model").when(kind == TOOL_RESULT, "tool")
+    seen = rows.select(key, "events", F.explode(F.array(
+        F.struct(F.lit("terminal").alias("trait"), F.col("terminal_type").alias("value")),
+        F.struct(trait.alias("trait"), F.col("detail").alias("value")),
+    )).alias("seen")).select(key, "events", "seen.*").where(F.col("trait").isNotNull())
+    counts = seen.groupBy(key, "trait", "value").agg(F.sum("events").alias("n"))
 
     def usual(name: str) -> Column:
-        return most_frequent(F.when(F.col("_trait") == name, F.col("_value")), F.col("_n"))
-
-    return counted.groupBy(key).agg(
-        *[F.sum(name).alias(name) for name in columns],
-        *[again(F.col(name)).alias(name) for name, (_, again) in whole.items()],
-        usual(_TERMINAL).alias("terminal"),
-        usual(_MODEL).alias("model"),
-        usual(_TOOL).alias("tool"),
-        F.count_if(F.col("_trait") == _MODEL).alias("models"),
-        F.count_if(F.col("_trait") == _TOOL).alias("tools"),
+        return most_frequent(F.when(F.col("trait") == name, F.col("value")), F.col("n"))
+
+    return counts.groupBy(key).agg(
+        usual("terminal").alias("terminal"),
+        usual("model").alias("model"),
+        usual("tool").alias("tool"),
+        F.count_if(F.col("trait") == "model").alias("models"),
+        F.count_if(F.col("trait") == "tool").alias("tools"),
     )
 
 
-def _of(kind: str, value: str) -> Column:
-    return F.when(F.col("event_name") == kind, F.col(value)).otherwise(F.lit(0))
-
-
-def _firsts(rows: DataFrame, names: list[str]) -> dict:
-    """For each name the non-blank value of the row that comes first."""
-    at = _event_position(rows)
-    return {name: (placed_value(F.col(name), at), F.min) for name in names}
-
-
 # --- sessions --------------------------------------------------------------------
 
 def session_event_counts(events: DataFrame) -> DataFrame:
@@ -169,101 +143,96 @@ def session_event_crosstab(events: DataFrame, names: list[str] | None = None) ->
 
 
 def sessions(events: DataFrame) -> DataFrame:
-    """One row per session, from enriched events."""
-    return sessions_of(activity(events))
+    """One row per session, from enriched events, which are read once: their activity is
+    written to the shared folder first."""
+    return sessions_of(stage(activity(events), "activity"))
 
 
 def sessions_of(rows: DataFrame) -> DataFrame:
-    """One row per session, from ``activity`` of enriched events."""
-    sums = {
-        "total_events": F.col("events"),
-        **{f"count_{n}": _of(n, "events") for n in EVENT_NAMES},
-        "count_other": F.when(F.col("event_name").isin(EVENT_NAMES), F.lit(0)).otherwise(F.col("events")),
-        "session_total_tokens": _of(API_REQUEST, "tokens"),
-        "session_cached_tokens": _of(API_REQUEST, "cached"),
-        "session_total_cost_usd": _of(API_REQUEST, "cost"),
-        "api_duration": _of(API_REQUEST, "duration"),
-        "tool_successes": _of(TOOL_RESULT, "successes"),
-        "tool_duration": _of(TOOL_RESULT, "duration"),
-        "prompt": _of(USER_PROMPT, "prompt"),
-    }
-    base = _add_up(rows, "session_id", sums, {
-        "session_start": (F.col("first_at"), F.min), "session_end": (F.col("last_at"), F.max),
-        **_firsts(rows, _IDENTITY)})
+    """One row per session, from the written ``activity`` of enriched events."""
+    at = _event_position(rows)
+    base = rows.groupBy("session_id").agg(
+        *[first_filled(F.col(c), at).alias(c) for c in _IDENTITY],
+        F.min("first_at").alias("session_start"),
+        F.max("last_at").alias("session_end"),
+        F.sum("events").alias("total_events"),
+        *[_of(n, "events").alias(f"count_{n}") for n in EVENT_NAMES],
+        F.coalesce(F.sum(F.when(~F.col("event_name").isin(EVENT_NAMES), F.col("events"))),
+                   F.lit(0)).alias("count_other"),
+        _of(API_REQUEST, "tokens").alias("session_total_tokens"),
+        _of(API_REQUEST, "cached").alias("session_cached_tokens"),
+        _of(API_REQUEST, "cost").alias("session_total_cost_usd"),
+        _mean_of(API_REQUEST, "duration").alias("avg_api_duration_ms"),
+        _mean_of(TOOL_RESULT, "successes").alias("tool_success_rate"),
+        _mean_of(TOOL_RESULT, "duration").alias("avg_tool_duration_ms"),
+        _mean_of(USER_PROMPT, "prompt").alias("avg_prompt_length"),
+    )
     start, end = F.col("session_start"), F.col("session_end")
     minutes = minutes_between(start, end)
-    success = _mean("tool_successes", TOOL_RESULT)
-    return base.select(
-        "session_id", *[value_placed(c) for c in ("user_id", "email", "full_name")],
-        *[or_unknown(value_placed(c)).alias(c) for c in ("practice", "level", "location")],
+    return base.join(_habits(rows, "session_id"), "session_id").select(
+        "session_id", "user_id", "email", "full_name",
+        *[or_unknown(F.col(c)).alias(c) for c in ("practice", "level", "location")],
         or_unknown(F.col("terminal")).alias("terminal_type"),
-        value_placed("organization_id"), "session_start", "session_end", "total_events",
+        "organization_id", "session_start", "session_end", "total_events",
         minutes.alias("session_duration_minutes"),
         seconds_between(start, end).alias("session_duration_seconds"),
         *[f"count_{n}" for n in EVENT_NAMES], "count_other",
         "session_total_tokens", "session_cached_tokens", "session_total_cost_usd",
-        _mean("api_duration", API_REQUEST).alias("avg_api_duration_ms"),
+        "avg_api_duration_ms",
         F.col("models").alias("unique_models"),
         or_unknown(F.col("model")).alias("primary_model"),
-        success.alias("tool_success_rate"),
-        _mean("tool_duration", TOOL_RESULT).alias("avg_tool_duration_ms"),
+        "tool_success_rate", "avg_tool_duration_ms",
         F.col("tools").alias("unique_tools"),
         or_unknown(F.col("tool")).alias("most_used_tool"),
-        _mean("prompt", USER_PROMPT).alias("avg_prompt_length"),
-        (success * 100.0).alias("tool_success_rate_pct"),
+        "avg_prompt_length",
+        (F.col("tool_success_rate") * 100.0).alias("tool_success_rate_pct"),
         ratio_or(F.col("total_events"), minutes, F.col("total_events"))
         .alias("events_per_minute"),
     )
 
 
-def _mean(total: str, kind: str) -> Column:
-    return ratio_or(F.col(total), F.col(f"count_{kind}"), 0.0)
-
-
 # --- users -----------------------------------------------------------------------
 
 def users(events: DataFrame, session_table: DataFrame) -> DataFrame:
     """One row per user. A session counts for the user who comes first in it."""
-    return users_of(activity(events), session_table)
+    return users_of(stage(activity(events), "activity"), session_table)
 
 
 def users_of(rows: DataFrame, session_table: DataFrame) -> DataFrame:
-    """The same from ``activity`` of enriched events."""
-    sums = {
-        "total_events": F.col("events"),
-        f"count_{API_REQUEST}": _of(API_REQUEST, "events"),
-        "total_tokens": _of(API_REQUEST, "tokens"),
-        "total_cached_tokens": _of(API_REQUEST, "cached"),
-        "total_cost_usd": _of(API_REQUEST, "cost"),
-        "api_duration": _of(API_REQUEST, "duration"),
-        f"count_{TOOL_RESULT}": _of(TOOL_RESULT, "events"),
-        "tool_successes": _of(TOOL_RESULT, "successes"),
-    }
-    named = [c for c in _IDENTITY if c != "user_id"]
-    base = _add_up(rows, "user_id", sums, {
-        "first_seen": (F.col("first_at"), F.min), "last_seen": (F.col("last_at"), F.max),
-        **_firsts(rows, named)})
+    """The same from the written ``activity`` of enriched events."""
+    at = _event_position(rows)
+    base = rows.groupBy("user_id").agg(
+        *[first_filled(F.col(c), at).alias(c) for c in _IDENTITY if c != "user_id"],
+        F.min("first_at").alias("first_seen"),
+        F.max("last_at").alias("last_seen"),
+        F.sum("events").alias("total_events"),
+        _of(API_REQUEST, "events").alias("total_api_requests"),
+        _of(API_REQUEST, "tokens").alias("total_tokens"),
+        _of(API_REQUEST, "cached").alias("total_cached_tokens"),
+        _of(API_REQUEST, "cost").alias("total_cost_usd"),
+        _mean_of(API_REQUEST, "duration").alias("avg_api_duration_ms"),
+        _of(TOOL_RESULT, "events").alias("total_tool_runs"),
+        _mean_of(TOOL_RESULT, "successes").alias("tool_success_rate"),
+    )
     owned = session_table.groupBy("user_id").agg(
         F.count("*").alias("total_sessions"),
         F.avg("session_duration_minutes").alias("avg_session_duration_minutes"),
         F.avg("total_events").alias("avg_events_per_session"),
     )
-    success = _mean("tool_successes", TOOL_RESULT)
-    return base.join(owned, "user_id", "left").select(
-        "user_id", value_placed("email"),
-        *[or_unknown(value_placed(c)).alias(c) for c in ("full_name", "practice", "level",
-                                                         "location")],
-        value_placed("organization_id"), or_unknown(F.col("terminal")).alias("terminal_type"),
+    joined = (base.join(_habits(rows, "user_id"), "user_id")
+              .join(owned, "user_id", "left"))
+    return joined.select(
+        "user_id", "email",
+        *[or_unknown(F.col(c)).alias(c) for c in ("full_name", "practice", "level",
+                                                  "location")],
+        "organization_id", or_unknown(F.col("terminal")).alias("terminal_type"),
         "first_seen", "last_seen", "total_events",
         F.coalesce("total_sessions", F.lit(0)).alias("total_sessions"),
         *[F.coalesce(c, F.lit(0.0)).alias(c)
           for c in ("avg_session_duration_minutes", "avg_events_per_session")],
-        F.col(f"count_{API_REQUEST}").alias("total_api_requests"),
-        "total_tokens", "total_cached_tokens", "total_cost_usd",
-        _mean("api_duration", API_REQUEST).alias("avg_api_duration_ms"),
-        or_unknown(F.col("model")).alias("preferred_model"),
-        F.col(f"count_{TOOL_RESULT}").alias("total_tool_runs"),
-        success.alias("tool_success_rate"),
+        "total_api_requests", "total_tokens", "total_cached_tokens", "total_cost_usd",
+        "avg_api_duration_ms", or_unknown(F.col("model")).alias("preferred_model"),
+        "total_tool_runs", "tool_success_rate",
         or_unknown(F.col("tool")).alias("favorite_tool"),
-        (success * 100.0).alias("tool_success_rate_pct"),
+        (F.col("tool_success_rate") * 100.0).alias("tool_success_rate_pct"),
     )

@@ -16,14 +16,14 @@ OTHER_KINDS = "other"
 
 
 def event_distribution(events: DataFrame) -> DataFrame:
-    """Every kind that occurs, known or not, with its events."""
-    return distribution_of(events.groupBy("event_name").agg(F.count("*").alias("events")))
+    """Every kind that occurs, known or not, with its events, most frequent first."""
+    return (events.groupBy("event_name").agg(F.count("*").alias("event_count"))
+            .orderBy(F.desc("event_count"), "event_name"))
 
 
-def distribution_of(rows: DataFrame) -> DataFrame:
-    """The same from ``activity`` rows."""
-    return (rows.groupBy("event_name").agg(F.sum("events").alias("event_count"))
-            .orderBy(F.desc("event_count"), "event_name"))
+def kinds_of(rows: DataFrame) -> DataFrame:
+    """The same from ``activity`` rows, in no order."""
+    return rows.groupBy("event_name").agg(F.sum("events").alias("event_count"))
 
 
 def _total(value: Column) -> Column:
@@ -76,7 +76,7 @@ def report(summary: DataFrame, rows: DataFrame, session_table: DataFrame, user_t
     enriched events, ``rejects`` the lines and messages a lenient read left out, and
     ``duplicate_keys`` the employees' emails that occur more than once. The distribution has
     the known kinds and the sum of all others, whatever senders call them;
-    ``distribution_of`` lists each one, as a table.
+    ``kinds_of`` lists each one, as a table.
     """
     kind, n = F.col("event_name"), F.col("events")
     facts = rows.agg(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from usagelens.operators import marts
 from usagelens.operators.enrich import enrich, is_small
 from usagelens.operators.numbering import number_events
-from usagelens.operators.quality import distribution_of, report
+from usagelens.operators.quality import kinds_of, report
 from usagelens.operators.standardize import conform, count_copies, derive, summarize_copies
 from usagelens.plans.tables import REQUEST_KEYS, Curated, add_to_catalog, table_path
 from usagelens.schemas import NUMERIC_COLUMNS
@@ -75,7 +75,7 @@ def save_curated(raw: DataFrame, employees: DataFrame | None, folder: str,
     doubled = None if employees is None or "email" not in employees.columns else duplicate_keys(employees)
     write_report(report(summarize_copies(numbered), rows, sessions, users, rejects, doubled),
                  table_path(folder, "data_quality_report"))
-    distribution_of(rows).write.mode("overwrite").json(table_path(folder, "event_name_distribution"))
+    kinds_of(rows).write.mode("overwrite").json(table_path(folder, "event_name_distribution"))
     for path in staged.values():
         remove_staged(spark, path)
     return Curated(events=lambda: events, api_requests=lambda: api, tool_results=lambda: tools,

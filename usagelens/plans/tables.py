@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from usagelens.operators import marts
 from usagelens.operators.enrich import SENT_PRACTICE, enrich
 from usagelens.operators.standardize import standardize
+from usagelens.session import stage
 
 
 TABLE_NAMES = ["events", "api_requests", "tool_results", "sessions", "users"]
@@ -82,9 +83,10 @@ class Curated:
 
 
 def curate(events: DataFrame) -> Curated:
-    """Curated tables from enriched events."""
+    """Curated tables from enriched events. Sessions and users share one ``activity``, which
+    is written to the shared folder when one of them is first asked for."""
     plain = events.drop(SENT_PRACTICE)
-    rows = lru_cache(maxsize=1)(lambda: marts.activity(events))
+    rows = lru_cache(maxsize=1)(lambda: stage(marts.activity(events), "activity"))
     tables = Curated(
         events=lambda: plain,
         api_requests=lambda: marts.api_requests(plain),
@@ -96,7 +98,7 @@ def curate(events: DataFrame) -> Curated:
 
 
 def build_tables(raw: DataFrame, employees: DataFrame | None) -> Curated:
-    """Everything from raw events as one lazy plan, without event numbers."""
+    """Everything from raw events, planned on demand, without event numbers."""
     return curate(enrich(standardize(raw), employees, keep_sent_practice=True))
 
 
