@@ -61,3 +61,26 @@ def test_query_against_direct_counts(spark):
     texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {
         r["doc_id"]: len(token_scan.tokens((r["text"] or "").encode())) for r in texts}
+
+
+def _alone(text):
+    """An encoder put together here, given the whole text at once."""
+    import base64
+    import tiktoken
+    with open(token_scan.VOCABULARY, "rb") as lines:
+        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
+    return tiktoken.Encoding("alone", pat_str=token_scan.PATTERN, mergeable_ranks=ranks,
+                             special_tokens={}).encode_ordinary(text)
+
+
+def test_a_text_above_the_slice_size_is_encoded_as_a_whole():
+    words = "plain words of a very long text and so on " * 250_000  # 10.5 MB, cut twice
+    assert token_scan.tokens(words.encode()) == _alone(words)
+
+
+@pytest.mark.parametrize("text", [
+    "a b  c   d\n e \u00a0 f g\u3000h i\tj k l'm don't 12 34 , . !? x  ", "слово слово 言葉 x y\x1f z q", "no-space" * 50, " " * 60,
+    "it 's a  b 's c", "a \n b c \r\n d e"])
+def test_slices_of_any_size_change_nothing(text):
+    for size in range(1, 30):
+        assert token_scan.tokens(text.encode(), slice_chars=size) == _alone(text)

@@ -13,13 +13,18 @@ or repeated attempts are never looked at.
 
 Defined results: null and empty texts are documents of 0 tokens; tokens after the last
 separator of a file are a document too if there are any (``closed`` false); an empty file
-has no documents. Equal rows are separate documents.
+has no documents. Equal rows are separate documents. Long texts are encoded in slices, cut
+before a single space between two characters that are not white space: the splitting pattern
+starts a new piece there in any case, so the tokens are those of the whole text. A text without
+such a place is encoded in one go. Other columns play no part.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import uuid
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import byte_values, create_file, open_file, slices
+from usagelens.llm.common import byte_values, create_file, open_file
 from usagelens.session import new_path, stage
 
 #: The free number of the vocabularies used here (ranks 0 to 50255).
@@ -39,6 +44,9 @@ FILE_BYTES = 1 << 28
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the splitting pattern the public vocabulary was made with.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Characters of a text that are encoded at a time, about.
+SLICE_CHARS = 1 << 22
+_CUT = re.compile(r"\S \S")
 
 
 @lru_cache(maxsize=2)
@@ -50,10 +58,22 @@ def _encoder(vocabulary: str):
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def tokens(text: bytes | None, vocabulary: str = VOCABULARY) -> list[int]:
-    """The token numbers of one text; texts beyond a slice are encoded slice by slice."""
+def _slices(text: str, limit: int) -> Iterator[str]:
+    start = 0
+    while len(text) - start > limit:
+        found = _CUT.search(text, start + limit)
+        if found is None:
+            break
+        yield text[start:found.start() + 1]
+        start = found.start() + 1
+    yield text[start:]
+
+
+def tokens(text: bytes | None, vocabulary: str = VOCABULARY, slice_chars: int = SLICE_CHARS) -> list[int]:
+    """The token numbers of one text."""
     encode = _encoder(vocabulary).encode_ordinary
-    return [t for part in slices(text or b"") for t in encode(part.decode("utf-8", "replace"))]
+    whole = (text or b"").decode("utf-8", "replace")
+    return [t for part in _slices(whole, slice_chars) for t in encode(part)]
 
 
 def write_token_files(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
@@ -145,8 +165,11 @@ def scan(files: DataFrame, end: int = END, block_bytes: int = BLOCK_BYTES) -> Da
             "rest": F.coalesce(F.col("last") + 1, "open"),  # where the next document starts
             "next": F.col("ordinal") + F.col("n")})
 
-    ended = found.select("file", "block", F.posexplode(F.arrays_zip("starts", "ends")).alias("i", "at"))
-    closed = ended.join(carried, ["file", "block"]).select(
+    # Joined while there is one row per block; a block's documents are spread out afterwards.
+    ended = found.select("file", "block", "starts", "ends").join(
+        carried.select("file", "block", "ordinal", "open"), ["file", "block"]).select(
+        "file", "ordinal", "open", F.posexplode(F.arrays_zip("starts", "ends")).alias("i", "at"))
+    closed = ended.select(
         "file", (F.col("ordinal") + F.col("i")).alias("ordinal"),
         F.coalesce("at.starts", "open").alias("start"), F.col("at.ends").alias("end"))
     tail = carried.groupBy("file").agg(
@@ -169,14 +192,14 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     folder = new_path(spark, "token-files")
     written = stage(write_token_files(docs, folder, key, text, vocabulary), "token-manifest")
-    files = _with_length(written.select("file").distinct())
+    files = _with_length(written.select("file").distinct(), spark.sparkContext.defaultParallelism)
     counted = scan(files, END, block_bytes)
     return written.join(counted, ["file", "ordinal"], "left").select(
         key, "file", "ordinal", "start", "n_tokens")
 
 
-def _with_length(files: DataFrame) -> DataFrame:
-    """(path, length) of the named files, looked up in the tasks."""
+def _with_length(files: DataFrame, tasks: int) -> DataFrame:
+    """(path, length) of the named files, looked up in so many tasks."""
 
     def look(batches):
         for batch in batches:
@@ -188,4 +211,4 @@ def _with_length(files: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array(sizes, pa.int64())], names=["path", "length"])
 
-    return files.mapInArrow(look, "path string, length long")
+    return files.repartition(tasks, "file").mapInArrow(look, "path string, length long")
