@@ -3,6 +3,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from usagelens.llm import warc_members
 
@@ -18,7 +19,6 @@ def _want(pages):
     for key, _, html in pages:
         body = (html or "").encode()
         alone = len(body) < 1000 or (html or "") not in largest or key == largest[html or ""]
-        # A null id refers to a copy only if several rows with an id share the payload.
         rows.append((key, len(body), hashlib.sha1(body).hexdigest(), "response" if alone else "revisit",
                      None if alone else largest[html or ""]))
     return Counter(rows)
@@ -73,3 +73,29 @@ def test_cut_off_archives_are_refused(tmp_path):
     source.header()
     with pytest.raises(ValueError, match="cut off"):
         list(source.body(50))
+
+
+@pytest.mark.parametrize("partners", [0, 1, 2])
+def test_a_null_id_revisits_the_copies_that_have_one(spark, partners):
+    rows = [(None, None, PAGE), (None, None, PAGE), *[(i + 1, "u", PAGE) for i in range(partners)]]
+    out = warc_members.archive_round_trip(spark.createDataFrame(rows, PAGES)).collect()
+    assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])
+                   for r in out) == _want(rows)
+    assert {r["record_type"] for r in out if r["page_id"] is None} == {"revisit" if partners else "response"}
+
+
+def test_other_columns_with_the_same_names(spark):
+    pages = spark.createDataFrame([(1, "u", "b", "x", 2, 3, "f"), (2, "u", "c", "x", 2, 3, "f")],
+                                  PAGES + ", sha1 string, last int, n int, refers_to string")
+    assert [r["refers_to"] for r in warc_members.archive_round_trip(pages).collect()] == [None, None]
+
+
+def test_archives_are_rewritten_by_many_tasks(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"{i} " * 400) for i in range(200)], PAGES).repartition(2)
+    archives = warc_members.write_archives(pages, str(tmp_path / "a"), archive_bytes=5000)
+    archives.write.parquet(str(tmp_path / "list"))
+    listed = spark.read.parquet(str(tmp_path / "list"))
+    index = warc_members.normalise(listed, str(tmp_path / "b"))
+    index.write.parquet(str(tmp_path / "index"))
+    files = spark.read.parquet(str(tmp_path / "index")).select(F.input_file_name()).distinct().count()
+    assert listed.count() >= 20 and files >= spark.sparkContext.defaultParallelism

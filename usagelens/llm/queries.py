@@ -138,8 +138,9 @@ WITH sized AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
 linked AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last FROM sized)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
-  CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+  CASE WHEN n >= 1000 AND last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM last THEN last END AS refers_to
 FROM linked"""
 
 _COMPONENTS = """

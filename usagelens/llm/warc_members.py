@@ -17,8 +17,9 @@ through in pieces.
 
 Defined results: a null page is an empty payload; a null id is written as such and read back
 as null, it never is what others refer to; rows with equal id and payload are separate
-records. Rows with equal payload and the same largest id are all responses. Null urls are
-left out of the header, line breaks in urls become spaces.
+records. Rows with equal payload and the same largest id are all responses; a row without an id
+revisits them, and is a response where no copy has an id. Null urls are left out of the header,
+line breaks in urls become spaces. Other columns play no part, whatever they are called.
 """
 
 from __future__ import annotations
@@ -80,9 +81,9 @@ def link_copies(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
                         body.alias("html"), F.sha1(body.cast("binary")).alias("sha1"))
     large = F.octet_length("html") >= REVISIT_BYTES
     # One row per payload that occurs more than once; sums are taken before the shuffle.
-    copies = stage(rows.where(large & F.col("page_id").isNotNull()).groupBy("sha1").agg(
-        F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").select("sha1", "last"),
-        "copies")
+    copies = stage(rows.where(large).groupBy("sha1").agg(
+        F.max("page_id").alias("last"), F.count("*").alias("n")).where(
+        "n > 1 and last is not null").select("sha1", "last"), "copies")
     return rows.join(copies, "sha1", "left").select(
         "page_id", "url", "html", "sha1",
         F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
@@ -208,7 +209,10 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield _index(rows)
 
-    return archives.repartition("file").mapInArrow(
+    # A number of its own: adaptive execution would put the few short rows into one task. More
+    # partitions than tasks that run, for a hash seldom deals out few files evenly.
+    tasks = 4 * max(1, archives.sparkSession.sparkContext.defaultParallelism)
+    return archives.repartition(tasks, "file").mapInArrow(
         rewrite, "file string, offset long, length long, record_id string, record_type string")
 
 
