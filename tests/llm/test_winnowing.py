@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -66,3 +67,22 @@ def test_other_columns_with_the_same_names(spark):
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op3_decontamination"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
+@pytest.mark.parametrize("width", [1, 3, 13, 20])
+def test_texts_of_one_word_over_and_over(spark, width):
+    docs = [(1, "la " * 400), (2, "la " * 5 + "di " + "la " * 30), (3, "di da"), (4, "la")]
+    _check(spark, docs, [(1, "la " * width), (2, "la di " + "la " * width)])
+
+
+def test_time_grows_with_the_length_of_repeated_words(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "la " * n)], DOCS)
+        items = spark.createDataFrame([(1, "la"), (2, "la " * 20)], ITEMS)
+        started = time.perf_counter()
+        row = winnowing.decontaminate(docs, items).first()
+        assert (row["n_words"], row["n_hit"], row["n_items"]) == (n, n, 2)
+        return time.perf_counter() - started
+
+    seconds(1000)
+    assert seconds(200_000) < 2 * seconds(100_000) + 2

@@ -24,6 +24,8 @@ apart. Other columns play no part.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -91,34 +93,47 @@ def meetings(prints: DataFrame, items: DataFrame, span: int) -> DataFrame:
         "doc", "content", "entry", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
 
 
-def _runs(span: Column) -> tuple[Column, Column]:
-    """Where words differ, and the runs between as (first, last) positions in the document."""
-    low = F.greatest(F.lit(0), F.col("shift"))
-    high = F.least(F.size("words"), F.col("shift") + F.size("item_words"))  # exclusive
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _runs(shift: Column, span: Column) -> Column:
+    """The runs, as (first, last) positions in the document, in which the item's words at this
+    shift agree with the document's. Only as many words are looked at as the item has."""
+    low = F.greatest(F.lit(0), shift)
+    high = F.least(F.size("words"), shift + F.size("item_words"))  # exclusive
     breaks = F.concat(
         F.array(low - 1),
-        F.filter(F.sequence(low, high - 1), lambda i: F.get("words", i) != F.get("item_words", i - F.col("shift"))),
+        F.filter(F.sequence(low, high - 1), lambda i: F.get("words", i) != F.get("item_words", i - shift)),
         F.array(high))
-    spans = F.zip_with(F.slice("breaks", 1, F.size("breaks") - 1), F.slice("breaks", 2, F.size("breaks") - 1),
-                       lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("last")))
-    return breaks, F.filter(spans, lambda r: r["last"] - r["first"] + 1 >= span)
+    return _once(breaks, lambda b: F.filter(
+        F.zip_with(F.slice(b, 1, F.size(b) - 1), F.slice(b, 2, F.size(b) - 1),
+                   lambda x, y: F.struct((x + 1).alias("first"), (y - 1).alias("last"))),
+        lambda r: r["last"] - r["first"] + 1 >= span))
 
 
 def extend(found: DataFrame, items: DataFrame, texts: DataFrame) -> DataFrame:
     """(doc, content, item, first, last) of every run that covers a window of an item.
-    ``found`` are meetings, ``texts`` (doc, content, text) the documents."""
+    ``found`` are meetings, ``texts`` (doc, content, text) the documents.
+
+    A document's words meet an item's once, with the list of all their shifts, which is no
+    longer than the two texts; the words are not copied for every shift.
+    """
     wanted = found.select("doc", "content").distinct()
     read = texts.join(wanted, [texts["doc"].eqNullSafe(wanted["doc"]),
                                texts["content"].eqNullSafe(wanted["content"])], "left_semi").select(
         "doc", "content", words(F.col("text")).alias("words")).dropDuplicates(["doc", "content"])
     read = stage(read, "met-documents")
-    lined = found.join(read, [found["doc"].eqNullSafe(read["doc"]),
-                              found["content"].eqNullSafe(read["content"])]).select(
-        found["doc"], found["content"], "entry", "shift", "words").join(
+    shifts = found.groupBy("doc", "content", "entry").agg(F.collect_set("shift").alias("shifts"))
+    lined = shifts.join(read, [shifts["doc"].eqNullSafe(read["doc"]),
+                               shifts["content"].eqNullSafe(read["content"])]).select(
+        shifts["doc"], shifts["content"], "entry", "shifts", "words").join(
         items.select("entry", "item", F.col("words").alias("item_words")), "entry")
-    breaks, runs = _runs(F.least(F.lit(SPAN), F.size("item_words")))
-    return lined.withColumn("breaks", breaks).select(
-        "doc", "content", "item", F.explode_outer(runs).alias("run")).where(F.col("run").isNotNull()).select(
+    span = F.least(F.lit(SPAN), F.size("item_words"))
+    runs = F.flatten(F.transform("shifts", lambda shift: _runs(shift, span)))
+    return lined.select("doc", "content", "item", F.explode_outer(runs).alias("run")).where(
+        F.col("run").isNotNull()).select(
         "doc", "content", "item", "run.first", "run.last").distinct()
 
 
