@@ -93,16 +93,28 @@ def kind(text):
     return "prose"
 
 
-def raked(cells, targets, sweeps=10):
-    """{cell: weight} by plain loops; cells are tuples, targets lists of {value: share}."""
+def raked(cells, targets, sweeps=200, tolerance=1e-12):
+    """{cell: weight} by plain loops; cells are tuples, targets lists of {value: share}. Ends
+    when all shares agree with their targets or five sweeps bring them hardly nearer."""
     weights = {c: float(n) for c, n in cells.items()}
-    for _ in range(sweeps):
+    before = math.inf
+    for sweep in range(1, sweeps + 1):
         for at, target in enumerate(targets):
             sums = Counter()
             for c, w in weights.items():
                 sums[c[at]] += w
             weights = {c: w * target.get(c[at], 0.0) / sums[c[at]] if sums[c[at]] > 0 else 0.0
                        for c, w in weights.items()}
+        if sweep % 5 == 0:
+            off = 0.0
+            for at, target in enumerate(targets):
+                sums = Counter()
+                for c, w in weights.items():
+                    sums[c[at]] += w
+                off = max([off, *(abs(w - target.get(v, 0.0)) for v, w in sums.items())])
+            if off <= tolerance or off > 0.995 * before:
+                break
+            before = off
     return weights
 
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,10 +16,10 @@ def test_margins_meet_their_targets(spark):
         "source string, topic string, n long")
     targets = {"source": spark.createDataFrame([("a", 1.0), ("b", 1.0), ("c", 2.0), ("gone", 4.0)], "source string, share double"),
                "topic": spark.createDataFrame([("x", 0.3), ("y", 0.4), ("z", 0.3)], "topic string, share double")}
-    rows = raking.rake(cells, targets, sweeps=60).collect()
+    rows = raking.rake(cells, targets).collect()
     for margin, want in (("source", {"a": .25, "b": .25, "c": .5}), ("topic", {"x": .3, "y": .4, "z": .3})):
         for value, share in want.items():
-            assert sum(r["weight"] for r in rows if r[margin] == value) == pytest.approx(share, abs=1e-6)
+            assert sum(r["weight"] for r in rows if r[margin] == value) == pytest.approx(share, abs=1e-9)
 
 
 def test_probabilities_meet_the_size_and_take_rare_cells_whole(spark):
@@ -54,3 +56,34 @@ def test_ties_nulls_empty_tables_and_clashing_columns(spark):
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op7_mixing"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sparse_targets_that_can_be_met_are_met(spark, seed):
+    rng = random.Random(seed)
+    names = [f"v{i}" for i in range(6)]
+    # Weights drawn for few cells give targets that those cells can meet.
+    drawn = {(s, t): 0.05 + rng.random() for s in names for t in names if rng.random() < 0.4 or s == t}
+    total = sum(drawn.values())
+    cells = spark.createDataFrame([(s, t, rng.randrange(1, 1000)) for s, t in drawn], "source string, topic string, n long")
+    goals = [{v: sum(w for c, w in drawn.items() if c[at] == v) / total for v in names} for at in (0, 1)]
+    targets = {m: spark.createDataFrame(list(g.items()), f"{m} string, share double") for m, g in zip(("source", "topic"), goals)}
+    rows = raking.rake(cells, targets, tolerance=1e-7).collect()
+    for at, (margin, goal) in enumerate(zip(("source", "topic"), goals)):
+        for value, share in goal.items():
+            assert sum(r["weight"] for r in rows if r[margin] == value) == pytest.approx(share, abs=1e-6)
+
+
+def test_targets_that_cannot_be_met_are_told(spark):
+    cells = spark.createDataFrame([("a", "x", 5), ("b", "y", 5)], "source string, topic string, n long")
+    targets = {"source": spark.createDataFrame([("a", 0.2), ("b", 0.8)], "source string, share double"),
+               "topic": spark.createDataFrame([("x", 0.5), ("y", 0.5)], "topic string, share double")}
+    with pytest.warns(UserWarning, match="off by 0.3"):
+        rows = raking.rake(cells, targets, max_sweeps=10).collect()
+    assert {r["topic"]: r["weight"] for r in rows} == {"x": pytest.approx(0.5), "y": pytest.approx(0.5)}
+
+
+def test_no_window_over_all_cells(spark):
+    cells = spark.createDataFrame([("a", "x", "y", 5, 1.0)], "source string, lang string, topic string, n long, weight double")
+    plan = raking.probabilities(cells)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan

@@ -2,7 +2,8 @@
 
 Documents fall into cells, one per combination of source, language and topic that occurs. A
 cell starts with its share of all tokens; raking scales the cells of each source, then of
-each language, then of each topic to that value's target, again and again. A document's
+each language, then of each topic to that value's target, until all three agree with their
+targets to ``TOLERANCE``. A document's
 weight is its cell's raked share over its real share, and its probability of being sampled
 is that weight times a factor that makes the expected sample the wanted fraction of all
 tokens. No probability exceeds one: cells that would are taken whole and the others' factor
@@ -16,13 +17,17 @@ is done on the cells, a table with a row per combination of values.
 Defined results: a null value of a margin is a value of its own, written as an empty text.
 Null and blank texts have 0 tokens; cells without any token are sampled at the fraction
 itself. Values that a given target table lacks get weight 0, targets of values that do not
-occur are spread over the others in proportion. Documents with equal ids are kept or left out
+occur are spread over the others in proportion. Targets that no weights meet (a source that has
+only one language, say) are raked until they come no nearer, and what is left is told by a warning. Documents with equal ids are kept or left out
 together if they share a cell; a null id is one id. Other columns pass through; columns
 named like a result are replaced.
 """
 
 from __future__ import annotations
 
+import warnings
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,8 +39,14 @@ MARGINS = ("source", "lang", "topic")
 TEMPER = 0.7
 #: The part of all tokens a sample should have.
 FRACTION = 0.7
-SWEEPS = 10
+#: Sweeps end when no share is off its target by more than this, when as many as fit into a plan
+#: leave more than this part of what was off before, or after so many.
+TOLERANCE = 1e-12
+_STANDSTILL = 0.995
+MAX_SWEEPS = 200
 _SWEEPS_PER_PLAN = 5
+#: Sweeps of the SQL, which has no loop: enough for the tolerance on the given tables.
+_SQL_SWEEPS = 40
 _BLANKS = "[\\x09-\\x0D\\x20]+"
 _ADDED = ("n_tokens", "prob", "kept")
 
@@ -66,43 +77,70 @@ def tempered(cells: DataFrame, margin: str, power: float = TEMPER) -> DataFrame:
         margin, F.when(F.col("t") > 0, F.pow("t", F.lit(power))).otherwise(0.0).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE,
+         max_sweeps: int = MAX_SWEEPS) -> DataFrame:
     """``cells`` with ``weight``: shares of all tokens that agree with the targets, which are
-    tables (margin, share) of any scale. Windows run over cells, never over documents."""
-    everything = W.partitionBy()
+    tables (margin, share) of any scale. Sweeps go on until no value's share is off its target
+    by more than ``tolerance``. Where ``_SWEEPS_PER_PLAN`` more bring the shares hardly nearer,
+    the cells cannot meet the targets: a warning then names what is left. Windows run over
+    cells, never over documents."""
     rows = cells.withColumn("weight", F.col("n").cast("double"))
     for margin, target in targets.items():
         goal = F.when(F.col("t") > 0, F.coalesce("share", F.lit(0.0))).otherwise(0.0)
         present = cells.groupBy(margin).agg(F.sum("n").alias("t")).join(target, margin, "left").select(
             margin, goal.alias("goal"))
-        rows = rows.join(present.select(
-            margin, F.try_divide("goal", F.sum("goal").over(everything)).alias(f"_{margin}")), margin)
+        whole = present.agg(F.sum("goal")).scalar()
+        rows = rows.join(present.select(margin, F.try_divide("goal", whole).alias(f"_{margin}")), margin)
     rows = stage(rows, "cells")
-    for sweep in range(1, sweeps + 1):
+    before = float("inf")
+    for sweep in range(1, max_sweeps + 1):
         for margin in targets:
             total = F.sum("weight").over(W.partitionBy(margin))
             rows = rows.withColumn("weight", F.when(
                 total > 0, F.col("weight") * F.coalesce(f"_{margin}", F.lit(0.0)) / total).otherwise(0.0))
-        if sweep % _SWEEPS_PER_PLAN == 0:
-            rows = stage(rows, "swept")  # plans of bounded depth
-    return stage(rows.drop(*[f"_{m}" for m in targets]), "raked")
+        if sweep % _SWEEPS_PER_PLAN and sweep < max_sweeps:
+            continue
+        rows = stage(rows, "swept")  # plans of bounded depth
+        off = _largest_deviation(rows, list(targets))
+        if off <= tolerance:
+            break
+        if off > _STANDSTILL * before or sweep == max_sweeps:
+            warnings.warn(f"the targets are not met: a share is off by {off:.3g} after {sweep} sweeps")
+            break
+        before = off
+    return rows.drop(*[f"_{m}" for m in targets])
+
+
+def _largest_deviation(rows: DataFrame, margins: list[str]) -> float:
+    """The furthest that the share of any value of a margin is from its target."""
+    def furthest(margin: str) -> DataFrame:
+        off = F.sum("weight") - F.max(F.coalesce(f"_{margin}", F.lit(0.0)))
+        return rows.groupBy(margin).agg(F.abs(off).alias("off")).agg(F.max("off").alias("off"))
+
+    found = reduce(DataFrame.unionByName, map(furthest, margins)).agg(F.max("off")).head()[0]
+    return found or 0.0
 
 
 def probabilities(raked: DataFrame, fraction: float = FRACTION) -> DataFrame:
-    """``raked`` with ``prob``. Cells in falling order of weight per token: the first k are
-    taken whole, the factor of the rest follows from what is left of the sample's size."""
-    cell = [c for c in raked.columns if c not in ("n", "weight")]
-    order = [F.desc("ratio"), *cell]
+    """``raked`` with ``prob``. With one factor for all, cells whose probability would exceed
+    one are taken whole and the factor of the others rises to make up for it, until no more
+    cells exceed one. Each round is one sum over the cells."""
     rows = raked.withColumn("ratio", F.when(F.col("n") > 0, F.col("weight") / F.col("n")).otherwise(0.0))
-    taken = F.coalesce(F.sum("n").over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    left = F.sum("weight").over(W.orderBy(*order).rowsBetween(W.currentRow, W.unboundedFollowing))
-    budget = F.sum("n").over(W.partitionBy()) * F.lit(fraction)
-    rows = rows.withColumn("factor", F.when(left > 0, (budget - taken) / left).otherwise(0.0))
-    fits = F.when(F.col("factor") * F.col("ratio") <= 1, F.struct(
-        (-F.col("ratio")).alias("r"), F.col("factor").alias("f")))
-    factor = F.min(fits).over(W.partitionBy())["f"]
-    return rows.withColumn("prob", F.round(F.when(F.col("n") == 0, F.lit(fraction)).otherwise(
-        F.least(F.lit(1.0), F.col("ratio") * factor)), 9)).drop("ratio", "factor")
+    factor, whole = 0.0, -1
+    while True:
+        full = F.col("ratio") * F.lit(factor) > 1
+        sums = rows.agg(
+            F.coalesce(F.sum("n"), F.lit(0)), F.count_if(full), F.coalesce(F.sum(F.when(full, F.col("n"))), F.lit(0)),
+            F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0))).head()
+        total, found, taken, left = sums
+        if found == whole:
+            break
+        whole = found
+        # Nothing left to share out: whatever has weight has been taken whole.
+        factor = max(0.0, fraction * total - taken) / left if left > 0 else factor
+    prob = F.when(F.col("n") == 0, F.lit(fraction)).otherwise(
+        F.least(F.lit(1.0), F.col("ratio") * F.lit(factor)))
+    return rows.withColumn("prob", F.round(prob, 9)).drop("ratio")
 
 
 def draw(key: str) -> Column:
@@ -125,7 +163,7 @@ def mix(docs: DataFrame, margins: tuple[str, ...] = MARGINS, key: str = "doc_id"
         "kept", draw(key) < F.col("prob"))
 
 
-def sql(sweeps: int = SWEEPS, fraction: float = FRACTION, temper: float = TEMPER) -> str:
+def sql(sweeps: int = _SQL_SWEEPS, fraction: float = FRACTION, temper: float = TEMPER) -> str:
     """DuckDB SQL for the query's rows."""
     steps = ["""docs AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
       CASE WHEN contains(text, ' | ') THEN 'table'
