@@ -93,3 +93,30 @@ def test_filled_bins_agree_as_often_as_the_sets_do():
             agree.append((one_permutation.signature(own) == one_permutation.signature(other)).mean())
         want = (size * 3 // 4) / (size + size // 4)
         assert abs(np.mean(agree) - want) < 0.05
+
+
+def test_small_similar_sets_always_share_a_bucket():
+    rng = np.random.default_rng(7)
+    for size in range(1, one_permutation.SMALL_SET + 1):
+        for _ in range(60):
+            own = np.unique(rng.integers(0, 2 ** 64, size, np.uint64))
+            kept = own[rng.random(len(own)) < 0.95]
+            other = np.unique(np.r_[kept, rng.integers(0, 2 ** 64, rng.integers(0, 2 + size // 8), np.uint64)])
+            inter = len(np.intersect1d(own, other))
+            if len(other) <= one_permutation.SMALL_SET and 100 * inter >= 75 * (len(own) + len(other) - inter):
+                assert set(one_permutation.small_buckets(own)) & set(one_permutation.small_buckets(other))
+
+
+def test_many_short_texts_one_word_apart(spark):
+    rnd = random.Random(11)
+    docs = []
+    for i in range(150):  # 7 and 8 words: three of four shingles in common at the threshold
+        words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(8)]
+        docs += [(4 * i, " ".join(words)), (4 * i + 1, " ".join(words[:7])), (4 * i + 2, " ".join(words[1:])),
+                 (4 * i + 3, " ".join(words[:-1] + ["other"]))]
+    _check(spark, docs)
+
+
+def test_blocks_are_cut_by_what_they_hold(spark, texts, monkeypatch):
+    monkeypatch.setattr(one_permutation, "BLOCK_SHINGLES", 300)
+    _check(spark, texts)

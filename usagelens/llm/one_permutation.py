@@ -5,16 +5,21 @@ One hash per shingle: the top bits choose one of ``BINS`` bins, which keeps its
 hash. An empty bin takes the value of the first non-empty bin in an order of its own, the
 same for all documents, so two sets still agree in a bin with probability equal to their
 similarity. Four bins make a band, a band's values a bucket; with 32 bands a pair at the
-threshold of 0.75 meets in no bucket with probability 5e-6, a closer one much less.
+threshold of 0.75 meets in no bucket with probability 5e-6, a closer one much less. In small
+sets bins depend on each other and that is not true any more: sets of up to ``SMALL_SET``
+shingles also have a bucket for each of their smallest shingle hashes, as many as it takes for
+two similar sets to have one of them in common, so such a pair always meets.
 
 Equal sets are collapsed to one node first. In each bucket one member is the centre, the one
 whose buckets hold most documents, and only the edges of that star become candidate pairs,
 so their number never exceeds the number of bucket members. Candidates are confirmed on the
 full sets. A star can miss a link between two of its points, so every bucket that still
 holds several components is then searched for them, in blocks of a bounded number of
-members: pairs of different components whose 128-bin sketches could belong to a similar
-pair are compared on their full sets, and only links that join components are put out.
-No link found by a shared bucket is lost, none is reported unconfirmed, nothing is capped.
+members: pairs of different components are compared on their full sets, and only links that
+join components are put out. Larger sets are compared only if their sketches share ``SHARED_BINS``
+of 128 bins, which a similar pair misses with probability 1e-8; if one of the two has less than
+``SKETCHED`` shingles they are compared in any case. No link is reported unconfirmed, nothing is
+capped.
 
 Defined results: null, empty and blank texts have empty sets, are linked with nothing and
 kept. A null id is linked with nothing and kept. Rows that share an id are one node, linked
@@ -42,11 +47,15 @@ BINS = 1 << BIN_BITS
 ROWS = 4  # bins in a band
 #: Link if 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Bins two sketches must share to be compared. At the threshold 96 are expected, with a
-#: standard deviation of 4.9, so a similar pair falls below with probability under 1e-8.
+#: Sets of up to so many shingles meet through their smallest shingles as well.
+SMALL_SET = 64
+#: Bins two sketches of larger sets must share to be compared. At the threshold 96 are expected,
+#: with a standard deviation of 4.9, so a similar pair falls below with probability 1e-8.
 SHARED_BINS = 68
-#: Members of a bucket compared in one task; larger buckets are cut into blocks.
+SKETCHED = BINS
+#: Members of a bucket, and their shingles, in a block; larger buckets are cut into several.
 BLOCK = 256
+BLOCK_SHINGLES = 1 << 21
 _KNOWN_WORDS = 1 << 19
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -115,6 +124,15 @@ def band_buckets(signatures: np.ndarray) -> np.ndarray:
     return joined.view(np.int64)
 
 
+def small_buckets(hashes: np.ndarray) -> list[int]:
+    """Buckets of a small set: its smallest hashes, so many that a set as similar as
+    ``PERCENT`` cannot be without all of them."""
+    if len(hashes) > SMALL_SET:
+        return []
+    shared = -(-PERCENT * len(hashes) // 100)  # at least so many are in a similar set
+    return _mix(hashes[:len(hashes) - shared + 1] + _MULTIPLIER).view(np.int64).tolist()
+
+
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(node, n, content, sketch, buckets) of every row; ``content`` names the set."""
 
@@ -128,13 +146,13 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                 contents.append(xxhash.xxh3_128_hexdigest(hashes.tobytes()))
                 if len(hashes):
                     signatures.append(signature(hashes))
-                    used.append(row)
+                    used.append((row, small_buckets(hashes)))
             buckets: list = [[]] * len(sizes)
             small: list = [b""] * len(sizes)
             if used:
                 values = np.array(signatures)
-                for row, own, low in zip(used, band_buckets(values).tolist(), values.astype(np.uint8)):
-                    buckets[row], small[row] = own, low.tobytes()
+                for (row, more), own, low in zip(used, band_buckets(values).tolist(), values.astype(np.uint8)):
+                    buckets[row], small[row] = own + more, low.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(contents, pa.string()),
                  pa.array(small, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))],
@@ -205,7 +223,8 @@ def _joining_links(group: pd.DataFrame) -> pd.DataFrame:
         if across:
             rest = rest[part[rest] != part[i]]
         if len(rest):
-            rest = rest[(sketch[rest] == sketch[i]).sum(axis=1) >= SHARED_BINS]
+            rest = rest[(np.minimum(sizes[rest], sizes[i]) < SKETCHED)
+                        | ((sketch[rest] == sketch[i]).sum(axis=1) >= SHARED_BINS)]
         for j in rest:
             if label[i] == label[j]:  # joined meanwhile
                 continue
@@ -220,13 +239,14 @@ def remaining_links(members: DataFrame, components: DataFrame, nodes: DataFrame,
                     sets: DataFrame) -> DataFrame:
     """Links (a, b) between components that meet in a bucket."""
     labelled = stage(members.where("size > 2").join(components, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")).select("bucket", "node", "component"), "labelled")
+        "component", F.coalesce("component", "node")).select("bucket", "node", "n", "component"), "labelled")
+    parts = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("held") / BLOCK_SHINGLES))
     mixed = stage(labelled.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
-        F.count("*").alias("size")).where("low != high").select(
-        "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")), "mixed")
+        F.count("*").alias("size"), F.sum("n").alias("held")).where("low != high").select(
+        "bucket", parts.cast("int").alias("parts")), "mixed")
     full = nodes.select("node", "sketch").join(sets, "node")
-    rows = labelled.join(mixed, "bucket").join(full, "node").withColumn(
+    rows = labelled.drop("n").join(mixed, "bucket").join(full, "node").withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # A member of block p takes part in the block pairs (p, q) and (q, p), smaller block first.
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
