@@ -54,3 +54,17 @@ def test_every_stage_keeps_the_columns_and_takes_odd_rows(spark):
 
 def test_stages(spark):
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_one_row_of_each_group_stays_when_ids_repeat(spark):
+    schema = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+    same, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, same, "en", "s", 1)] * 4 + [(2, same, "en", "s", 1), (3, other, "en", "s", 1), (3, None, "en", "s", 1),
+            (4, other + " more", "fr", "t", 2), (5, None, None, None, None), (None, same, "en", "s", 1),
+            (None, same, "en", "s", 1), (6, "a b c d e f", "en", "s", 1), (6, "g h i j k l", "en", "s", 1)]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, schema).repartition(3), SF_DIR).collect()
+    near = brute.near_duplicates([(k, t) for k, t, *_ in rows if k is not None and t is not None and k != 6] + [(5, None)])
+    want = sorted(k for k, found in near.items() if found[2])
+    assert sorted(r["doc_id"] for r in out if r["doc_id"] is not None) == sorted([*want, 6])
+    assert sum(r["doc_id"] is None for r in out) == 2
+    assert {r["doc_id"]: r["text"] for r in out}[3] == other and all(r.asDict().keys() == set(schema.names) for r in out)
