@@ -28,10 +28,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    Rows that share an id are one document of the group, so one of them stays: of those with
+    words the one whose text hashes lowest. Rows without an id are in no group and all stay.
+    """
     ship_package(spark)
     kept = one_permutation.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    first = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    repeated = stage(first.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again")), "repeated-ids")
+    # Usually none, so no text is shuffled for this.
+    single = first.join(repeated, F.col("doc_id") == F.col("again"), "left_anti")
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x09-\\x0D\\x20]")
+    several = first.join(repeated, F.col("doc_id") == F.col("again"), "left_semi").select(
+        "doc_id", F.struct(wordless.alias("wordless"), F.xxhash64("text").alias("hash"),
+                           F.struct(*docs.columns).alias("row")).alias("r"))
+    return single.unionByName(several.groupBy("doc_id").agg(F.min("r").alias("r")).select("r.row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
