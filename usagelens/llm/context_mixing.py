@@ -2,33 +2,40 @@
 
 A text is the sequence of its tokens: words, lower-cased (A-Z), each followed by one space,
 and an end byte after the last. Bytes are predicted bit by bit, most significant first. Six
-predictors look at the last 0 to 5 bytes, the seventh at the word so far, all of them
-also at the bits of the byte so far. A hash of what a predictor sees names a slot of its
-table, which holds how many zeros and ones followed; the first two have a slot for each
-thing they can see. The predictors' logits are combined by
-weights chosen by two gates (how long a context has been seen, how often, how often the word
-so far; and the bits of the byte so far), and the mixed logit is refined by an adaptive map
-from gate and logit to what really followed. The bits of a text and its end add up to its
-total code length.
-
-Learning covers the whole training corpus and is distributed. (1) Tasks count words and
-six-byte windows of their texts and Spark adds the counts up; the slots are sums of these.
-(2) Tasks go through their texts once more: every mini-batch is predicted with the weights so
-far, then weights and map move (a byte's own occurrence taken off its slots, so that it is
-not predicted from itself). Weights are averaged over tasks by the bytes they saw, maps added
-up. The model has one size whatever the corpus (``MODEL_BYTES``), so it may be broadcast. It
-stays as it is while texts are scored, so scores do not depend on order or partitioning.
-
-The prediction of a byte depends on its key alone: its six-byte window and a 16-bit hash of
-the word so far. Tasks therefore learn and score each distinct key once.
-
-The usual smoothed unigram base is computed beside it from the same word counts. The
-``COMMON_WORDS`` most frequent words are broadcast, a table of bounded size; every other
-token is looked up by a join, so the base covers all words.
+predictors look at the last 0 to 5 bytes, the seventh at the word so far, all of them also at
+the bits of the byte so far. For each context and bits a predictor has how many zeros and ones
+followed in the training texts. The predictors' logits are combined by weights chosen by two
+gates (how long a context has been seen, how often, how often the word so far; and the bits of
+the byte so far), and the mixed logit is refined by an adaptive map from gate and logit to what
+really followed. The bits of a text and its end add up to its total code length.
+
+The prediction of a byte depends on its key alone: its six-byte window and a 16-bit hash of the
+word so far. So each distinct key of the corpus is learned from once and scored once:
+
+1. Tasks count the distinct keys of their texts and deal them out by a hash of the five bytes
+   before (``parts`` of it). A part adds up the counts of its keys.
+2. All keys that share a context of five bytes, or such a context and a word, are in one part,
+   which therefore has these predictors' counts. Windows are dealt out once more, by a hash of
+   three bytes, to count contexts of three and four, and the results go back. Contexts of up to
+   two bytes are added up from all parts; there are no more than 2^24 of them with a byte, so
+   that table may be broadcast. All counts are exact, nothing collides, nothing is capped, and
+   every table but that one is as large as the corpus makes it and stays distributed.
+3. Learning tasks go through their keys once, in mini-batches: each is predicted with the weights
+   so far (a byte's own occurrence taken off its counts, so that it is not predicted from
+   itself), then weights and map move. Weights are averaged over tasks by the keys' occurrences,
+   maps added up.
+4. Every key is scored by the finished model. The ``COMMON_KEYS`` most frequent keys are
+   broadcast with their scores, a table of bounded size; the other bytes of a text meet their
+   scores part by part. Scores do not depend on order or partitioning of the texts.
+
+The usual smoothed unigram base is computed beside it. The ``COMMON_WORDS`` most frequent words
+are broadcast, a table of bounded size; every other token is looked up by a join, so the base
+covers all words.
 
 Defined results: null texts score as empty ones, one end token. Rows that repeat count as
 often as they occur and are scored each; ids may be null or repeat. Without training texts
-the base is 0 and the model predicts evenly. Other columns play no part.
+the base is 0 and the model predicts evenly. Texts may be of any length; their tokens are worked
+on in pieces. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -39,38 +46,32 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import byte_values, in_chunks
 from usagelens.session import stage
 
-#: Bytes the predictors look back; the predictor after them sees the word so far.
+#: Bytes the order predictors look back; the predictor after them sees the word so far.
 LENGTHS = (0, 1, 2, 3, 4, 5)
 BACK = 5
 WORD = len(LENGTHS)
 PREDICTORS = WORD + 1
-#: log2 of the slots of each predictor's table.
-SLOT_BITS = (12, 16, 18, 20, 21, 22, 22)
-#: So many predictors see little enough to have a slot for each context and state.
-_DIRECT = 2
-_OFFSETS = [sum(1 << b for b in SLOT_BITS[:i]) for i in range(PREDICTORS + 1)]
-SLOTS = _OFFSETS[-1]
-#: A slot's two counts take 16 bits each; both are scaled down together where one is larger.
-MODEL_BYTES = SLOTS * 4 + (1 << 20)
+#: Orders counted from one broadcast table.
+_LOW = 3
 END = b"\n"  # white space, so never inside a token
-#: Counts added to both sides of a slot.
+#: What stands before a text: its first word begins after a space like any other.
+START = END * (BACK - 1) + b" "
+#: Counts added to both sides of a bit.
 PRIOR = 0.2
 LEARNING_RATE = 0.05
 _CLIP = 12.0
 _CONSTANT = 0.3
 #: Classes of how often a context and the word so far were seen.
-_CONTEXT_SEEN = (0.5, 2.5, 12.5, 100.5)
-_WORD_SEEN = (0.5, 1.5, 3.5, 8.5, 20.5, 60.5, 200.5, 1000.5)
+_CONTEXT_SEEN = (0.5, 1.5, 2.5, 12.5, 100.5)
+_WORD_SEEN = (0.5, 1.5, 2.5, 4.5, 8.5, 20.5, 60.5, 200.5, 1000.5)
 #: The first predictor whose contexts tell something by having been seen at all.
 _TELLING = 3
 #: First gate: telling contexts seen, how often the longest, how often the word so far.
@@ -78,17 +79,20 @@ GATES = (WORD - _TELLING + 1) * (len(_CONTEXT_SEEN) + 1) * (len(_WORD_SEEN) + 1)
 #: Steps of the refining map over the mixed logit.
 STEPS = 33
 COMMON_WORDS = 200_000
-_MINI_BATCH = 1 << 12
-_RUN = 1 << 7
+COMMON_KEYS = 1 << 21
+#: log2 of the places for common keys in a task.
+_PLACE_BITS = 22
+#: Parts per shuffle partition.
+PARTS = 4
+_MINI_BATCH = 1 << 11
 _CHUNK_BYTES = 1 << 21
 _CACHED_BYTES = 1 << 17
-#: Distinct keys, and words, that a task holds at a time.
-_HELD_KEYS = 1 << 20
+#: Distinct keys, words, and occurrences of rare keys that a task holds at a time.
+_HELD_KEYS = 1 << 21
 _HELD_WORDS = 1 << 18
-_REMEMBERED_BITS = 21
+_HELD_RARE = 1 << 20
 _PIECE_WORDS = 1 << 17
-#: Slots that travel in one row while tables are added up.
-_PART = 1 << 12
+_COUNTED = 1 << 16
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _WINDOW = np.uint64((1 << 48) - 1)
@@ -103,17 +107,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-#: A number for each state of a byte so far (its bits with a leading one), and for each byte.
-_STATES = _mix(np.arange(256, dtype=np.uint64) * _MULTIPLIER)
 _BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _MULTIPLIER)
-_LOGS = np.log(np.arange(1 << 16) + PRIOR).astype(np.float32)
 _CONTEXT_CLASS = np.digitize(np.arange(102), _CONTEXT_SEEN).astype(np.int32)
 _WORD_CLASS = np.digitize(np.arange(1002), _WORD_SEEN).astype(np.int64)
 
 
 def pieces(words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
     """(bytes before, bytes) of a text's pieces; long texts come in several."""
-    before = END * BACK
+    before = START
     for start in range(0, len(words) + 1, _PIECE_WORDS):
         part = words[start:start + _PIECE_WORDS]
         body = b" ".join(part) + b" " * bool(part)
@@ -149,125 +150,170 @@ def keys_of(parts: list[tuple[bytes, bytes]]) -> np.ndarray:
     return windows[own[BACK:]] | so_far[own]
 
 
-def contexts(keys: np.ndarray) -> list[np.ndarray]:
-    """A hash of what each predictor sees before the byte; the bytes themselves, above eight
-    free bits, of the ones that look at one byte at most."""
-    before = (keys & _WINDOW) >> np.uint64(8)
-    found = [(before & np.uint64((1 << 8 * length) - 1)) << np.uint64(8) for length in LENGTHS[:_DIRECT]]
-    found += [_mix(((before & np.uint64((1 << 8 * length) - 1)) + np.uint64(length)) * _MULTIPLIER)
-              for length in LENGTHS[_DIRECT:]]
-    inside, word = np.ones(len(keys), bool), np.zeros(len(keys), np.uint64)
-    for i in range(BACK):  # the bytes since the last space, backwards
-        byte = (before >> np.uint64(8 * i)) & np.uint64(255)
+def letters(windows: np.ndarray) -> np.ndarray:
+    """How many of the five bytes before belong to the word so far."""
+    found, inside = np.zeros(len(windows), np.int64), np.ones(len(windows), bool)
+    for i in range(1, BACK + 1):
+        byte = (windows >> np.uint64(8 * i)) & np.uint64(255)
         inside = inside & (byte != 32) & (byte != END[0])
-        word = word | np.where(inside, byte << np.uint64(8 * i), np.uint64(0))
-    return [*found, _mix((word | (keys & ~_WINDOW)) * _MULTIPLIER + np.uint64(1))]
+        found += inside
+    return found
 
 
-def states(keys: np.ndarray, bit: int) -> np.ndarray:
-    """The bits of each byte before this one, with a leading one."""
-    return (1 << bit) | ((keys & np.uint64(255)).view(np.int64) >> (8 - bit))
+# --- counts --------------------------------------------------------------------------
 
+def _counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often they occur."""
+    if times is None:
+        return np.unique(keys, return_counts=True)
+    order = np.argsort(keys)
+    keys, times = keys[order], times[order]
+    firsts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[firsts], np.add.reduceat(times, firsts) if len(firsts) else times
 
-def bits(keys: np.ndarray, bit: int) -> np.ndarray:
-    return (keys >> np.uint64(7 - bit)).astype(np.uint8) & 1
 
+def node_counts(group: np.ndarray, byte: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For entries sorted by context and byte, and each bit of their byte: how often, in this
+    context and after the bits so far, the same bit followed, and how often the other."""
+    hits, misses = np.empty((8, len(n)), np.float32), np.empty((8, len(n)), np.float32)
+    if not len(n):
+        return hits, misses
+    new = np.r_[True, group[1:] != group[:-1]]
+
+    def spread(starts):
+        return np.repeat(np.add.reduceat(n, starts), np.diff(np.r_[starts, len(n)]))
+
+    total = spread(np.flatnonzero(new))
+    for bit in range(8):
+        prefix = byte >> np.uint8(7 - bit)
+        own = spread(np.flatnonzero(new | np.r_[True, prefix[1:] != prefix[:-1]]))
+        hits[bit], misses[bit], total = own, total - own, own
+    return hits, misses
+
+
+def order_counts(windows: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """``node_counts`` of every window in its context of ``order`` bytes."""
+    codes, place = np.unique(windows & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
+    hits, misses = node_counts(codes >> np.uint64(8), codes.astype(np.uint8),
+                               np.bincount(place, n, len(codes)))
+    return hits[:, place], misses[:, place]
+
+
+class LowOrders:
+    """Contexts of up to two bytes, from the counts of three-byte codes."""
+
+    def __init__(self, codes: np.ndarray, n: np.ndarray):
+        self.tables = []
+        for order in range(_LOW):
+            own, place = np.unique(codes & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            self.tables.append((own, *node_counts(own >> 8, own.astype(np.uint8), np.bincount(place, n, len(own)))))
+
+    def of(self, windows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        found = []
+        for order, (codes, hits, misses) in enumerate(self.tables):
+            own = (windows & np.uint64((1 << 8 * (order + 1)) - 1)).astype(np.int64)
+            at = np.searchsorted(codes, own)
+            found.append((hits[:, at], misses[:, at]))
+        return found
 
-def slots_of(context: np.ndarray, state: np.ndarray, number: np.ndarray, predictor: int) -> np.ndarray:
-    """Slots in the predictor's table, given the states and their numbers."""
-    if predictor < _DIRECT:
-        return context.view(np.int64) | state
-    return ((context + number) * _MULTIPLIER >> np.uint64(64 - SLOT_BITS[predictor])).view(np.int64)
 
+@dataclass
+class Seen:
+    """What the predictors have counted for some keys. Orders are counted per window, words per
+    key; ``place`` is the window of each key."""
 
-def by_context(keys: np.ndarray) -> np.ndarray:
-    """An order in which keys with like contexts are neighbours, so that the same slots are
-    wanted again while they are in the cache."""
-    turned = (keys & _WINDOW).byteswap()
-    return np.argsort((turned << np.uint64(8)) | ((keys & np.uint64(255)) << np.uint64(16)))
+    keys: np.ndarray
+    place: np.ndarray
+    orders: list[tuple[np.ndarray, np.ndarray]]
+    word: tuple[np.ndarray, np.ndarray]
 
+    @classmethod
+    def of(cls, keys: np.ndarray, n: np.ndarray, low: LowOrders, windows: np.ndarray,
+           middle: np.ndarray) -> "Seen":
+        """Of a part's keys, sorted. ``middle`` holds the counts of orders 3 and 4 by window."""
+        own, place = np.unique(keys & _WINDOW, return_inverse=True)
+        at = np.argsort(windows)
+        middle = middle[at[np.searchsorted(windows, own, sorter=at)]].reshape(len(own), 2, 2, 8)
+        orders = low.of(own)
+        orders += [(middle[:, i, 0].T, middle[:, i, 1].T) for i in range(2)]
+        orders.append(order_counts(own, np.bincount(place, n, len(own)), BACK))
+        # Up to four letters and the space before them are a context of the orders above; longer
+        # words are told apart by the last five letters and the hash.
+        size = letters(own)
+        word = tuple(np.empty((8, len(keys)), np.float32) for _ in range(2))
+        for length in range(BACK):
+            mine = size[place] == length
+            for i in range(2):
+                word[i][:, mine] = orders[length + 1][i][:, place[mine]]
+        long = np.flatnonzero(size[place] == BACK)
+        order = long[np.lexsort((keys[long] & np.uint64(255), keys[long] >> np.uint64(8)))]
+        for side, counts in zip(word, node_counts(keys[order] >> np.uint64(8), keys[order].astype(np.uint8), n[order])):
+            side[:, order] = counts
+        return cls(keys, place, orders, word)
+
+    def bit(self, at: np.ndarray, bit: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """How often the same bit and the other followed, by predictor, for some of the keys."""
+        place = self.place[at]
+        same = [hits[bit].take(place) for hits, _ in self.orders] + [self.word[0][bit].take(at)]
+        other = [misses[bit].take(place) for _, misses in self.orders] + [self.word[1][bit].take(at)]
+        return same, other
+
+
+# --- the model -----------------------------------------------------------------------
 
 @dataclass
 class Model:
-    slots: np.ndarray  # zeros + 65536 * ones, by slot
     weights: np.ndarray  # (predictor, constant) x (first gate, then second gate)
     map: np.ndarray  # (zeros, ones) x gate x step
     seen: np.ndarray  # squared gradients so far, by weight
 
     @classmethod
-    def start(cls, slots: np.ndarray) -> "Model":
+    def start(cls) -> "Model":
         weights = np.zeros((PREDICTORS + 1, GATES + 256), np.float32)
         weights[:PREDICTORS, :GATES] = 0.2
         odds = 1.0 / (1.0 + np.exp(-np.linspace(-_CLIP, _CLIP, STEPS)))
         # Until something follows, the map gives the mixed logit itself.
-        return cls(slots, weights, 4.0 * np.tile(np.stack([1 - odds, odds])[:, None], (1, GATES, 1)),
+        return cls(weights, 4.0 * np.tile(np.stack([1 - odds, odds])[:, None], (1, GATES, 1)),
                    np.zeros(weights.shape))
 
     def copy(self) -> "Model":
-        return Model(self.slots, self.weights.copy(), self.map.copy(), self.seen.copy())
-
-    def inputs(self, state: np.ndarray, ones: np.ndarray | None,
-               seen_by: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Logits, (predictor, constant) x byte, and both gates of one bit. ``ones``: what
-        followed, to be taken off the slots."""
-        n = len(state)
-        number = _STATES.take(state)
-        if ones is not None:
-            gone = ones.astype(np.int32)
-            kept = 1 - gone
+        return Model(self.weights.copy(), self.map.copy(), self.seen.copy())
+
+    def mixed(self, same: list, other: list, ones: np.ndarray, state: np.ndarray):
+        """Logits of a one, (predictor, constant) x byte, both gates, and the mixed logit."""
+        n = len(ones)
+        sign = ones.astype(np.float32) * 2 - 1
         logits = np.empty((PREDICTORS + 1, n), np.float32)
         logits[PREDICTORS] = _CONSTANT
-        longest, often = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        longest, often = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for predictor in range(PREDICTORS):
-            table = self.slots[_OFFSETS[predictor]:_OFFSETS[predictor + 1]]
-            counts = table.take(slots_of(seen_by[predictor], state, number, predictor))
-            zero, one = (counts & 0xFFFF).view(np.int32), (counts >> 16).view(np.int32)
-            if ones is not None:  # a collision's scaling can take a count below
-                one = np.maximum(one - gone, 0)
-                zero = np.maximum(zero - kept, 0)
-            np.subtract(_LOGS.take(one), _LOGS.take(zero), out=logits[predictor])
-            if predictor < _TELLING:
-                continue
-            total = zero + one
-            if predictor < WORD:
+            hits, misses = same[predictor], other[predictor]
+            logits[predictor] = np.log((hits + np.float32(PRIOR)) / (misses + np.float32(PRIOR))) * sign
+            if _TELLING <= predictor < WORD:
+                total = hits + misses
                 known = total > 0
                 longest += known
-                often = np.where(known, total, often)
-        first = (longest * (len(_CONTEXT_SEEN) + 1) + _CONTEXT_CLASS.take(np.minimum(often, 101))) * (
-            len(_WORD_SEEN) + 1) + _WORD_CLASS.take(np.minimum(total, 1001))
-        return logits, first, state + GATES
-
-    def mixed(self, logits: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(first), np.float32)
+                often = np.where(known, _CONTEXT_CLASS.take(np.minimum(total, 101).astype(np.int64)), often)
+        word = _WORD_CLASS.take(np.minimum(same[WORD] + other[WORD], 1001).astype(np.int64))
+        first = (longest * (len(_CONTEXT_SEEN) + 1) + often) * (len(_WORD_SEEN) + 1) + word
+        second = state + GATES
+        total = np.zeros(n, np.float32)
         for weights, own in zip(self.weights, logits):
             total += (weights.take(first) + weights.take(second)) * own
-        return np.clip(total, -_CLIP, _CLIP)
+        return logits, first, second, np.clip(total, -_CLIP, _CLIP)
 
-    def freeze(self) -> "Frozen":
-        logits, classes = np.empty(SLOTS, np.float16), np.empty(SLOTS, np.uint8)
-        for predictor in range(PREDICTORS):
-            own = slice(_OFFSETS[predictor], _OFFSETS[predictor + 1])
-            zero, one = self.slots[own] & 0xFFFF, self.slots[own] >> 16
-            logits[own] = _LOGS[one] - _LOGS[zero]
-            known = _WORD_CLASS if predictor == WORD else _CONTEXT_CLASS
-            classes[own] = known[np.minimum(zero + one, len(known) - 1)]
-        return Frozen(logits, classes, self.weights,
-                      np.log(self.map[1] / self.map[0]).astype(np.float32).ravel())
-
-    def learn(self, keys: np.ndarray, times: np.ndarray) -> None:
-        """One online pass: every mini-batch is predicted, then weights and map move. Each
-        weight's step shrinks with the gradients it has seen. A mini-batch is put together
-        from runs of keys with like contexts from all over the data."""
-        runs = np.array_split(by_context(keys), max(1, len(times) // _RUN))
-        order = np.concatenate([runs[i] for i in np.random.default_rng(0).permutation(len(runs))])
-        for start in range(0, len(times), _MINI_BATCH):
+    def learn(self, seen: Seen, times: np.ndarray) -> None:
+        """One online pass over the keys that occur: every mini-batch is predicted, then weights
+        and map move. Each weight's step shrinks with the gradients it has seen."""
+        order = np.random.default_rng(0).permutation(np.flatnonzero(times))
+        for start in range(0, len(order), _MINI_BATCH):
             at = order[start:start + _MINI_BATCH]
-            own, n = keys[at], times[at]
-            seen_by = contexts(own)
+            own, n = seen.keys[at], times[at].astype(np.float64)
             for bit in range(8):
                 ones = bits(own, bit)
-                logits, first, second = self.inputs(states(own, bit), ones, seen_by)
-                mixed = self.mixed(logits, first, second)
+                same, other = seen.bit(at, bit)
+                same = [x - 1 for x in same]  # its own occurrence
+                logits, first, second, mixed = self.mixed(same, other, ones, states(own, bit))
                 error = (ones - 1.0 / (1.0 + np.exp(-mixed))) * n
                 for i, logit in enumerate(logits):
                     own_error = error * logit
@@ -276,59 +322,35 @@ class Model:
                     self.seen[i] += step * step
                     self.weights[i] += LEARNING_RATE * step / np.sqrt(self.seen[i] + 1.0)
                 low, part = _steps(mixed)
-                at = (ones.astype(np.int64) * GATES + first) * STEPS + low
-                for step, weight in ((at, n * (1 - part)), (at + 1, n * part)):
-                    self.map += np.bincount(step, weight, self.map.size).reshape(self.map.shape)
+                place = (ones.astype(np.int64) * GATES + first) * STEPS + low
+                for step, share in ((place, n * (1 - part)), (place + 1, n * part)):
+                    self.map += np.bincount(step, share, self.map.size).reshape(self.map.shape)
 
+    def log10(self, seen: Seen) -> np.ndarray:
+        """log10 probability of every key's byte."""
+        answers = np.log(self.map[1] / self.map[0]).astype(np.float32).ravel()
+        found = np.empty(len(seen.keys))
+        for start in range(0, len(found), _MINI_BATCH):
+            at = np.arange(start, min(start + _MINI_BATCH, len(found)))
+            own, chance = seen.keys[at], np.ones(len(at))
+            for bit in range(8):
+                ones = bits(own, bit)
+                _, first, _, mixed = self.mixed(*seen.bit(at, bit), ones, states(own, bit))
+                low, part = _steps(mixed)
+                place = first * STEPS + low
+                logit = (mixed + answers.take(place) * (1 - part) + answers.take(place + 1) * part) / 2
+                chance /= 1.0 + np.exp(np.where(ones, -logit, logit)).astype(np.float64)
+            found[at] = np.log10(chance)
+        return found
 
-@dataclass
-class Frozen:
-    """A learned model for scoring: what each slot has to say, worked out beforehand."""
 
-    logits: np.ndarray  # by slot
-    classes: np.ndarray  # how often it was seen, by slot
-    weights: np.ndarray
-    answers: np.ndarray  # the map's logits, by gate and step
+def states(keys: np.ndarray, bit: int) -> np.ndarray:
+    """The bits of each byte before this one, with a leading one."""
+    return (1 << bit) | ((keys & np.uint64(255)).astype(np.int64) >> (8 - bit))
 
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of every key's byte."""
-        order = by_context(keys)
-        found = np.empty(len(order))
-        for start in range(0, len(order), _MINI_BATCH):
-            at = order[start:start + _MINI_BATCH]
-            found[at] = self._block(keys[at])
-        return found
 
-    def _block(self, keys: np.ndarray) -> np.ndarray:
-        seen_by, n = contexts(keys), len(keys)
-        chance = np.ones(n, np.float64)
-        for bit in range(8):
-            state = states(keys, bit)
-            number = _STATES.take(state)
-            longest, often = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
-            said = []
-            for predictor in range(PREDICTORS):
-                slots = slots_of(seen_by[predictor], state, number, predictor) + _OFFSETS[predictor]
-                said.append(self.logits.take(slots).astype(np.float32))
-                if predictor >= _TELLING:
-                    seen = self.classes.take(slots)
-                    if predictor < WORD:
-                        known = seen > 0
-                        longest += known
-                        often = np.where(known, seen, often)
-            first = (longest * np.int64(len(_CONTEXT_SEEN) + 1) + often) * (len(_WORD_SEEN) + 1) + seen
-            second = state + GATES
-            mixed = (self.weights[PREDICTORS].take(first)
-                     + self.weights[PREDICTORS].take(second)) * np.float32(_CONSTANT)
-            for weights, own in zip(self.weights, said):
-                mixed += (weights.take(first) + weights.take(second)) * own
-            mixed = np.clip(mixed, -_CLIP, _CLIP)
-            low, part = _steps(mixed)
-            at = first * STEPS + low
-            logit = (mixed + self.answers.take(at) * (1 - part) + self.answers.take(at + 1) * part) / 2
-            against = np.exp(np.where(bits(keys, bit), -logit, logit))
-            chance /= 1.0 + against.astype(np.float64)
-        return np.log10(chance)
+def bits(keys: np.ndarray, bit: int) -> np.ndarray:
+    return (keys >> np.uint64(7 - bit)).astype(np.uint8) & 1
 
 
 def _steps(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -337,14 +359,28 @@ def _steps(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, place - low
 
 
-def _counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and how often they occur."""
-    if times is None:
-        return np.unique(keys, return_counts=True)
-    order = np.argsort(keys)
-    keys, times = keys[order], times[order]
-    firsts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[firsts], np.add.reduceat(times, firsts) if len(firsts) else times
+# --- blocks of keys -------------------------------------------------------------------
+
+def part_of(contexts: np.ndarray, parts: int) -> np.ndarray:
+    return (_mix(contexts * _MULTIPLIER) % np.uint64(parts)).astype(np.int32)
+
+
+def _dealt(part: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+    """Rows of columns by part, as bytes; the order within a part stays."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
+    for low, high in zip(edges, [*edges[1:], len(part)]):
+        yield int(part[low]), [c[order[low:high]].tobytes() for c in columns]
+
+
+def _joined(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(x or b"" for x in column.to_pylist()), kind)
+
+
+def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 class _Held:
@@ -353,11 +389,10 @@ class _Held:
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, keys: np.ndarray) -> int:
+    def add(self, keys: np.ndarray) -> None:
         self.parts.append(_counted(keys))
         if self.size() >= _HELD_KEYS:
             self.parts = [self.take()]
-        return len(keys)
 
     def size(self) -> int:
         return sum(len(n) for _, n in self.parts)
@@ -369,28 +404,6 @@ class _Held:
         return _counted(np.concatenate(keys), np.concatenate(times))
 
 
-class _Scores:
-    """log10 probabilities by key. Each key has one place in a table of fixed size, where its
-    last use is remembered; what is not found there is computed, once per call."""
-
-    def __init__(self, model: Frozen):
-        self.model = model
-        self.keys = np.full(1 << _REMEMBERED_BITS, np.uint64(2 ** 64 - 1))
-        self.values = np.zeros(1 << _REMEMBERED_BITS, np.float32)
-
-    def of(self, keys: np.ndarray) -> np.ndarray:
-        at = ((keys * _MULTIPLIER) >> np.uint64(64 - _REMEMBERED_BITS)).view(np.int64)
-        found = self.values.take(at)
-        new = np.flatnonzero(self.keys.take(at) != keys)
-        if len(new):
-            distinct, place = np.unique(keys[new], return_inverse=True)
-            values = self.model.log10(distinct).astype(np.float32)
-            found[new] = values[place]
-            at = ((distinct * _MULTIPLIER) >> np.uint64(64 - _REMEMBERED_BITS)).view(np.int64)
-            self.keys[at], self.values[at] = distinct, values
-        return found
-
-
 def _chunks(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
     """The tokens of many texts at a time, and the number of the first."""
     sizes = pa.compute.binary_length(column).fill_null(0).to_pylist()
@@ -405,168 +418,274 @@ def _chunk_keys(split: list[list[bytes]]) -> np.ndarray:
         (len(body) for _, body in parts), _CACHED_BYTES)])
 
 
-def count_tasks(training: DataFrame, text: str) -> DataFrame:
-    """What tasks count in whole texts: (word, window, n); one of word and window is set. The
-    end byte counts as a word, the empty one."""
+_COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("part", pa.int32()), ("held", pa.bool_()),
+                     ("keys", pa.binary()), ("times", pa.binary())])
+
+
+def count_tasks(docs: DataFrame, held_out: Column, text: str, parts: int) -> DataFrame:
+    """What tasks count in whole texts: words of training texts (word, n), the end byte as the
+    empty word; and blocks of keys with how often each occurs (part, held, keys, times)."""
 
     def run(batches):
         words: Counter = Counter()
-        held = _Held()
-
-        def rows(names, keys, n):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(keys, pa.int64()), pa.array(n, pa.int64())],
-                names=["word", "window", "n"])
+        held = {False: _Held(), True: _Held()}
 
         def word_rows():
-            found = list(words)
-            yield rows(found, [None] * len(found), [words[w] for w in found])
+            rows = [(w, n, None, None, None, None) for w, n in words.items()]
             words.clear()
+            return _batch(_COUNTS, rows)
 
-        def window_rows():
-            keys, n = held.take()
-            nothing = pa.nulls(len(keys), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [nothing, pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
-                names=["word", "window", "n"])
+        def blocks(kind):
+            keys, n = held[kind].take()
+            part = part_of((keys & _WINDOW) >> np.uint64(8), parts)
+            return _batch(_COUNTS, [(None, None, p, kind, *own) for p, own in _dealt(part, keys, n.astype(np.int64))])
 
         for batch in batches:
-            for _, split in _chunks(batch.column(0)):
-                words[b""] += len(split)
-                for own in split:
-                    words.update(own)
+            apart = batch.column(1).to_numpy(zero_copy_only=False)
+            for start, split in _chunks(batch.column(0)):
+                for kind in (False, True):
+                    own = [w for w, out in zip(split, apart[start:]) if bool(out) == kind]
+                    if not own:
+                        continue
+                    held[kind].add(_chunk_keys(own))
+                    if held[kind].size() >= _HELD_KEYS:
+                        yield blocks(kind)
+                    if not kind:
+                        words[b""] += len(own)
+                        for found in own:
+                            words.update(found)
                 if len(words) >= _HELD_WORDS:
-                    yield from word_rows()
-                held.add(_chunk_keys(split) & _WINDOW)
-                if held.size() >= _HELD_KEYS:
-                    yield from window_rows()
-        yield from word_rows()
-        yield from window_rows()
+                    yield word_rows()
+        yield word_rows()
+        for kind in (False, True):
+            yield blocks(kind)
 
-    return training.select(text).mapInArrow(run, "word binary, window long, n long")
+    return docs.select(text, F.coalesce(held_out, F.lit(False)).alias("apart")).mapInArrow(
+        run, "word binary, n long, part int, held boolean, keys binary, times binary")
 
 
-def slot_table(counted: DataFrame) -> np.ndarray:
-    """All slots' counts: added up in tasks, then by Spark, part by part."""
+_KEYS = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("train", pa.binary()), ("all", pa.binary())])
+
+
+def add_up(blocks: DataFrame) -> DataFrame:
+    """One row per part: its distinct keys, sorted, with their occurrences in training and in all."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        sides = []
+        for kind in (False, True):
+            own = table.filter(pa.compute.equal(table.column("held"), kind))
+            sides.append((_joined(own.column("keys"), np.uint64), _joined(own.column("times"), np.int64)))
+        keys, place = np.unique(np.concatenate([k for k, _ in sides]), return_inverse=True)
+        cut = len(sides[0][0])
+        train = np.zeros(len(keys), np.int64)
+        np.add.at(train, place[:cut], sides[0][1])
+        every = train.copy()
+        np.add.at(every, place[cut:], sides[1][1])
+        part = table.column("part")[0].as_py()
+        return pa.Table.from_batches([_batch(_KEYS, [(part, keys.tobytes(), train.tobytes(), every.tobytes())])])
+
+    return blocks.groupBy("part").applyInArrow(merge, "part int, keys binary, train binary, all binary")
+
+
+def _windows(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    windows, place = np.unique(keys & _WINDOW, return_inverse=True)
+    total = np.zeros(len(windows), np.int64)
+    np.add.at(total, place, n)
+    return windows, total
 
-    def run(batches):
-        counts = np.zeros(SLOTS * 2)  # whole numbers, exact to 2^53
 
-        def add(keys: np.ndarray, predictors, n):
-            seen_by = contexts(keys)
-            for predictor in predictors:
-                for bit in range(8):
-                    state = states(keys, bit)
-                    slots = slots_of(seen_by[predictor], state, _STATES[state], predictor)
-                    np.add.at(counts, (slots + _OFFSETS[predictor]) * 2 + bits(keys, bit), n)
+def low_orders(keys: DataFrame) -> LowOrders:
+    """Contexts of up to two bytes with the byte that followed: 2^24 rows at the very most."""
 
+    def run(batches):
         for batch in batches:
-            word, window, n = (batch.column(i) for i in range(3))
-            n = n.to_numpy().astype(np.float64)
-            plain = window.is_valid().to_numpy(zero_copy_only=False)
-            if plain.any():
-                keys = window.filter(pa.array(plain)).to_numpy(zero_copy_only=False)
-                add(keys.astype(np.int64).view(np.uint64), range(WORD), n[plain])
-            names = [w for w in word.to_pylist() if w is not None]
-            if names:
-                spelled = [w + b" " if w else END for w in names]
-                add(keys_of([(END * BACK, s) for s in spelled]), [WORD],
-                    np.repeat(n[~plain], [len(s) for s in spelled]))
-        for part, own in enumerate(counts.reshape(-1, 2 * _PART)):
-            if own.any():
+            for own, train in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                windows, n = _windows(np.frombuffer(own, np.uint64), np.frombuffer(train, np.int64))
+                codes, place = np.unique(windows & np.uint64((1 << 8 * _LOW) - 1), return_inverse=True)
+                total = np.zeros(len(codes), np.int64)
+                np.add.at(total, place, n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([own.tobytes()], pa.binary())],
-                    names=["part", "counts"])
-
-    def add_up(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x) for x in rows["counts"])
-        pairs = total.reshape(-1, 2)
-        pairs = pairs * np.minimum(1.0, 65535.0 / np.maximum(pairs.max(axis=1), 1.0))[:, None]
-        pairs = np.ceil(pairs).astype(np.uint32)
-        return pd.DataFrame({"part": rows["part"].iloc[:1],
-                             "slots": [(pairs[:, 0] | (pairs[:, 1] << 16)).tobytes()]})
-
-    tasks = max(1, counted.sparkSession.sparkContext.defaultParallelism)
-    # MODEL_BYTES in all, whatever the corpus.
-    found = counted.coalesce(tasks).mapInArrow(run, "part int, counts binary").groupBy("part").applyInPandas(
-        add_up, "part int, slots binary").collect()
-    slots = np.zeros(SLOTS, np.uint32)
-    for row in found:
-        slots[row["part"] * _PART:(row["part"] + 1) * _PART] = np.frombuffer(row["slots"], np.uint32)
-    return slots
+                    [pa.array(codes.astype(np.int32)), pa.array(total)], names=["code", "n"])
 
+    found = keys.select("keys", "train").mapInArrow(run, "code int, n long").groupBy("code").agg(
+        F.sum("n").alias("n")).toArrow()
+    codes = found.column("code").to_numpy().astype(np.int64)
+    order = np.argsort(codes)
+    return LowOrders(codes[order], found.column("n").to_numpy()[order].astype(np.float64))
 
-@dataclass
-class Learned:
-    """A model as learning tasks get it; the slots are broadcast."""
 
-    slots: Broadcast  # MODEL_BYTES
-    rest: Model  # without slots
+def with_middle_orders(keys: DataFrame, parts: int) -> DataFrame:
+    """``keys`` with the windows of each part and their counts in contexts of three and four
+    bytes. Windows go to where their three bytes are counted, and back."""
+    sent = pa.schema([("third", pa.int32()), ("windows", pa.binary()), ("n", pa.binary())])
+    back = pa.schema([("part", pa.int32()), ("windows", pa.binary()), ("counts", pa.binary())])
 
-    def model(self) -> Model:
-        own = self.rest.copy()
-        own.slots = self.slots.value
+    def send(batches):
+        for batch in batches:
+            for own, train in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                windows, n = _windows(np.frombuffer(own, np.uint64), np.frombuffer(train, np.int64))
+                third = part_of((windows >> np.uint64(8)) & np.uint64((1 << 24) - 1), parts)
+                yield _batch(sent, [(p, *x) for p, x in _dealt(third, windows, n)])
+
+    def count(table: pa.Table) -> pa.Table:
+        windows = _joined(table.column("windows"), np.uint64)
+        n = _joined(table.column("n"), np.int64).astype(np.float64)
+        counts = np.stack([np.stack(order_counts(windows, n, order)) for order in (3, 4)])  # order, side, bit
+        rows = np.ascontiguousarray(counts.reshape(32, -1).T)
+        part = part_of(windows >> np.uint64(8), parts)
+        return pa.Table.from_batches([_batch(back, [(p, *x) for p, x in _dealt(part, windows, rows)])])
+
+    def gather(own: pa.Table, found: pa.Table) -> pa.Table:
+        columns = {name: b"".join(found.column(name).to_pylist()) for name in ("windows", "counts")}
+        for name, value in columns.items():
+            own = own.append_column(name, pa.array([value], pa.binary()))
         return own
 
+    counted = keys.select("keys", "train").mapInArrow(send, "third int, windows binary, n binary").groupBy(
+        "third").applyInArrow(count, "part int, windows binary, counts binary")
+    return keys.groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(
+        gather, "part int, keys binary, train binary, all binary, windows binary, counts binary")
+
+
+def _each_part(batches, low: LowOrders) -> Iterator[tuple[int, Seen, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for part, keys, train, every, windows, counts in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            n = np.frombuffer(train, np.int64)
+            seen = Seen.of(np.frombuffer(keys, np.uint64), n.astype(np.float64), low, np.frombuffer(windows, np.uint64),
+                           np.frombuffer(counts, np.float32).reshape(-1, 32))
+            yield part, seen, n, np.frombuffer(every, np.int64)
+
 
-def fit(training: DataFrame, counted: DataFrame, text: str) -> Learned:
-    """The model of the training texts and their counts."""
-    model = Model.start(np.zeros(0, np.uint32))
-    learned = Learned(training.sparkSession.sparkContext.broadcast(slot_table(counted)), model)
+def fit(counted: DataFrame, low) -> Model:
+    """The model of all training keys; ``low`` is the broadcast of ``low_orders``."""
+    start = Model.start()
 
     def run(batches):
-        own, seen, held = learned.model(), 0, _Held()
-        start = model.map
-        for batch in batches:
-            for _, split in _chunks(batch.column(0)):
-                seen += held.add(_chunk_keys(split))
-                if held.size() >= _HELD_KEYS:
-                    own.learn(*held.take())
-        if held.size():
-            own.learn(*held.take())
-        if seen:
-            values = np.r_[float(seen), own.weights.ravel() * float(seen),
-                           (own.map - start).ravel()]
+        own, total = start.copy(), 0
+        for _, seen, n, _ in _each_part(batches, low.value):
+            own.learn(seen, n)
+            total += int(n.sum())
+        if total:
+            values = np.r_[float(total), own.weights.ravel() * float(total), (own.map - start.map).ravel()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(values)), pa.int32()), pa.array(values)], names=["place", "value"])
 
     # A fixed number of small sums, whatever the corpus.
-    sums = training.select(text).mapInArrow(run, "place int, value double").groupBy("place").agg(
+    sums = counted.mapInArrow(run, "place int, value double").groupBy("place").agg(
         F.sum("value").alias("value")).toPandas().sort_values("place")["value"].to_numpy()
     if not len(sums):
-        return learned
-    weights, counts = np.split(sums[1:], [model.weights.size])
-    return Learned(learned.slots, Model(
-        model.slots, (weights / sums[0]).reshape(model.weights.shape).astype(np.float32),
-        model.map + counts.reshape(model.map.shape), model.seen))
+        return start
+    weights, counts = np.split(sums[1:], [start.weights.size])
+    return Model((weights / sums[0]).reshape(start.weights.shape).astype(np.float32),
+                 start.map + counts.reshape(start.map.shape), start.seen)
 
 
-def score_texts(docs: DataFrame, model: Frozen, common: tuple[list[bytes], np.ndarray],
-                held_out: Column, key: str, text: str) -> DataFrame:
-    """Per text a row with its sums over common tokens, and a row per other distinct word."""
-    # No more than MODEL_BYTES and COMMON_WORDS words.
-    shared = docs.sparkSession.sparkContext.broadcast((model, common))
+def common_from(keys: DataFrame, most: int) -> int:
+    """The smallest number of occurrences that no more than ``most`` keys reach."""
 
     def run(batches):
-        frozen, (names, logs) = shared.value
-        size, known = dict(zip(names, logs.tolist())), _Scores(frozen)
         for batch in batches:
+            for every in batch.column(0).to_pylist():
+                n, keys = np.unique(np.minimum(np.frombuffer(every, np.int64), _COUNTED), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(keys)], names=["n", "keys"])
+
+    rows = keys.select("all").mapInArrow(run, "n long, keys long").groupBy("n").agg(
+        F.sum("keys").alias("keys")).orderBy(F.desc("n")).collect()  # _COUNTED rows at most
+    reached, least = 0, None
+    for row in rows:
+        reached += row["keys"]
+        if reached > most:
+            break
+        least = row["n"]
+    return least if least is not None else 1 << 62
+
+
+def score_keys(counted: DataFrame, low, model: Model, least: int) -> DataFrame:
+    """(part, keys, logs, common_keys, common_logs): the log10 probability of every key."""
+    schema = pa.schema([("part", pa.int32()), *[(name, pa.binary()) for name in ("keys", "logs", "common_keys", "common_logs")]])
+
+    def run(batches):
+        for part, seen, _, every in _each_part(batches, low.value):
+            logs = model.log10(seen).astype(np.float32)
+            # The more frequent, the later: these keep their place where two want the same one.
+            top = np.flatnonzero(every >= least)
+            yield _batch(schema, [(part, seen.keys.tobytes(), logs.tobytes(), seen.keys[top].tobytes(), logs[top].tobytes())])
+
+    return counted.mapInArrow(run, "part int, keys binary, logs binary, common_keys binary, common_logs binary")
+
+
+class _Common:
+    """Scores of common keys; each key has one place, which it may have lost to another."""
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray):
+        self.keys = np.full(1 << _PLACE_BITS, np.uint64(2 ** 64 - 1))
+        self.logs = np.zeros(1 << _PLACE_BITS, np.float32)
+        at = self._place(keys)
+        self.keys[at], self.logs[at] = keys, logs
+
+    @staticmethod
+    def _place(keys: np.ndarray) -> np.ndarray:
+        return (_mix(keys * _MULTIPLIER) >> np.uint64(64 - _PLACE_BITS)).view(np.int64)
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores, 0 where there is none, and where that is."""
+        at = self._place(keys)
+        missing = self.keys.take(at) != keys
+        return np.where(missing, np.float32(0), self.logs.take(at)), np.flatnonzero(missing)
+
+
+# --- texts ----------------------------------------------------------------------------
+
+def score_texts(docs: DataFrame, common_keys, common: tuple[list[bytes], np.ndarray],
+                held_out: Column, key: str, text: str, parts: int) -> DataFrame:
+    """Per text a row with its sums over common tokens and bytes, a row per other distinct word,
+    and blocks of the other bytes' keys (part, rows, keys)."""
+    # No more than COMMON_KEYS keys and COMMON_WORDS words.
+    shared = docs.sparkSession.sparkContext.broadcast((common_keys, common))
+    kind = docs.schema[key].dataType.simpleString()
+    result = (f"row long, `{key}` {kind}, held_out boolean, word binary, n long, hits long, total double, "
+              "score double, n_bytes long, part int, rows binary, keys binary")
+
+    def run(batches):
+        (keys, logs), (names, values) = shared.value
+        known, size = _Common(keys, logs), dict(zip(names, values.tolist()))
+        rare: list[tuple[np.ndarray, np.ndarray]] = []
+        schema = None
+
+        def blocks():
+            rows, own = (np.concatenate(x) for x in zip(*rare))
+            rare.clear()
+            part = part_of((own & _WINDOW) >> np.uint64(8), parts)
+            return _batch(schema, [(*[None] * 9, p, *x) for p, x in _dealt(part, rows, own)])
+
+        for batch in batches:
+            schema = schema or pa.schema([batch.schema.field(0), batch.schema.field(1), batch.schema.field(2), *[
+                pa.field(name, t) for name, t in (
+                    ("word", pa.binary()), ("n", pa.int64()), ("hits", pa.int64()), ("total", pa.float64()),
+                    ("score", pa.float64()), ("n_bytes", pa.int64()), ("part", pa.int32()), ("rows", pa.binary()),
+                    ("keys", pa.binary()))]])
+            numbers = batch.column(0).to_numpy()
             for start, split in _chunks(batch.column(3)):
-                logs10 = known.of(_chunk_keys(split))
+                own = _chunk_keys(split)
+                found, missing = known.of(own)
                 lengths = np.array([sum(map(len, words)) + len(words) + 1 for words in split])
                 starts = np.r_[0, np.cumsum(lengths)[:-1]]
-                scores = np.add.reduceat(logs10, starts, dtype=np.float64)
-                yield _rows(batch, start, split, size, scores, -scores * math.log2(10) / lengths)
+                sums = np.add.reduceat(found, starts, dtype=np.float64)
+                if len(missing):
+                    text_of = np.searchsorted(starts, missing, side="right") - 1
+                    rare.append((numbers[start + text_of], own[missing]))
+                yield _rows(schema, batch, start, split, size, sums, lengths)
+                if sum(len(r) for r, _ in rare) >= _HELD_RARE:
+                    yield blocks()
+        if rare:
+            yield blocks()
 
-    kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.monotonically_increasing_id().alias("row"), key,
-                       held_out.alias("held_out"), text).mapInArrow(
-        run, f"row long, `{key}` {kind}, held_out boolean, word binary, n long, hits long, "
-             "total double, score double, bits_per_byte double")
+                       held_out.alias("held_out"), text).mapInArrow(run, result)
 
 
-def _rows(batch: pa.RecordBatch, start: int, split: list[list[bytes]], size: dict[bytes, float],
-          scores: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+def _rows(schema: pa.Schema, batch: pa.RecordBatch, start: int, split: list[list[bytes]],
+          size: dict[bytes, float], scores: np.ndarray, lengths: np.ndarray) -> pa.RecordBatch:
     at, words, numbers, hits, totals = [], [], [], [], []
     for i, own in enumerate(split, start):
         found = Counter(own)
@@ -582,43 +701,72 @@ def _rows(batch: pa.RecordBatch, start: int, split: list[list[bytes]], size: dic
         totals.extend([None] * len(rest))
     at = np.array(at)
     first = np.r_[True, at[1:] != at[:-1]]
-
-    def per_text(values):
-        return pa.array(values[at - start], pa.float64(), mask=~first)
-
     return pa.RecordBatch.from_arrays(
         [*(batch.column(i).take(pa.array(at)) for i in range(3)), pa.array(words, pa.binary()),
          pa.array(numbers, pa.int64()), pa.array(hits, pa.int64()), pa.array(totals, pa.float64()),
-         per_text(scores), per_text(bits)],
-        names=[*batch.schema.names[:3], "word", "n", "hits", "total", "score", "bits_per_byte"])
+         pa.array(scores[at - start], pa.float64(), mask=~first), pa.array(lengths[at - start], pa.int64(), mask=~first),
+         *(pa.nulls(len(at), t) for t in (pa.int32(), pa.binary(), pa.binary()))], schema=schema)
+
+
+def rare_sums(blocks: DataFrame, scores: DataFrame) -> DataFrame:
+    """(row, rest): the scores of a text's bytes whose keys are not common. Bytes go to the part
+    that has their scores; sums go back to where the task's other texts are added up."""
+    # A row number's upper bits are its task's.
+    sent = pa.schema([("task", pa.int64()), ("rows", pa.binary()), ("sums", pa.binary())])
+    result = pa.schema([("row", pa.int64()), ("rest", pa.float64())])
+
+    def look(asked: pa.Table, known: pa.Table) -> pa.Table:
+        rows, keys = _joined(asked.column("rows"), np.int64), _joined(asked.column("keys"), np.uint64)
+        logs = _joined(known.column("logs"), np.float32)
+        found = logs[np.searchsorted(_joined(known.column("keys"), np.uint64), keys)] if len(keys) else np.zeros(0)
+        own, place = np.unique(rows, return_inverse=True)
+        sums = np.bincount(place, found, len(own))
+        return pa.Table.from_batches([_batch(sent, [(int(t), *x) for t, x in _dealt(
+            (own >> 33).astype(np.int64), own, sums)])])
+
+    def total(table: pa.Table) -> pa.Table:
+        own, place = np.unique(_joined(table.column("rows"), np.int64), return_inverse=True)
+        sums = np.bincount(place, _joined(table.column("sums"), np.float64), len(own))
+        return pa.table([pa.array(own), pa.array(sums)], schema=result)
+
+    found = blocks.groupBy("part").cogroup(scores.select("part", "keys", "logs").groupBy("part")).applyInArrow(
+        look, "task long, rows binary, sums binary")
+    return found.groupBy("task").applyInArrow(total, "row long, rest double")
 
 
 def score(docs: DataFrame, held_out: Column, key: str = "doc_id",
           text: str = "text") -> DataFrame:
     """Scores of all rows by a model of the rows that are not held out."""
-    training = docs.where(~held_out)
-    counted = stage(count_tasks(training, text).groupBy("word", "window").agg(
-        F.sum("n").alias("n")), "counts")
-    words = counted.where(F.col("word").isNotNull()).select("word", F.col("n").alias("c"))
-    sums = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    distinct, n_train = sums
+    spark = docs.sparkSession
+    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = stage(count_tasks(docs, held_out, text, parts), "counts")
+    words = stage(counted.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("c")), "words")
+    distinct, n_train = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     # Bounded by COMMON_WORDS rows; a word of more than 64 bytes is left to the join.
     common = words.where((F.octet_length("word") > 0) & (F.octet_length("word") <= 64)).orderBy(
         F.desc("c"), "word").limit(COMMON_WORDS).toArrow()
     common = (common.column("word").to_pylist(), np.log10(common.column("c").to_numpy() + 1.0))
     ends = words.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    learned = fit(training, counted, text)
-    model = learned.model().freeze()
-    learned.slots.unpersist()
-    rows = stage(score_texts(docs, model, common, held_out, key, text), "scores")
 
+    keys = stage(add_up(counted.where(F.col("part").isNotNull()).drop("word", "n")), "keys")
+    low = spark.sparkContext.broadcast(low_orders(keys))
+    seen = stage(with_middle_orders(keys, parts), "seen")
+    model = fit(seen, low)
+    scores = stage(score_keys(seen, low, model, common_from(keys, COMMON_KEYS)), "key-scores")
+    found = scores.select("common_keys", "common_logs").toArrow()
+    known = (_joined(found.column(0), np.uint64), _joined(found.column(1), np.float32))
+    rows = stage(score_texts(docs, known, common, held_out, key, text, parts), "scores")
+
+    other = rare_sums(rows.where(F.col("part").isNotNull()).select("part", "rows", "keys"), scores)
     rest = rows.where(F.col("word").isNotNull()).join(words, "word").groupBy("row").agg(
-        F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rest"),
+        F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rest_words"),
         F.sum("n").alias("rest_hits"))
     norm, end = math.log10(n_train + distinct + 1), math.log10(ends + 1)
-    return rows.where(F.col("word").isNull()).join(rest, "row", "left").select(
+    log = F.col("score") + F.coalesce("rest", F.lit(0.0))
+    texts = rows.where(F.col("word").isNull() & F.col("part").isNull())
+    return texts.join(rest, "row", "left").join(other, "row", "left").select(
         key, "held_out", F.col("n").alias("n_tokens"),
         (F.col("hits") + F.coalesce("rest_hits", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("total") + F.coalesce("rest", F.lit(0.0)) + end - F.col("n") * norm).alias("base_score"),
-        "score", "bits_per_byte")
+        (F.col("total") + F.coalesce("rest_words", F.lit(0.0)) + end - F.col("n") * norm).alias("base_score"),
+        log.alias("score"), (log * -math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"))
