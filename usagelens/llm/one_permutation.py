@@ -48,7 +48,7 @@ ROWS = 4  # bins in a band
 #: Link if 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Sets of up to so many shingles meet through their smallest shingles as well.
-SMALL_SET = 64
+SMALL_SET = 16
 #: Bins two sketches of larger sets must share to be compared. At the threshold 96 are expected,
 #: with a standard deviation of 4.9, so a similar pair falls below with probability 1e-8.
 SHARED_BINS = 68
