@@ -51,7 +51,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import byte_values, in_chunks
+from usagelens.llm.common import byte_values, in_chunks, ship_package
 from usagelens.session import stage
 
 #: Bytes the order predictors look back; the predictor after them sees the word so far.
@@ -737,6 +737,7 @@ def rare_sums(blocks: DataFrame, scores: DataFrame) -> DataFrame:
 def score(docs: DataFrame, held_out: Column, key: str = "doc_id",
           text: str = "text") -> DataFrame:
     """Scores of all rows by a model of the rows that are not held out."""
+    ship_package(docs.sparkSession)
     spark = docs.sparkSession
     parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = stage(count_tasks(docs, held_out, text, parts), "counts")

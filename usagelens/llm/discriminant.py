@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import byte_values
+from usagelens.llm.common import byte_values, ship_package
 
 #: What of the pooled covariance, and of a spherical one, goes into a class covariance.
 POOLED_SHARE = 0.05
@@ -82,6 +82,7 @@ def statistics(text: bytes | None) -> list[float]:
 
 def add_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, stats): the vector of each text."""
+    ship_package(docs.sparkSession)
 
     def compute(batches):
         for batch in batches:
@@ -113,6 +114,7 @@ class Model:
 
 def moments(labelled: DataFrame, label: str) -> DataFrame:
     """Count, sums and outer products by label: sums of a fixed size, added up by Spark."""
+    ship_package(labelled.sparkSession)
     width = len(FEATURES)
 
     def add(batches):
@@ -164,6 +166,7 @@ def fit(labelled: DataFrame, label: str = "quality") -> Model:
 
 def score(stats: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """(key, score, predicted) of every row of ``add_statistics``."""
+    ship_package(stats.sparkSession)
 
     def run(batches):
         for batch in batches:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from usagelens.llm.common import byte_values, in_chunks
+from usagelens.llm.common import byte_values, in_chunks, ship_package
 
 # The marks, in the order prefix, suffix, middle.
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
@@ -134,6 +134,7 @@ def fill_in_middle(docs: DataFrame, key: str = "doc_id", text: str = "text", see
                    plain_percent: int = PLAIN_PERCENT, spm_percent: int = SPM_PERCENT,
                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with transformed texts, units, form and code points of prefix and middle."""
+    ship_package(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name not in ADDED.names]
     at_text, names = [f.name for f in kept].index(text), [f.name for f in kept]
     # Plain names on the way through the tasks; the id comes once more, as text.

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from usagelens.llm.common import ship_package
 from usagelens.session import stage
 
 #: Rows of a block: fewer where that lets more tasks work, more where there are many blocks.
@@ -266,6 +267,7 @@ def mine(vectors: DataFrame, anchor: Column, key: str = "vec_id", label: str = "
     where ``anchor`` holds: their best ``n_positives`` rows of the same label, and for each of
     these the best ``n_negatives`` of other labels that score ``low_percent`` to
     ``high_percent`` of it."""
+    ship_package(vectors.sparkSession)
     rows = vectors.select(
         F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("label"),
         F.col(vector).cast("array<double>").alias("vector"),

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.components import smallest_reachable
+from usagelens.llm.common import ship_package
 from usagelens.session import stage
 
 COSINE = 0.98
@@ -198,6 +199,7 @@ def range_join(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding",
                  label: str = "label", cosine: float = COSINE) -> DataFrame:
     """(key, n_links, component_id, kept) of every row."""
+    ship_package(rows.sparkSession)
     found = stage(unit_vectors(rows, key, vector, label), "unit-vectors")
     linkable = found.where(F.col("node").isNotNull() & F.col("id").isNotNull())
     classes = stage(linkable.groupBy("node").agg(

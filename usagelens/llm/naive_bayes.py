@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from usagelens.llm.common import byte_values, in_chunks, slices
+from usagelens.llm.common import byte_values, in_chunks, ship_package, slices
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -96,6 +96,7 @@ def _chunks(column: pa.Array) -> Iterator[tuple[list[int], list[str]]]:
 
 def gram_counts(training: DataFrame, text: str, lang: str) -> DataFrame:
     """(lang, bucket, n) over all training rows."""
+    ship_package(training.sparkSession)
 
     def count(batches):
         held: dict[str, np.ndarray] = {}
@@ -174,6 +175,7 @@ def _score(column: pa.Array, names: list[str], matrix: np.ndarray) -> pa.StructA
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray],
              text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
+    ship_package(docs.sparkSession)
     names = model[0]
     by_language = docs.sparkSession.sparkContext.broadcast(
         np.ascontiguousarray(model[1].T.astype(np.float32)))

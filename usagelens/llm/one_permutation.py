@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import byte_values
+from usagelens.llm.common import byte_values, ship_package
 from usagelens.llm.components import smallest_reachable
 from usagelens.session import stage
 
@@ -259,6 +259,7 @@ def remaining_links(members: DataFrame, components: DataFrame, nodes: DataFrame,
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of ``docs``."""
+    ship_package(docs.sparkSession)
     found = stage(sketches(docs, key, text), "sketches")
     nodes = stage(found.where((F.col("n") > 0) & F.col("node").isNotNull()).groupBy("content").agg(
         F.min(F.struct("node", "n", "sketch", "buckets")).alias("r")).select("content", "r.*"), "nodes")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import byte_values, create_file, open_file
+from usagelens.llm.common import byte_values, create_file, open_file, ship_package
 from usagelens.session import new_path, stage
 
 #: The free number of the vocabularies used here (ranks 0 to 50255).
@@ -82,6 +82,7 @@ def write_token_files(docs: DataFrame, folder: str, key: str = "doc_id", text: s
 
     Running the plan writes the files, so stage the rows before using them.
     """
+    ship_package(docs.sparkSession)
 
     def write(batches):
         out = name = None
@@ -129,6 +130,7 @@ def _block(path: str, block: int, block_bytes: int) -> np.ndarray:
 
 def scan(files: DataFrame, end: int = END, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(file, ordinal, start, n_tokens, closed) of every document in the files."""
+    ship_package(files.sparkSession)
     if block_bytes % 2:
         raise ValueError("a block is a whole number of tokens")
     spark = files.sparkSession
@@ -200,6 +202,7 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def _with_length(files: DataFrame, tasks: int) -> DataFrame:
     """(path, length) of the named files, looked up in so many tasks."""
+    ship_package(files.sparkSession)
 
     def look(batches):
         for batch in batches:

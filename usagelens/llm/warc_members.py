@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import byte_values, create_file, open_file
+from usagelens.llm.common import byte_values, create_file, open_file, ship_package
 from usagelens.session import new_path, stage
 
 REVISIT_BYTES = 1000
@@ -95,6 +95,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
 
     Running the plan writes the files, so stage the rows before using them.
     """
+    ship_package(pages.sparkSession)
 
     def write(batches) -> Iterator[pa.RecordBatch]:
         out = name = stream = None
@@ -186,6 +187,7 @@ class _Stream:
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """Rewrite every archive (file) with a member per record; the index (file, offset, length,
     record_id, record_type) of all records. Running the plan writes the files."""
+    ship_package(archives.sparkSession)
 
     def rewrite(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,6 +228,7 @@ def read_members(index: DataFrame) -> DataFrame:
     """What the records say, each read by its offset alone: (record_id, record_type, refers_to,
     payload_bytes, payload_digest). A response's payload is counted and hashed as it is read;
     a revisit has none and its header is taken at its word."""
+    ship_package(index.sparkSession)
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
