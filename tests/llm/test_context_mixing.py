@@ -91,7 +91,7 @@ def _seen(spark, training, asked=()):
     """The counts of all keys as the parts have them: {(before, word, byte): Seen, place}."""
     docs = spark.createDataFrame([(t, False) for t in training] + [(t, True) for t in asked], "text string, apart boolean")
     counted = cm.count_tasks(docs.repartition(3), F.col("apart"), "text", 5)
-    keys = cm.add_up(counted.where("part is not null").drop("word", "n"))
+    keys = cm.add_up(counted)
     low = cm.low_orders(keys)
     parts = cm.with_middle_orders(keys, 5).toArrow().to_batches()
     return [x[1:3] for x in cm._each_part(parts, low)], low

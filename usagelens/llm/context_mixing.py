@@ -41,6 +41,7 @@ on in pieces. Other columns play no part.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -52,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import byte_values, in_chunks, ship_package
-from usagelens.session import stage
+from usagelens.session import new_path, remove_staged, stage
 
 #: Bytes the order predictors look back; the predictor after them sees the word so far.
 LENGTHS = (0, 1, 2, 3, 4, 5)
@@ -88,7 +89,7 @@ _MINI_BATCH = 1 << 11
 _CHUNK_BYTES = 1 << 21
 _CACHED_BYTES = 1 << 17
 #: Distinct keys, words, and occurrences of rare keys that a task holds at a time.
-_HELD_KEYS = 1 << 21
+_HELD_KEYS = 1 << 20
 _HELD_WORDS = 1 << 18
 _HELD_RARE = 1 << 20
 _PIECE_WORDS = 1 << 17
@@ -418,73 +419,98 @@ def _chunk_keys(split: list[list[bytes]]) -> np.ndarray:
         (len(body) for _, body in parts), _CACHED_BYTES)])
 
 
-_COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("part", pa.int32()), ("held", pa.bool_()),
-                     ("keys", pa.binary()), ("times", pa.binary())])
+#: What a block of counts, or of things looked up, holds.
+_TRAIN, _APART, _WORDS, _TEXT = 0, 1, 2, 3
+_COUNTS = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("own", pa.binary()), ("times", pa.binary())])
+
+
+def _word_parts(words: list[bytes], parts: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) % parts for w in words), np.int32, len(words))
+
+
+def _dealt_words(words: list[bytes], parts: int, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+    """Words, which hold no line break, and columns by part, as bytes."""
+    part = _word_parts(words, parts)
+    for p, own in _dealt(part, np.arange(len(words)), *columns):
+        yield p, [b"\n".join([words[i] for i in np.frombuffer(own[0], np.int64).tolist()]), *own[1:]]
 
 
 def count_tasks(docs: DataFrame, held_out: Column, text: str, parts: int) -> DataFrame:
-    """What tasks count in whole texts: words of training texts (word, n), the end byte as the
-    empty word; and blocks of keys with how often each occurs (part, held, keys, times)."""
+    """What tasks count in whole texts, in blocks (part, kind, own, times): keys of training texts
+    and of others, and words of training texts, where the end byte counts as the empty word."""
 
     def run(batches):
         words: Counter = Counter()
-        held = {False: _Held(), True: _Held()}
+        held = {_TRAIN: _Held(), _APART: _Held()}
 
-        def word_rows():
-            rows = [(w, n, None, None, None, None) for w, n in words.items()]
+        def word_blocks():
+            names = list(words)
+            n = np.array([words[w] for w in names], np.int64)
             words.clear()
-            return _batch(_COUNTS, rows)
+            return _batch(_COUNTS, [(p, _WORDS, *own) for p, own in _dealt_words(names, parts, n)])
 
         def blocks(kind):
             keys, n = held[kind].take()
             part = part_of((keys & _WINDOW) >> np.uint64(8), parts)
-            return _batch(_COUNTS, [(None, None, p, kind, *own) for p, own in _dealt(part, keys, n.astype(np.int64))])
+            return _batch(_COUNTS, [(p, kind, *own) for p, own in _dealt(part, keys, n.astype(np.uint32))])
 
         for batch in batches:
             apart = batch.column(1).to_numpy(zero_copy_only=False)
             for start, split in _chunks(batch.column(0)):
-                for kind in (False, True):
-                    own = [w for w, out in zip(split, apart[start:]) if bool(out) == kind]
+                for kind in held:
+                    own = [w for w, out in zip(split, apart[start:]) if int(out) == kind]
                     if not own:
                         continue
                     held[kind].add(_chunk_keys(own))
                     if held[kind].size() >= _HELD_KEYS:
                         yield blocks(kind)
-                    if not kind:
+                    if kind == _TRAIN:
                         words[b""] += len(own)
                         for found in own:
                             words.update(found)
                 if len(words) >= _HELD_WORDS:
-                    yield word_rows()
-        yield word_rows()
-        for kind in (False, True):
+                    yield word_blocks()
+        yield word_blocks()
+        for kind in held:
             yield blocks(kind)
 
     return docs.select(text, F.coalesce(held_out, F.lit(False)).alias("apart")).mapInArrow(
-        run, "word binary, n long, part int, held boolean, keys binary, times binary")
+        run, "part int, kind int, own binary, times binary")
+
 
+_KEYS = pa.schema([("part", pa.int32()), *[(name, pa.binary()) for name in ("keys", "train", "all", "words", "counts")],
+                   ("distinct", pa.int64()), ("tokens", pa.int64()), ("ends", pa.int64())])
 
-_KEYS = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("train", pa.binary()), ("all", pa.binary())])
+
+def _blocks_of(table: pa.Table, kind: int) -> pa.Table:
+    return table.filter(pa.compute.equal(table.column("kind"), kind))
 
 
 def add_up(blocks: DataFrame) -> DataFrame:
-    """One row per part: its distinct keys, sorted, with their occurrences in training and in all."""
+    """One row per part: its distinct keys, sorted, with their occurrences in training and in all,
+    and its words with theirs."""
 
     def merge(table: pa.Table) -> pa.Table:
-        sides = []
-        for kind in (False, True):
-            own = table.filter(pa.compute.equal(table.column("held"), kind))
-            sides.append((_joined(own.column("keys"), np.uint64), _joined(own.column("times"), np.int64)))
+        sides = [(_joined(own.column("own"), np.uint64), _joined(own.column("times"), np.uint32))
+                 for own in (_blocks_of(table, _TRAIN), _blocks_of(table, _APART))]
         keys, place = np.unique(np.concatenate([k for k, _ in sides]), return_inverse=True)
         cut = len(sides[0][0])
         train = np.zeros(len(keys), np.int64)
-        np.add.at(train, place[:cut], sides[0][1])
+        np.add.at(train, place[:cut], sides[0][1].astype(np.int64))
         every = train.copy()
-        np.add.at(every, place[cut:], sides[1][1])
-        part = table.column("part")[0].as_py()
-        return pa.Table.from_batches([_batch(_KEYS, [(part, keys.tobytes(), train.tobytes(), every.tobytes())])])
+        np.add.at(every, place[cut:], sides[1][1].astype(np.int64))
+        words: Counter = Counter()
+        for own, times in zip(*(_blocks_of(table, _WORDS).column(c).to_pylist() for c in ("own", "times"))):
+            for word, n in zip(own.split(b"\n"), np.frombuffer(times, np.int64).tolist()):
+                words[word] += n
+        n = np.fromiter(words.values(), np.int64, len(words))
+        return pa.Table.from_batches([_batch(_KEYS, [(
+            table.column("part")[0].as_py(), keys.tobytes(), train.tobytes(), every.tobytes(),
+            b"\n".join(words), n.tobytes(), len(words), int(n.sum()), words[b""])])])
 
-    return blocks.groupBy("part").applyInArrow(merge, "part int, keys binary, train binary, all binary")
+    return blocks.groupBy("part").applyInArrow(
+        merge, "part int, keys binary, train binary, all binary, words binary, counts binary, "
+               "distinct long, tokens long, ends long")
 
 
 def _windows(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -536,14 +562,13 @@ def with_middle_orders(keys: DataFrame, parts: int) -> DataFrame:
         return pa.Table.from_batches([_batch(back, [(p, *x) for p, x in _dealt(part, windows, rows)])])
 
     def gather(own: pa.Table, found: pa.Table) -> pa.Table:
-        columns = {name: b"".join(found.column(name).to_pylist()) for name in ("windows", "counts")}
-        for name, value in columns.items():
-            own = own.append_column(name, pa.array([value], pa.binary()))
+        for name in ("windows", "counts"):
+            own = own.append_column(name, pa.array([b"".join(found.column(name).to_pylist())], pa.binary()))
         return own
 
     counted = keys.select("keys", "train").mapInArrow(send, "third int, windows binary, n binary").groupBy(
         "third").applyInArrow(count, "part int, windows binary, counts binary")
-    return keys.groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(
+    return keys.select("part", "keys", "train", "all").groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(
         gather, "part int, keys binary, train binary, all binary, windows binary, counts binary")
 
 
@@ -580,26 +605,45 @@ def fit(counted: DataFrame, low) -> Model:
                  start.map + counts.reshape(start.map.shape), start.seen)
 
 
-def common_from(keys: DataFrame, most: int) -> int:
-    """The smallest number of occurrences that no more than ``most`` keys reach."""
+def common_from(counts: DataFrame, most: int) -> int:
+    """The smallest number of occurrences that no more than ``most`` keys or words reach;
+    ``counts`` has one column, of blocks of occurrences."""
 
     def run(batches):
         for batch in batches:
             for every in batch.column(0).to_pylist():
-                n, keys = np.unique(np.minimum(np.frombuffer(every, np.int64), _COUNTED), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(keys)], names=["n", "keys"])
+                n, times = np.unique(np.minimum(np.frombuffer(every, np.int64), _COUNTED), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(times)], names=["n", "times"])
 
-    rows = keys.select("all").mapInArrow(run, "n long, keys long").groupBy("n").agg(
-        F.sum("keys").alias("keys")).orderBy(F.desc("n")).collect()  # _COUNTED rows at most
+    rows = counts.mapInArrow(run, "n long, times long").groupBy("n").agg(
+        F.sum("times").alias("times")).orderBy(F.desc("n")).collect()  # _COUNTED rows at most
     reached, least = 0, None
     for row in rows:
-        reached += row["keys"]
+        reached += row["times"]
         if reached > most:
             break
         least = row["n"]
     return least if least is not None else 1 << 62
 
 
+def common_words(keys: DataFrame, most: int) -> dict[bytes, float]:
+    """The most frequent words, ``most`` at the most, with log10(n + 1)."""
+    least = common_from(keys.select("counts"), most)
+
+    def run(batches):
+        for batch in batches:
+            for own, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n = np.frombuffer(counts, np.int64)
+                words = own.split(b"\n") if len(n) else []
+                # A word of more than 64 bytes is looked up with the others.
+                top = [i for i in np.flatnonzero(n >= least).tolist() if 0 < len(words[i]) <= 64]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([words[i] for i in top], pa.binary()), pa.array(n[top])], names=["word", "n"])
+
+    found = keys.select("words", "counts").mapInArrow(run, "word binary, n long").toArrow()
+    return dict(zip(found.column("word").to_pylist(), np.log10(found.column("n").to_numpy() + 1.0).tolist()))
+
+
 def score_keys(counted: DataFrame, low, model: Model, least: int) -> DataFrame:
     """(part, keys, logs, common_keys, common_logs): the log10 probability of every key."""
     schema = pa.schema([("part", pa.int32()), *[(name, pa.binary()) for name in ("keys", "logs", "common_keys", "common_logs")]])
@@ -636,138 +680,171 @@ class _Common:
 
 # --- texts ----------------------------------------------------------------------------
 
-def score_texts(docs: DataFrame, common_keys, common: tuple[list[bytes], np.ndarray],
-                held_out: Column, key: str, text: str, parts: int) -> DataFrame:
-    """Per text a row with its sums over common tokens and bytes, a row per other distinct word,
-    and blocks of the other bytes' keys (part, rows, keys)."""
+def score_texts(docs: DataFrame, common_keys, common: dict[bytes, float], held_out: Column, key: str,
+                text: str, parts: int) -> DataFrame:
+    """What tasks find in whole texts, in rows (part, kind, ...): one per text with its sums over
+    common tokens and bytes, and blocks of the other words and keys with their texts' numbers."""
     # No more than COMMON_KEYS keys and COMMON_WORDS words.
     shared = docs.sparkSession.sparkContext.broadcast((common_keys, common))
-    kind = docs.schema[key].dataType.simpleString()
-    result = (f"row long, `{key}` {kind}, held_out boolean, word binary, n long, hits long, total double, "
-              "score double, n_bytes long, part int, rows binary, keys binary")
 
     def run(batches):
-        (keys, logs), (names, values) = shared.value
-        known, size = _Common(keys, logs), dict(zip(names, values.tolist()))
+        (keys, logs), size = shared.value
+        known = _Common(keys, logs)
         rare: list[tuple[np.ndarray, np.ndarray]] = []
+        rest: list[tuple[int, bytes, int]] = []
         schema = None
 
         def blocks():
-            rows, own = (np.concatenate(x) for x in zip(*rare))
+            found = []
+            if rare:
+                rows, own = (np.concatenate(x) for x in zip(*rare))
+                part = part_of((own & _WINDOW) >> np.uint64(8), parts)
+                found += [(p, _TRAIN, *_nothing(schema), *x, None) for p, x in _dealt(part, rows, own)]
+            if rest:
+                rows, words, n = zip(*rest)
+                found += [(p, _WORDS, *_nothing(schema), x[1], x[0], x[2]) for p, x in _dealt_words(
+                    list(words), parts, np.array(rows, np.int64), np.array(n, np.int64))]
             rare.clear()
-            part = part_of((own & _WINDOW) >> np.uint64(8), parts)
-            return _batch(schema, [(*[None] * 9, p, *x) for p, x in _dealt(part, rows, own)])
+            rest.clear()
+            return _batch(schema, found)
 
         for batch in batches:
-            schema = schema or pa.schema([batch.schema.field(0), batch.schema.field(1), batch.schema.field(2), *[
-                pa.field(name, t) for name, t in (
-                    ("word", pa.binary()), ("n", pa.int64()), ("hits", pa.int64()), ("total", pa.float64()),
-                    ("score", pa.float64()), ("n_bytes", pa.int64()), ("part", pa.int32()), ("rows", pa.binary()),
-                    ("keys", pa.binary()))]])
-            numbers = batch.column(0).to_numpy()
+            schema = schema or _asked(batch.schema.field(1).type)
+            numbers, keys_of_rows, apart = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
             for start, split in _chunks(batch.column(3)):
                 own = _chunk_keys(split)
-                found, missing = known.of(own)
+                logs10, missing = known.of(own)
                 lengths = np.array([sum(map(len, words)) + len(words) + 1 for words in split])
                 starts = np.r_[0, np.cumsum(lengths)[:-1]]
-                sums = np.add.reduceat(found, starts, dtype=np.float64)
+                scores = np.add.reduceat(logs10, starts, dtype=np.float64)
                 if len(missing):
                     text_of = np.searchsorted(starts, missing, side="right") - 1
                     rare.append((numbers[start + text_of], own[missing]))
-                yield _rows(schema, batch, start, split, size, sums, lengths)
-                if sum(len(r) for r, _ in rare) >= _HELD_RARE:
+                hits, totals = [], []
+                for number, words in zip(numbers[start:].tolist(), split):
+                    found, hit, total = Counter(words), 0, 0.0
+                    for word, n in found.items():
+                        log = size.get(word)
+                        if log is None:
+                            rest.append((number, word, n))
+                        else:
+                            hit, total = hit + n, total + n * log
+                    hits.append(hit)
+                    totals.append(total)
+                many = slice(start, start + len(split))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((numbers[many] % parts).astype(np.int32)), pa.array(np.full(len(split), _TEXT, np.int32)),
+                     pa.array(numbers[many]), keys_of_rows[many], apart[many],
+                     pa.array([len(w) + 1 for w in split], pa.int64()), pa.array(hits, pa.int64()), pa.array(totals),
+                     pa.array(scores), pa.array(lengths), *(pa.nulls(len(split), pa.binary()) for _ in range(3))],
+                    schema=schema)
+                if len(rest) + sum(len(r) for r, _ in rare) >= _HELD_RARE:
                     yield blocks()
-        if rare:
+        if rare or rest:
             yield blocks()
 
-    return docs.select(F.monotonically_increasing_id().alias("row"), key,
-                       held_out.alias("held_out"), text).mapInArrow(run, result)
-
-
-def _rows(schema: pa.Schema, batch: pa.RecordBatch, start: int, split: list[list[bytes]],
-          size: dict[bytes, float], scores: np.ndarray, lengths: np.ndarray) -> pa.RecordBatch:
-    at, words, numbers, hits, totals = [], [], [], [], []
-    for i, own in enumerate(split, start):
-        found = Counter(own)
-        rest = [w for w in found if w not in size]
-        at.extend([i] * (len(rest) + 1))
-        words.append(None)
-        words.extend(rest)
-        numbers.append(len(own) + 1)
-        numbers.extend(found[w] for w in rest)
-        hits.append(len(own) - sum(found[w] for w in rest))
-        hits.extend([None] * len(rest))
-        totals.append(sum(size[w] * n for w, n in found.items() if w in size))
-        totals.extend([None] * len(rest))
-    at = np.array(at)
-    first = np.r_[True, at[1:] != at[:-1]]
-    return pa.RecordBatch.from_arrays(
-        [*(batch.column(i).take(pa.array(at)) for i in range(3)), pa.array(words, pa.binary()),
-         pa.array(numbers, pa.int64()), pa.array(hits, pa.int64()), pa.array(totals, pa.float64()),
-         pa.array(scores[at - start], pa.float64(), mask=~first), pa.array(lengths[at - start], pa.int64(), mask=~first),
-         *(pa.nulls(len(at), t) for t in (pa.int32(), pa.binary(), pa.binary()))], schema=schema)
-
-
-def rare_sums(blocks: DataFrame, scores: DataFrame) -> DataFrame:
-    """(row, rest): the scores of a text's bytes whose keys are not common. Bytes go to the part
-    that has their scores; sums go back to where the task's other texts are added up."""
-    # A row number's upper bits are its task's.
-    sent = pa.schema([("task", pa.int64()), ("rows", pa.binary()), ("sums", pa.binary())])
-    result = pa.schema([("row", pa.int64()), ("rest", pa.float64())])
-
-    def look(asked: pa.Table, known: pa.Table) -> pa.Table:
-        rows, keys = _joined(asked.column("rows"), np.int64), _joined(asked.column("keys"), np.uint64)
-        logs = _joined(known.column("logs"), np.float32)
-        found = logs[np.searchsorted(_joined(known.column("keys"), np.uint64), keys)] if len(keys) else np.zeros(0)
-        own, place = np.unique(rows, return_inverse=True)
-        sums = np.bincount(place, found, len(own))
-        return pa.Table.from_batches([_batch(sent, [(int(t), *x) for t, x in _dealt(
-            (own >> 33).astype(np.int64), own, sums)])])
-
-    def total(table: pa.Table) -> pa.Table:
-        own, place = np.unique(_joined(table.column("rows"), np.int64), return_inverse=True)
-        sums = np.bincount(place, _joined(table.column("sums"), np.float64), len(own))
-        return pa.table([pa.array(own), pa.array(sums)], schema=result)
-
-    found = blocks.groupBy("part").cogroup(scores.select("part", "keys", "logs").groupBy("part")).applyInArrow(
-        look, "task long, rows binary, sums binary")
-    return found.groupBy("task").applyInArrow(total, "row long, rest double")
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"),
+                       held_out.alias("held_out"), text).mapInArrow(run, f"part int, kind int, {_FOUND.format(kind)}")
+
+
+#: A text's columns, and a block's: texts, what is asked about them (or the sums found) and how often.
+_FOUND = ("row long, key {}, held_out boolean, n long, hits long, total double, score double, n_bytes long, "
+          "rows binary, own binary, times binary")
+
+
+def _asked(kind: pa.DataType, first: tuple[str, ...] = ("part", "kind")) -> pa.Schema:
+    """The Arrow schema of ``_FOUND`` behind two numbers."""
+    return pa.schema([*[(name, pa.int32()) for name in first], ("row", pa.int64()), ("key", kind), ("held_out", pa.bool_()),
+                      ("n", pa.int64()), ("hits", pa.int64()), ("total", pa.float64()), ("score", pa.float64()),
+                      ("n_bytes", pa.int64()), ("rows", pa.binary()), ("own", pa.binary()), ("times", pa.binary())])
+
+
+def _nothing(schema: pa.Schema) -> list[None]:
+    return [None] * (len(schema) - 5)
+
+
+def look_up(asked: DataFrame, known: DataFrame, words: DataFrame) -> DataFrame:
+    """All texts (row, key, held_out, n, hits, total, score, n_bytes) with the words and bytes added
+    that are not common. These have gone to the part that knows them; sums go back to where the
+    task's texts are put together, a task's share of the input."""
+    kind = asked.schema["key"].dataType.simpleString()
+    result = [f for f in _FOUND.format(kind).split(", ") if f.split()[0] not in ("rows", "own", "times")]
+
+    def look(table: pa.Table, held: pa.Table) -> pa.Table:
+        schema = _asked(table.schema.field("key").type, ("task", "kind"))
+        texts = _blocks_of(table, _TEXT)
+        task = pa.array((texts.column("row").to_numpy() >> 33).astype(np.int32))
+        texts = texts.drop_columns(["part"]).add_column(0, "task", task).cast(schema)
+        rows, sums = [], []
+        own = _blocks_of(table, _TRAIN)
+        if len(own) and len(held):
+            keys = _joined(held.column("keys"), np.uint64)
+            at = np.searchsorted(keys, _joined(own.column("own"), np.uint64))
+            sums.append((_TRAIN, _joined(own.column("rows"), np.int64), _joined(held.column("logs"), np.float32)[at], None))
+        own = _blocks_of(table, _WORDS)
+        if len(own):
+            counts = {}
+            for names, n in zip(*(held.column(c).to_pylist() for c in ("words", "counts"))):
+                counts.update(zip(names.split(b"\n"), np.frombuffer(n, np.int64).tolist()))
+            c = np.array([counts.get(w, 0) for names in own.column("own").to_pylist() for w in names.split(b"\n")], np.int64)
+            n = _joined(own.column("times"), np.int64)
+            sums.append((_WORDS, _joined(own.column("rows"), np.int64), n * np.log10(c + 1.0), n * (c > 0)))
+        for what, texts_of, values, hits in sums:
+            names, place = np.unique(texts_of, return_inverse=True)
+            found = [np.bincount(place, x, len(names)) for x in (values, np.zeros(len(place)) if hits is None else hits)]
+            rows += [(t, what, *_nothing(schema), *x) for t, x in _dealt((names >> 33).astype(np.int32), names, *found)]
+        return pa.concat_tables([texts, pa.Table.from_batches([_batch(schema, rows)])])
+
+    def together(table: pa.Table) -> pa.Table:
+        texts = _blocks_of(table, _TEXT).select([f.split()[0] for f in result])
+        order = np.argsort(texts.column("row").to_numpy())
+        texts = texts.take(pa.array(order))
+        numbers = texts.column("row").to_numpy()
+        added = {"score": np.zeros(len(numbers)), "total": np.zeros(len(numbers)), "hits": np.zeros(len(numbers))}
+        for what, names in ((_TRAIN, ("score",)), (_WORDS, ("total", "hits"))):
+            own = _blocks_of(table, what)
+            at = np.searchsorted(numbers, _joined(own.column("rows"), np.int64))
+            for name, column in zip(names, ("own", "times")):
+                added[name] += np.bincount(at, _joined(own.column(column), np.float64), len(numbers))
+        for name, more in added.items():
+            place = texts.schema.get_field_index(name)
+            whole = texts.column(name).to_numpy() + more
+            texts = texts.set_column(place, texts.schema.field(place), pa.array(whole).cast(texts.schema.field(place).type))
+        return texts
+
+    held = known.select("part", "keys", "logs").join(words.select("part", "words", "counts"), "part", "full")
+    found = asked.groupBy("part").cogroup(held.groupBy("part")).applyInArrow(look, f"task int, kind int, {_FOUND.format(kind)}")
+    return found.groupBy("task").applyInArrow(together, ", ".join(result))
 
 
 def score(docs: DataFrame, held_out: Column, key: str = "doc_id",
           text: str = "text") -> DataFrame:
     """Scores of all rows by a model of the rows that are not held out."""
-    ship_package(docs.sparkSession)
     spark = docs.sparkSession
+    ship_package(spark)
     parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = stage(count_tasks(docs, held_out, text, parts), "counts")
-    words = stage(counted.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("c")), "words")
-    distinct, n_train = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    # Bounded by COMMON_WORDS rows; a word of more than 64 bytes is left to the join.
-    common = words.where((F.octet_length("word") > 0) & (F.octet_length("word") <= 64)).orderBy(
-        F.desc("c"), "word").limit(COMMON_WORDS).toArrow()
-    common = (common.column("word").to_pylist(), np.log10(common.column("c").to_numpy() + 1.0))
-    ends = words.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-
-    keys = stage(add_up(counted.where(F.col("part").isNotNull()).drop("word", "n")), "keys")
+    used = [new_path(spark, name) for name in ("keys", "seen")]
+    keys = stage(add_up(count_tasks(docs, held_out, text, parts)), "keys", used[0])
+    sums = keys.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("distinct", "tokens", "ends")]).first()
+    distinct, n_train, ends = sums
+    words = stage(keys.select("part", "words", "counts"), "words")
+    common = common_words(keys, COMMON_WORDS)
+
     low = spark.sparkContext.broadcast(low_orders(keys))
-    seen = stage(with_middle_orders(keys, parts), "seen")
+    seen = stage(with_middle_orders(keys, parts), "seen", used[1])
     model = fit(seen, low)
-    scores = stage(score_keys(seen, low, model, common_from(keys, COMMON_KEYS)), "key-scores")
+    scores = stage(score_keys(seen, low, model, common_from(keys.select("all"), COMMON_KEYS)), "key-scores")
     found = scores.select("common_keys", "common_logs").toArrow()
     known = (_joined(found.column(0), np.uint64), _joined(found.column(1), np.float32))
-    rows = stage(score_texts(docs, known, common, held_out, key, text, parts), "scores")
+    for path in used:  # all that follows reads the scores and the words
+        remove_staged(spark, path)
 
-    other = rare_sums(rows.where(F.col("part").isNotNull()).select("part", "rows", "keys"), scores)
-    rest = rows.where(F.col("word").isNotNull()).join(words, "word").groupBy("row").agg(
-        F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rest_words"),
-        F.sum("n").alias("rest_hits"))
+    texts = look_up(score_texts(docs, known, common, held_out, key, text, parts), scores, words)
     norm, end = math.log10(n_train + distinct + 1), math.log10(ends + 1)
-    log = F.col("score") + F.coalesce("rest", F.lit(0.0))
-    texts = rows.where(F.col("word").isNull() & F.col("part").isNull())
-    return texts.join(rest, "row", "left").join(other, "row", "left").select(
-        key, "held_out", F.col("n").alias("n_tokens"),
-        (F.col("hits") + F.coalesce("rest_hits", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
+    return texts.select(
+        F.col("key").alias(key), "held_out", F.col("n").alias("n_tokens"),
+        (F.col("hits") + F.lit(int(ends > 0))).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("total") + F.coalesce("rest_words", F.lit(0.0)) + end - F.col("n") * norm).alias("base_score"),
-        log.alias("score"), (log * -math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"))
+        (F.col("total") + end - F.col("n") * norm).alias("base_score"),
+        "score", (F.col("score") * -math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"))
