@@ -236,7 +236,7 @@ class Seen:
         at = np.argsort(windows)
         middle = middle[at[np.searchsorted(windows, own, sorter=at)]].reshape(len(own), 2, 2, 8)
         orders = low.of(own)
-        orders += [(middle[:, i, 0].T, middle[:, i, 1].T) for i in range(2)]
+        orders += [tuple(np.ascontiguousarray(middle[:, i, side].T) for side in range(2)) for i in range(2)]
         orders.append(order_counts(own, np.bincount(place, n, len(own)), BACK))
         # Up to four letters and the space before them are a context of the orders above; longer
         # words are told apart by the last five letters and the hash.
@@ -252,12 +252,11 @@ class Seen:
             side[:, order] = counts
         return cls(keys, place, orders, word)
 
-    def bit(self, at: np.ndarray, bit: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def bit(self, at: np.ndarray, bit: int) -> tuple[list[np.ndarray], ...]:
         """How often the same bit and the other followed, by predictor, for some of the keys."""
         place = self.place[at]
-        same = [hits[bit].take(place) for hits, _ in self.orders] + [self.word[0][bit].take(at)]
-        other = [misses[bit].take(place) for _, misses in self.orders] + [self.word[1][bit].take(at)]
-        return same, other
+        return tuple([*(counts[side][bit].take(place, mode="clip") for counts in self.orders),
+                      self.word[side][bit].take(at, mode="clip")] for side in range(2))
 
 
 # --- the model -----------------------------------------------------------------------
@@ -300,7 +299,7 @@ class Model:
         second = state + GATES
         total = np.zeros(n, np.float32)
         for weights, own in zip(self.weights, logits):
-            total += (weights.take(first) + weights.take(second)) * own
+            total += (weights.take(first, mode="clip") + weights.take(second, mode="clip")) * own
         return logits, first, second, np.clip(total, -_CLIP, _CLIP)
 
     def learn(self, seen: Seen, times: np.ndarray) -> None:
