@@ -35,13 +35,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     ship_package(spark)
     kept = one_permutation.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    first = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    repeated = stage(first.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+    # Found by ids alone, and usually empty, so texts are placed by id only once.
+    again = stage(docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again")), "repeated-ids")
-    # Usually none, so no text is shuffled for this.
-    single = first.join(repeated, F.col("doc_id") == F.col("again"), "left_anti")
+    alone = kept.join(again, F.col("doc_id") == F.col("again"), "left_anti")
+    single = docs.join(alone, docs["doc_id"].eqNullSafe(alone["doc_id"]), "left_semi")
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x09-\\x0D\\x20]")
-    several = first.join(repeated, F.col("doc_id") == F.col("again"), "left_semi").select(
+    several = docs.join(again, F.col("doc_id") == F.col("again"), "left_semi").join(kept, "doc_id", "left_semi").select(
         "doc_id", F.struct(wordless.alias("wordless"), F.xxhash64("text").alias("hash"),
                            F.struct(*docs.columns).alias("row")).alias("r"))
     return single.unionByName(several.groupBy("doc_id").agg(F.min("r").alias("r")).select("r.row.*"))
