@@ -81,7 +81,7 @@ GATES = (WORD - _TELLING + 1) * (len(_CONTEXT_SEEN) + 1) * (len(_WORD_SEEN) + 1)
 STEPS = 33
 COMMON_WORDS = 200_000
 COMMON_KEYS = 1 << 21
-#: log2 of the places for common keys in a task.
+#: log2 of the places for common keys.
 _PLACE_BITS = 22
 #: Parts per shuffle partition.
 PARTS = 4
@@ -91,7 +91,7 @@ _CACHED_BYTES = 1 << 17
 #: Distinct keys, words, and occurrences of rare keys that a task holds at a time.
 _HELD_KEYS = 1 << 20
 _HELD_WORDS = 1 << 18
-_HELD_RARE = 1 << 20
+_HELD_RARE = 1 << 18
 _PIECE_WORDS = 1 << 17
 _COUNTED = 1 << 16
 
@@ -679,16 +679,15 @@ class _Common:
 
 # --- texts ----------------------------------------------------------------------------
 
-def score_texts(docs: DataFrame, common_keys, common: dict[bytes, float], held_out: Column, key: str,
+def score_texts(docs: DataFrame, known: _Common, common: dict[bytes, float], held_out: Column, key: str,
                 text: str, parts: int) -> DataFrame:
     """What tasks find in whole texts, in rows (part, kind, ...): one per text with its sums over
     common tokens and bytes, and blocks of the other words and keys with their texts' numbers."""
     # No more than COMMON_KEYS keys and COMMON_WORDS words.
-    shared = docs.sparkSession.sparkContext.broadcast((common_keys, common))
+    shared = docs.sparkSession.sparkContext.broadcast((known, common))
 
     def run(batches):
-        (keys, logs), size = shared.value
-        known = _Common(keys, logs)
+        known, size = shared.value
         rare: list[tuple[np.ndarray, np.ndarray]] = []
         rest: list[tuple[int, bytes, int]] = []
         schema = None
@@ -835,7 +834,7 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id",
     model = fit(seen, low)
     scores = stage(score_keys(seen, low, model, common_from(keys.select("all"), COMMON_KEYS)), "key-scores")
     found = scores.select("common_keys", "common_logs").toArrow()
-    known = (_joined(found.column(0), np.uint64), _joined(found.column(1), np.float32))
+    known = _Common(_joined(found.column(0), np.uint64), _joined(found.column(1), np.float32))
     for path in used:  # all that follows reads the scores and the words
         remove_staged(spark, path)
 
