@@ -84,14 +84,16 @@ COMMON_KEYS = 1 << 21
 #: log2 of the places for common keys.
 _PLACE_BITS = 22
 #: Parts per shuffle partition.
-PARTS = 4
+PARTS = 16
 _MINI_BATCH = 1 << 11
 _CHUNK_BYTES = 1 << 21
+#: Less at a time while scoring, where each byte's key, place and score are held besides.
+_SCORED_BYTES = 1 << 19
 _CACHED_BYTES = 1 << 17
 #: Distinct keys, words, and occurrences of rare keys that a task holds at a time.
 _HELD_KEYS = 1 << 20
 _HELD_WORDS = 1 << 18
-_HELD_RARE = 1 << 18
+_HELD_RARE = 1 << 17
 _PIECE_WORDS = 1 << 17
 _COUNTED = 1 << 16
 
@@ -404,10 +406,10 @@ class _Held:
         return _counted(np.concatenate(keys), np.concatenate(times))
 
 
-def _chunks(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
+def _chunks(column: pa.Array, limit: int = _CHUNK_BYTES) -> Iterator[tuple[int, list[list[bytes]]]]:
     """The tokens of many texts at a time, and the number of the first."""
     sizes = pa.compute.binary_length(column).fill_null(0).to_pylist()
-    for start, stop in in_chunks(sizes, _CHUNK_BYTES):
+    for start, stop in in_chunks(sizes, limit):
         yield start, [tokens(b) for b in byte_values(column.slice(start, stop - start))]
 
 
@@ -709,7 +711,7 @@ def score_texts(docs: DataFrame, known: _Common, common: dict[bytes, float], hel
         for batch in batches:
             schema = schema or _asked(batch.schema.field(1).type)
             numbers, keys_of_rows, apart = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
-            for start, split in _chunks(batch.column(3)):
+            for start, split in _chunks(batch.column(3), _SCORED_BYTES):
                 own = _chunk_keys(split)
                 logs10, missing = known.of(own)
                 lengths = np.array([sum(map(len, words)) + len(words) + 1 for words in split])
