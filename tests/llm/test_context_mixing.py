@@ -266,3 +266,12 @@ def test_empty_and_untrained(spark):
 def test_other_columns_with_the_same_names(spark):
     docs = spark.createDataFrame([(1, "a b", "w", 5)], "doc_id long, text string, word string, n int")
     assert cm.score(docs, F.lit(False)).first()["n_tokens"] == 3
+
+
+def test_packed_keys_come_back():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 2, 1000):
+        keys = np.unique(rng.integers(0, 2 ** 64, size, np.uint64))
+        keys = keys[np.argsort(cm._by_window(keys))]
+        assert cm._unpacked(cm._packed(keys)).tolist() == keys.tolist()
+        assert cm._items(cm._planes(keys.tobytes(), 8), 8) == keys.tobytes()

@@ -86,6 +86,8 @@ _PLACE_BITS = 22
 #: Parts per shuffle partition.
 PARTS = 16
 _MINI_BATCH = 1 << 11
+#: Keys that are learned from together, in random order.
+_LEARNED_KEYS = 1 << 16
 _CHUNK_BYTES = 1 << 21
 #: Less at a time while scoring, where each byte's key, place and score are held besides.
 _SCORED_BYTES = 1 << 19
@@ -96,6 +98,8 @@ _HELD_WORDS = 1 << 18
 _HELD_RARE = 1 << 17
 _PIECE_WORDS = 1 << 17
 _COUNTED = 1 << 16
+#: Bytes of a window's counts in contexts of three and four bytes: order x side x bit, floats.
+_ROW = 2 * 2 * 8 * 4
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _WINDOW = np.uint64((1 << 48) - 1)
@@ -376,6 +380,31 @@ def _dealt(part: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[b
         yield int(part[low]), [c[order[low:high]].tobytes() for c in columns]
 
 
+def _planes(data: bytes, size: int) -> bytes:
+    """The bytes of items of a size, first those of one place, then of the next: alike bytes lie
+    together and compress on their way."""
+    return np.frombuffer(data, np.uint8).reshape(-1, size).T.tobytes()
+
+
+def _items(data: bytes, size: int) -> bytes:
+    return np.frombuffer(data, np.uint8).reshape(size, -1).T.tobytes()
+
+
+def _by_window(keys: np.ndarray) -> np.ndarray:
+    """Keys with the window above and the hash below."""
+    return (keys << np.uint64(16)) | (keys >> np.uint64(48))
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Keys in the order of their windows as steps from one to the next."""
+    return _planes(np.diff(_by_window(keys), prepend=np.uint64(0)).tobytes(), 8)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    found = np.cumsum(np.frombuffer(_items(data, 8), np.uint64), dtype=np.uint64)
+    return (found >> np.uint64(16)) | (found << np.uint64(48))
+
+
 def _joined(column, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x or b"" for x in column.to_pylist()), kind)
 
@@ -452,8 +481,11 @@ def count_tasks(docs: DataFrame, held_out: Column, text: str, parts: int) -> Dat
 
         def blocks(kind):
             keys, n = held[kind].take()
+            order = np.argsort(_by_window(keys))
+            keys, n = keys[order], n[order]
             part = part_of((keys & _WINDOW) >> np.uint64(8), parts)
-            return _batch(_COUNTS, [(p, kind, *own) for p, own in _dealt(part, keys, n.astype(np.uint32))])
+            return _batch(_COUNTS, [(p, kind, _packed(np.frombuffer(own, np.uint64)), _planes(times, 4))
+                                    for p, (own, times) in _dealt(part, keys, n.astype(np.uint32))])
 
         for batch in batches:
             apart = batch.column(1).to_numpy(zero_copy_only=False)
@@ -492,8 +524,11 @@ def add_up(blocks: DataFrame) -> DataFrame:
     and its words with theirs."""
 
     def merge(table: pa.Table) -> pa.Table:
-        sides = [(_joined(own.column("own"), np.uint64), _joined(own.column("times"), np.uint32))
-                 for own in (_blocks_of(table, _TRAIN), _blocks_of(table, _APART))]
+        sides = []
+        for own in (_blocks_of(table, _TRAIN), _blocks_of(table, _APART)):
+            keys = [_unpacked(x) for x in own.column("own").to_pylist()]
+            times = b"".join(_items(x, 4) for x in own.column("times").to_pylist())
+            sides.append((np.concatenate([np.zeros(0, np.uint64), *keys]), np.frombuffer(times, np.uint32)))
         keys, place = np.unique(np.concatenate([k for k, _ in sides]), return_inverse=True)
         cut = len(sides[0][0])
         train = np.zeros(len(keys), np.int64)
@@ -560,11 +595,13 @@ def with_middle_orders(keys: DataFrame, parts: int) -> DataFrame:
         counts = np.stack([np.stack(order_counts(windows, n, order)) for order in (3, 4)])  # order, side, bit
         rows = np.ascontiguousarray(counts.reshape(32, -1).T)
         part = part_of(windows >> np.uint64(8), parts)
-        return pa.Table.from_batches([_batch(back, [(p, *x) for p, x in _dealt(part, windows, rows)])])
+        return pa.Table.from_batches([_batch(back, [
+            (p, own, _planes(counts, _ROW)) for p, (own, counts) in _dealt(part, windows, rows)])])
 
     def gather(own: pa.Table, found: pa.Table) -> pa.Table:
-        for name in ("windows", "counts"):
-            own = own.append_column(name, pa.array([b"".join(found.column(name).to_pylist())], pa.binary()))
+        counts = _planes(b"".join(_items(x, _ROW) for x in found.column("counts").to_pylist()), _ROW)
+        for name, value in (("windows", b"".join(found.column("windows").to_pylist())), ("counts", counts)):
+            own = own.append_column(name, pa.array([value], pa.binary()))
         return own
 
     counted = keys.select("keys", "train").mapInArrow(send, "third int, windows binary, n binary").groupBy(
@@ -573,13 +610,30 @@ def with_middle_orders(keys: DataFrame, parts: int) -> DataFrame:
         gather, "part int, keys binary, train binary, all binary, windows binary, counts binary")
 
 
-def _each_part(batches, low: LowOrders) -> Iterator[tuple[int, Seen, np.ndarray, np.ndarray]]:
+def _each_part(batches, low: LowOrders, least: int = 0) -> Iterator[tuple[int, Seen, np.ndarray, np.ndarray]]:
+    """The counts of every part; with ``least`` parts are put together until they have so many
+    keys (they share no context of five bytes, so this changes no count)."""
+    held: list[tuple] = []
+
+    def together():
+        part, keys, n, every, windows, counts = (list(x) for x in zip(*held))
+        keys, n, every = (np.concatenate(x) for x in (keys, n, every))
+        if len(held) > 1:
+            order = np.argsort(keys)
+            keys, n, every = keys[order], n[order], every[order]
+        held.clear()
+        return part[0], Seen.of(keys, n.astype(np.float64), low, np.concatenate(windows),
+                                np.concatenate(counts)), n, every
+
     for batch in batches:
         for part, keys, train, every, windows, counts in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            n = np.frombuffer(train, np.int64)
-            seen = Seen.of(np.frombuffer(keys, np.uint64), n.astype(np.float64), low, np.frombuffer(windows, np.uint64),
-                           np.frombuffer(counts, np.float32).reshape(-1, 32))
-            yield part, seen, n, np.frombuffer(every, np.int64)
+            held.append((part, np.frombuffer(keys, np.uint64), np.frombuffer(train, np.int64),
+                         np.frombuffer(every, np.int64), np.frombuffer(windows, np.uint64),
+                         np.frombuffer(_items(counts, _ROW), np.float32).reshape(-1, 32)))
+            if sum(len(x[1]) for x in held) >= least:
+                yield together()
+    if held:
+        yield together()
 
 
 def fit(counted: DataFrame, low) -> Model:
@@ -588,7 +642,7 @@ def fit(counted: DataFrame, low) -> Model:
 
     def run(batches):
         own, total = start.copy(), 0
-        for _, seen, n, _ in _each_part(batches, low.value):
+        for _, seen, n, _ in _each_part(batches, low.value, _LEARNED_KEYS):
             own.learn(seen, n)
             total += int(n.sum())
         if total:
