@@ -84,7 +84,7 @@ COMMON_KEYS = 1 << 21
 #: log2 of the places for common keys.
 _PLACE_BITS = 22
 #: Parts per shuffle partition.
-PARTS = 16
+PARTS = 8
 _MINI_BATCH = 1 << 11
 #: Keys that are learned from together, in random order.
 _LEARNED_KEYS = 1 << 16
@@ -405,6 +405,16 @@ def _unpacked(data: bytes) -> np.ndarray:
     return (found >> np.uint64(16)) | (found << np.uint64(48))
 
 
+def _ascending(rows: np.ndarray) -> bytes:
+    """Row numbers in rising order, as steps from one to the next."""
+    return _planes(np.diff(rows, prepend=np.int64(0)).tobytes(), 8)
+
+
+def _rows_of(column) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(
+        np.cumsum(np.frombuffer(_items(x, 8), np.int64)) for x in column.to_pylist())])
+
+
 def _joined(column, kind) -> np.ndarray:
     return np.frombuffer(b"".join(x or b"" for x in column.to_pylist()), kind)
 
@@ -753,11 +763,12 @@ def score_texts(docs: DataFrame, known: _Common, common: dict[bytes, float], hel
             if rare:
                 rows, own = (np.concatenate(x) for x in zip(*rare))
                 part = part_of((own & _WINDOW) >> np.uint64(8), parts)
-                found += [(p, _TRAIN, *_nothing(schema), *x, None) for p, x in _dealt(part, rows, own)]
+                found += [(p, _TRAIN, *_nothing(schema), _ascending(np.frombuffer(x[0], np.int64)), x[1], None)
+                          for p, x in _dealt(part, rows, own)]
             if rest:
                 rows, words, n = zip(*rest)
-                found += [(p, _WORDS, *_nothing(schema), x[1], x[0], x[2]) for p, x in _dealt_words(
-                    list(words), parts, np.array(rows, np.int64), np.array(n, np.int64))]
+                found += [(p, _WORDS, *_nothing(schema), _ascending(np.frombuffer(x[1], np.int64)), x[0], x[2])
+                          for p, x in _dealt_words(list(words), parts, np.array(rows, np.int64), np.array(n, np.int64))]
             rare.clear()
             rest.clear()
             return _batch(schema, found)
@@ -835,7 +846,7 @@ def look_up(asked: DataFrame, known: DataFrame, words: DataFrame) -> DataFrame:
         if len(own) and len(held):
             keys = _joined(held.column("keys"), np.uint64)
             at = np.searchsorted(keys, _joined(own.column("own"), np.uint64))
-            sums.append((_TRAIN, _joined(own.column("rows"), np.int64), _joined(held.column("logs"), np.float32)[at], None))
+            sums.append((_TRAIN, _rows_of(own.column("rows")), [_joined(held.column("logs"), np.float32)[at]], np.float32))
         own = _blocks_of(table, _WORDS)
         if len(own):
             counts = {}
@@ -843,11 +854,12 @@ def look_up(asked: DataFrame, known: DataFrame, words: DataFrame) -> DataFrame:
                 counts.update(zip(names.split(b"\n"), np.frombuffer(n, np.int64).tolist()))
             c = np.array([counts.get(w, 0) for names in own.column("own").to_pylist() for w in names.split(b"\n")], np.int64)
             n = _joined(own.column("times"), np.int64)
-            sums.append((_WORDS, _joined(own.column("rows"), np.int64), n * np.log10(c + 1.0), n * (c > 0)))
-        for what, texts_of, values, hits in sums:
+            sums.append((_WORDS, _rows_of(own.column("rows")), [n * np.log10(c + 1.0), n * (c > 0)], np.float64))
+        for what, texts_of, values, precision in sums:
             names, place = np.unique(texts_of, return_inverse=True)
-            found = [np.bincount(place, x, len(names)) for x in (values, np.zeros(len(place)) if hits is None else hits)]
-            rows += [(t, what, *_nothing(schema), *x) for t, x in _dealt((names >> 33).astype(np.int32), names, *found)]
+            found = [np.bincount(place, x, len(names)).astype(precision) for x in values]
+            rows += [(t, what, *_nothing(schema), _ascending(np.frombuffer(x[0], np.int64)), *x[1:], *[None] * (2 - len(found)))
+                     for t, x in _dealt((names >> 33).astype(np.int32), names, *found)]
         return pa.concat_tables([texts, pa.Table.from_batches([_batch(schema, rows)])])
 
     def together(table: pa.Table) -> pa.Table:
@@ -856,11 +868,11 @@ def look_up(asked: DataFrame, known: DataFrame, words: DataFrame) -> DataFrame:
         texts = texts.take(pa.array(order))
         numbers = texts.column("row").to_numpy()
         added = {"score": np.zeros(len(numbers)), "total": np.zeros(len(numbers)), "hits": np.zeros(len(numbers))}
-        for what, names in ((_TRAIN, ("score",)), (_WORDS, ("total", "hits"))):
+        for what, names, precision in ((_TRAIN, ("score",), np.float32), (_WORDS, ("total", "hits"), np.float64)):
             own = _blocks_of(table, what)
-            at = np.searchsorted(numbers, _joined(own.column("rows"), np.int64))
+            at = np.searchsorted(numbers, _rows_of(own.column("rows")))
             for name, column in zip(names, ("own", "times")):
-                added[name] += np.bincount(at, _joined(own.column(column), np.float64), len(numbers))
+                added[name] += np.bincount(at, _joined(own.column(column), precision), len(numbers))
         for name, more in added.items():
             place = texts.schema.get_field_index(name)
             whole = texts.column(name).to_numpy() + more
