@@ -15,8 +15,8 @@ word so far. So each distinct key of the corpus is learned from once and scored
 1. Tasks count the distinct keys of their texts and deal them out by a hash of the five bytes
    before (``parts`` of it). A part adds up the counts of its keys.
 2. All keys that share a context of five bytes, or such a context and a word, are in one part,
-   which therefore has these predictors' counts. Windows are dealt out once more, by a hash of
-   three bytes, to count contexts of three and four, and the results go back. Contexts of up to
+   which therefore has these predictors' counts. All that share three bytes are in one group of
+   parts; windows meet there to count contexts of three and four, and the results go back. Contexts of up to
    two bytes are added up from all parts; there are no more than 2^24 of them with a byte, so
    that table may be broadcast. All counts are exact, nothing collides, nothing is capped, and
    every table but that one is as large as the corpus makes it and stays distributed.
@@ -95,7 +95,7 @@ _CACHED_BYTES = 1 << 17
 #: Distinct keys, words, and occurrences of rare keys that a task holds at a time.
 _HELD_KEYS = 1 << 20
 _HELD_WORDS = 1 << 18
-_HELD_RARE = 1 << 17
+_HELD_RARE = 1 << 19
 _PIECE_WORDS = 1 << 17
 _COUNTED = 1 << 16
 #: Bytes of a window's counts in contexts of three and four bytes: order x side x bit, floats.
@@ -367,8 +367,18 @@ def _steps(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --- blocks of keys -------------------------------------------------------------------
 
+def _split(parts: int) -> tuple[int, int]:
+    """Groups of parts, and parts in a group."""
+    groups = max(1, parts // PARTS)
+    return groups, parts // groups
+
+
 def part_of(contexts: np.ndarray, parts: int) -> np.ndarray:
-    return (_mix(contexts * _MULTIPLIER) % np.uint64(parts)).astype(np.int32)
+    """The part of contexts of five bytes: the last three choose a group of parts, all five one
+    of its parts. So what contexts of three bytes count together stays within a group."""
+    groups, each = _split(parts)
+    group = _mix((contexts & np.uint64((1 << 24) - 1)) * _MULTIPLIER) % np.uint64(groups)
+    return (group * np.uint64(each) + (_mix(contexts * _MULTIPLIER) >> np.uint64(32)) % np.uint64(each)).astype(np.int32)
 
 
 def _dealt(part: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
@@ -588,16 +598,16 @@ def low_orders(keys: DataFrame) -> LowOrders:
 
 def with_middle_orders(keys: DataFrame, parts: int) -> DataFrame:
     """``keys`` with the windows of each part and their counts in contexts of three and four
-    bytes. Windows go to where their three bytes are counted, and back."""
-    sent = pa.schema([("third", pa.int32()), ("windows", pa.binary()), ("n", pa.binary())])
+    bytes. Windows go to where their group of parts is counted, and back."""
+    each = _split(parts)[1]
+    sent = pa.schema([("team", pa.int32()), ("windows", pa.binary()), ("n", pa.binary())])
     back = pa.schema([("part", pa.int32()), ("windows", pa.binary()), ("counts", pa.binary())])
 
     def send(batches):
         for batch in batches:
-            for own, train in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for part, own, train in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 windows, n = _windows(np.frombuffer(own, np.uint64), np.frombuffer(train, np.int64))
-                third = part_of((windows >> np.uint64(8)) & np.uint64((1 << 24) - 1), parts)
-                yield _batch(sent, [(p, *x) for p, x in _dealt(third, windows, n)])
+                yield _batch(sent, [(part // each, windows.tobytes(), n.tobytes())])
 
     def count(table: pa.Table) -> pa.Table:
         windows = _joined(table.column("windows"), np.uint64)
@@ -614,8 +624,8 @@ def with_middle_orders(keys: DataFrame, parts: int) -> DataFrame:
             own = own.append_column(name, pa.array([value], pa.binary()))
         return own
 
-    counted = keys.select("keys", "train").mapInArrow(send, "third int, windows binary, n binary").groupBy(
-        "third").applyInArrow(count, "part int, windows binary, counts binary")
+    counted = keys.select("part", "keys", "train").mapInArrow(send, "team int, windows binary, n binary").groupBy(
+        "team").applyInArrow(count, "part int, windows binary, counts binary")
     return keys.select("part", "keys", "train", "all").groupBy("part").cogroup(counted.groupBy("part")).applyInArrow(
         gather, "part int, keys binary, train binary, all binary, windows binary, counts binary")
 
@@ -803,7 +813,7 @@ def score_texts(docs: DataFrame, known: _Common, common: dict[bytes, float], hel
                      pa.array([len(w) + 1 for w in split], pa.int64()), pa.array(hits, pa.int64()), pa.array(totals),
                      pa.array(scores), pa.array(lengths), *(pa.nulls(len(split), pa.binary()) for _ in range(3))],
                     schema=schema)
-                if len(rest) + sum(len(r) for r, _ in rare) >= _HELD_RARE:
+                if 2 * len(rest) + sum(len(r) for r, _ in rare) >= _HELD_RARE:
                     yield blocks()
         if rare or rest:
             yield blocks()
