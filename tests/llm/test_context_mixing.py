@@ -275,3 +275,14 @@ def test_packed_keys_come_back():
         keys = keys[np.argsort(cm._by_window(keys))]
         assert cm._unpacked(cm._packed(keys)).tolist() == keys.tolist()
         assert cm._items(cm._planes(keys.tobytes(), 8), 8) == keys.tobytes()
+
+
+def test_blocks_take_a_fraction_of_what_they_hold(spark):
+    """Rows of blocks are what executors hold several times over; as plain numbers a key takes 24
+    bytes and a window's counts 136."""
+    docs = spark.createDataFrame([(f"{'alpha beta gamma ' * (i % 3)} delta{i} word{i * i}", False) for i in range(400)], "text string, apart boolean")
+    keys = cm.add_up(cm.count_tasks(docs, F.col("apart"), "text", 5))
+    rows = cm.with_middle_orders(keys, 5).collect()
+    held = [x for x in cm._each_part(cm.with_middle_orders(keys, 5).toArrow().to_batches(), cm.low_orders(keys))]
+    plain = sum(24 * len(seen.keys) + 136 * len(np.unique(seen.keys & cm._WINDOW)) for _, seen, _, _ in held)
+    assert len(rows) == len(held) and 3 * sum(len(x) for r in rows for x in r[1:]) < plain

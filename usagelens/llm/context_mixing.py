@@ -43,7 +43,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -103,6 +103,7 @@ _ROW = 2 * 2 * 8 * 4
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _WINDOW = np.uint64((1 << 48) - 1)
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -173,7 +174,7 @@ def _counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndar
     """Distinct keys and how often they occur."""
     if times is None:
         return np.unique(keys, return_counts=True)
-    order = np.argsort(keys)
+    order = np.argsort(keys, kind="stable")  # which merges what is sorted already
     keys, times = keys[order], times[order]
     firsts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     return keys[firsts], np.add.reduceat(times, firsts) if len(firsts) else times
@@ -239,7 +240,7 @@ class Seen:
            middle: np.ndarray) -> "Seen":
         """Of a part's keys, sorted. ``middle`` holds the counts of orders 3 and 4 by window."""
         own, place = np.unique(keys & _WINDOW, return_inverse=True)
-        at = np.argsort(windows)
+        at = np.argsort(windows, kind="stable")
         middle = middle[at[np.searchsorted(windows, own, sorter=at)]].reshape(len(own), 2, 2, 8)
         orders = low.of(own)
         orders += [tuple(np.ascontiguousarray(middle[:, i, side].T) for side in range(2)) for i in range(2)]
@@ -391,13 +392,20 @@ def _dealt(part: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[b
 
 
 def _planes(data: bytes, size: int) -> bytes:
-    """The bytes of items of a size, first those of one place, then of the next: alike bytes lie
-    together and compress on their way."""
-    return np.frombuffer(data, np.uint8).reshape(-1, size).T.tobytes()
+    """The bytes of items of a size, first those of one place, then of the next, so that alike
+    bytes lie together, compressed: a block is one value of a row, which Spark holds several
+    times over while it is shuffled, written or handed to Python. Their number stands before."""
+    return len(data).to_bytes(8, "little") + _CODEC.compress(
+        np.frombuffer(data, np.uint8).reshape(-1, size).T.tobytes(), asbytes=True)
 
 
 def _items(data: bytes, size: int) -> bytes:
-    return np.frombuffer(data, np.uint8).reshape(size, -1).T.tobytes()
+    planes = _CODEC.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"))
+    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(_items(data, 8), np.int64)
 
 
 def _by_window(keys: np.ndarray) -> np.ndarray:
@@ -407,22 +415,25 @@ def _by_window(keys: np.ndarray) -> np.ndarray:
 
 def _packed(keys: np.ndarray) -> bytes:
     """Keys in the order of their windows as steps from one to the next."""
-    return _planes(np.diff(_by_window(keys), prepend=np.uint64(0)).tobytes(), 8)
+    return _ascending(_by_window(keys))
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    found = np.cumsum(np.frombuffer(_items(data, 8), np.uint64), dtype=np.uint64)
+    found = _risen(data)
     return (found >> np.uint64(16)) | (found << np.uint64(48))
 
 
-def _ascending(rows: np.ndarray) -> bytes:
-    """Row numbers in rising order, as steps from one to the next."""
-    return _planes(np.diff(rows, prepend=np.int64(0)).tobytes(), 8)
+def _ascending(numbers: np.ndarray) -> bytes:
+    """Row numbers, keys or windows in rising order, as steps from one to the next."""
+    return _planes(np.diff(numbers, prepend=numbers.dtype.type(0)).tobytes(), 8)
+
+
+def _risen(data: bytes, kind=np.uint64) -> np.ndarray:
+    return np.cumsum(np.frombuffer(_items(data, 8), kind), dtype=kind)
 
 
 def _rows_of(column) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *(
-        np.cumsum(np.frombuffer(_items(x, 8), np.int64)) for x in column.to_pylist())])
+    return np.concatenate([np.zeros(0, np.int64), *(_risen(x, np.int64) for x in column.to_pylist())])
 
 
 def _joined(column, kind) -> np.ndarray:
@@ -561,7 +572,7 @@ def add_up(blocks: DataFrame) -> DataFrame:
                 words[word] += n
         n = np.fromiter(words.values(), np.int64, len(words))
         return pa.Table.from_batches([_batch(_KEYS, [(
-            table.column("part")[0].as_py(), keys.tobytes(), train.tobytes(), every.tobytes(),
+            table.column("part")[0].as_py(), _ascending(keys), _planes(train.tobytes(), 8), _planes(every.tobytes(), 8),
             b"\n".join(words), n.tobytes(), len(words), int(n.sum()), words[b""])])])
 
     return blocks.groupBy("part").applyInArrow(
@@ -582,7 +593,7 @@ def low_orders(keys: DataFrame) -> LowOrders:
     def run(batches):
         for batch in batches:
             for own, train in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                windows, n = _windows(np.frombuffer(own, np.uint64), np.frombuffer(train, np.int64))
+                windows, n = _windows(_risen(own), _numbers(train))
                 codes, place = np.unique(windows & np.uint64((1 << 8 * _LOW) - 1), return_inverse=True)
                 total = np.zeros(len(codes), np.int64)
                 np.add.at(total, place, n)
@@ -606,22 +617,26 @@ def with_middle_orders(keys: DataFrame, parts: int) -> DataFrame:
     def send(batches):
         for batch in batches:
             for part, own, train in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                windows, n = _windows(np.frombuffer(own, np.uint64), np.frombuffer(train, np.int64))
-                yield _batch(sent, [(part // each, windows.tobytes(), n.tobytes())])
+                windows, n = _windows(_risen(own), _numbers(train))
+                yield _batch(sent, [(part // each, _ascending(windows), _planes(n.tobytes(), 8))])
 
     def count(table: pa.Table) -> pa.Table:
-        windows = _joined(table.column("windows"), np.uint64)
-        n = _joined(table.column("n"), np.int64).astype(np.float64)
+        windows = np.concatenate([_risen(x) for x in table.column("windows").to_pylist()])
+        n = np.concatenate([_numbers(x) for x in table.column("n").to_pylist()]).astype(np.float64)
+        order = np.argsort(windows)
+        windows, n = windows[order], n[order]
         counts = np.stack([np.stack(order_counts(windows, n, order)) for order in (3, 4)])  # order, side, bit
         rows = np.ascontiguousarray(counts.reshape(32, -1).T)
         part = part_of(windows >> np.uint64(8), parts)
         return pa.Table.from_batches([_batch(back, [
-            (p, own, _planes(counts, _ROW)) for p, (own, counts) in _dealt(part, windows, rows)])])
+            (p, _ascending(np.frombuffer(own, np.uint64)), _planes(counts, _ROW))
+            for p, (own, counts) in _dealt(part, windows, rows)])])
 
     def gather(own: pa.Table, found: pa.Table) -> pa.Table:
-        counts = _planes(b"".join(_items(x, _ROW) for x in found.column("counts").to_pylist()), _ROW)
-        for name, value in (("windows", b"".join(found.column("windows").to_pylist())), ("counts", counts)):
-            own = own.append_column(name, pa.array([value], pa.binary()))
+        # One row on either side: a part's windows are all counted in its group, and only there.
+        nothing = {"windows": _ascending(np.zeros(0, np.uint64)), "counts": _planes(b"", _ROW)}
+        for name, value in nothing.items():
+            own = own.append_column(name, found.column(name) if len(found) else pa.array([value], pa.binary()))
         return own
 
     counted = keys.select("part", "keys", "train").mapInArrow(send, "team int, windows binary, n binary").groupBy(
@@ -639,7 +654,7 @@ def _each_part(batches, low: LowOrders, least: int = 0) -> Iterator[tuple[int, S
         part, keys, n, every, windows, counts = (list(x) for x in zip(*held))
         keys, n, every = (np.concatenate(x) for x in (keys, n, every))
         if len(held) > 1:
-            order = np.argsort(keys)
+            order = np.argsort(keys, kind="stable")
             keys, n, every = keys[order], n[order], every[order]
         held.clear()
         return part[0], Seen.of(keys, n.astype(np.float64), low, np.concatenate(windows),
@@ -647,8 +662,7 @@ def _each_part(batches, low: LowOrders, least: int = 0) -> Iterator[tuple[int, S
 
     for batch in batches:
         for part, keys, train, every, windows, counts in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            held.append((part, np.frombuffer(keys, np.uint64), np.frombuffer(train, np.int64),
-                         np.frombuffer(every, np.int64), np.frombuffer(windows, np.uint64),
+            held.append((part, _risen(keys), _numbers(train), _numbers(every), _risen(windows),
                          np.frombuffer(_items(counts, _ROW), np.float32).reshape(-1, 32)))
             if sum(len(x[1]) for x in held) >= least:
                 yield together()
@@ -680,14 +694,15 @@ def fit(counted: DataFrame, low) -> Model:
                  start.map + counts.reshape(start.map.shape), start.seen)
 
 
-def common_from(counts: DataFrame, most: int) -> int:
+def common_from(counts: DataFrame, most: int,
+                numbers: Callable[[bytes], np.ndarray] = lambda x: np.frombuffer(x, np.int64)) -> int:
     """The smallest number of occurrences that no more than ``most`` keys or words reach;
-    ``counts`` has one column, of blocks of occurrences."""
+    ``counts`` has one column, of blocks of occurrences that ``numbers`` reads."""
 
     def run(batches):
         for batch in batches:
             for every in batch.column(0).to_pylist():
-                n, times = np.unique(np.minimum(np.frombuffer(every, np.int64), _COUNTED), return_counts=True)
+                n, times = np.unique(np.minimum(numbers(every), _COUNTED), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(times)], names=["n", "times"])
 
     rows = counts.mapInArrow(run, "n long, times long").groupBy("n").agg(
@@ -723,16 +738,25 @@ def score_keys(counted: DataFrame, low, model: Model, least: int) -> DataFrame:
     """(part, keys, logs, common_keys, common_logs): the log10 probability of every key."""
     schema = pa.schema([("part", pa.int32()), *[(name, pa.binary()) for name in ("keys", "logs", "common_keys", "common_logs")]])
 
+    def blocks(keys, logs):
+        return _ascending(keys), _planes(logs.tobytes(), 4)
+
     def run(batches):
         for part, seen, _, every in _each_part(batches, low.value):
             logs = model.log10(seen).astype(np.float32)
             # The more frequent, the later: these keep their place where two want the same one.
             top = np.flatnonzero(every >= least)
-            yield _batch(schema, [(part, seen.keys.tobytes(), logs.tobytes(), seen.keys[top].tobytes(), logs[top].tobytes())])
+            yield _batch(schema, [(part, *blocks(seen.keys, logs), *blocks(seen.keys[top], logs[top]))])
 
     return counted.mapInArrow(run, "part int, keys binary, logs binary, common_keys binary, common_logs binary")
 
 
+def _scored(keys, logs) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and scores of columns of blocks."""
+    return (np.concatenate([np.zeros(0, np.uint64), *(_risen(x) for x in keys.to_pylist())]),
+            np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(_items(x, 4), np.float32) for x in logs.to_pylist())]))
+
+
 class _Common:
     """Scores of common keys; each key has one place, which it may have lost to another."""
 
@@ -854,9 +878,9 @@ def look_up(asked: DataFrame, known: DataFrame, words: DataFrame) -> DataFrame:
         rows, sums = [], []
         own = _blocks_of(table, _TRAIN)
         if len(own) and len(held):
-            keys = _joined(held.column("keys"), np.uint64)
+            keys, logs = _scored(held.column("keys"), held.column("logs"))
             at = np.searchsorted(keys, _joined(own.column("own"), np.uint64))
-            sums.append((_TRAIN, _rows_of(own.column("rows")), [_joined(held.column("logs"), np.float32)[at]], np.float32))
+            sums.append((_TRAIN, _rows_of(own.column("rows")), [logs[at]], np.float32))
         own = _blocks_of(table, _WORDS)
         if len(own):
             counts = {}
@@ -910,9 +934,9 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id",
     low = spark.sparkContext.broadcast(low_orders(keys))
     seen = stage(with_middle_orders(keys, parts), "seen", used[1])
     model = fit(seen, low)
-    scores = stage(score_keys(seen, low, model, common_from(keys.select("all"), COMMON_KEYS)), "key-scores")
+    scores = stage(score_keys(seen, low, model, common_from(keys.select("all"), COMMON_KEYS, _numbers)), "key-scores")
     found = scores.select("common_keys", "common_logs").toArrow()
-    known = _Common(_joined(found.column(0), np.uint64), _joined(found.column(1), np.float32))
+    known = _Common(*_scored(*found.columns))
     for path in used:  # all that follows reads the scores and the words
         remove_staged(spark, path)
 
