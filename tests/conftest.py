@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "1000")  # plans name long folders whole
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

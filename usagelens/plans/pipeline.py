@@ -12,7 +12,7 @@ from usagelens.operators.quality import kinds_of, report
 from usagelens.operators.standardize import conform, count_copies, derive, summarize_copies
 from usagelens.plans.tables import REQUEST_KEYS, Curated, add_to_catalog, table_path
 from usagelens.schemas import NUMERIC_COLUMNS
-from usagelens.session import new_path, remove_staged, stage
+from usagelens.session import new_path, remove_staged, side_by_side, stage
 from usagelens.sources.employees import duplicate_keys, read_employees
 from usagelens.sources.logs import accepted, decode_batches, ingest, read_log_batches, set_aside
 from usagelens.sources.sinks import (
@@ -66,12 +66,16 @@ def save_curated(raw: DataFrame, employees: DataFrame | None, folder: str,
     numbered = number_events(counted, path=staged["numbered"])
     enriched = _in_time_order(derive(numbered.drop("copies")), employees)
     events = write_table(enriched, folder, "events", partition_events_by)
-    api = write_table(marts.api_requests(events), folder, "api_requests")
-    tools = write_table(marts.tool_results(events), folder, "tool_results")
-    rows = stage(marts.activity(events), "activity", staged["activity"])
-    sessions = write_table(marts.sessions_of(rows), folder, "sessions")
+    api, tools, rows = side_by_side(
+        spark,
+        lambda: write_table(marts.api_requests(events), folder, "api_requests"),
+        lambda: write_table(marts.tool_results(events), folder, "tool_results"),
+        lambda: stage(marts.activity(events), "activity", staged["activity"]))
+    sessions, keys = side_by_side(
+        spark,
+        lambda: write_table(marts.sessions_of(rows), folder, "sessions"),
+        lambda: write_table(marts.request_keys(rows), folder, REQUEST_KEYS))
     users = write_table(marts.users_of(rows, sessions), folder, "users")
-    keys = write_table(marts.request_keys(rows), folder, REQUEST_KEYS)
     doubled = None if employees is None or "email" not in employees.columns else duplicate_keys(employees)
     write_report(report(summarize_copies(numbered), rows, sessions, users, rejects, doubled),
                  table_path(folder, "data_quality_report"))

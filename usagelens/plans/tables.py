@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, lru_cache, reduce
+from functools import cached_property, lru_cache, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from usagelens.operators import marts
 from usagelens.operators.enrich import SENT_PRACTICE, enrich
 from usagelens.operators.standardize import standardize
-from usagelens.session import stage
+from usagelens.session import side_by_side, stage
 
 
 TABLE_NAMES = ["events", "api_requests", "tool_results", "sessions", "users"]
@@ -147,14 +147,15 @@ def add_to_catalog(spark: SparkSession, folder: str, database: str) -> Curated:
     """Name the tables a run has saved in the catalog, where they lie, and gather their
     column statistics. The tables returned are read through the catalog, so the optimizer
     plans with these statistics; nothing is copied."""
+    names = [*TABLE_NAMES, REQUEST_KEYS]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name in [*TABLE_NAMES, REQUEST_KEYS]:
+    for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         # An unmanaged table: dropping it leaves the files.
         spark.catalog.createTable(f"{database}.{name}", table_path(folder, name), "parquet")
         if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{name}")):
             spark.catalog.recoverPartitions(f"{database}.{name}")
-        _analyze(spark, f"{database}.{name}")
+    side_by_side(spark, *[partial(_analyze, spark, f"{database}.{name}") for name in names])
     return catalog_tables(spark, database)
 
 
